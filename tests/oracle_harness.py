@@ -1,0 +1,109 @@
+"""Run registered queries in Spark and their SQL in DuckDB; compare results.
+
+Mirrors the correctness gate: row count, column names, and an
+order-insensitive comparison of all values (columns matched by name).
+Usable as a script: ``python tests/oracle_harness.py [sf_dir] [name ...]``.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("set timezone='UTC'")
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"create view {t} as select * from read_parquet('{p}')")
+    return con
+
+
+def norm(v):
+    if isinstance(v, decimal.Decimal):
+        return ("num", str(v.normalize()) if v == v.to_integral_value() else str(v))
+    if isinstance(v, bool):
+        return ("bool", v)
+    if isinstance(v, int):
+        return ("num", str(v))
+    if isinstance(v, float):
+        if math.isnan(v):
+            return ("float", "nan")
+        return ("float", repr(v))
+    if isinstance(v, (dt.datetime, dt.date)):
+        return ("time", v.isoformat())
+    if isinstance(v, (list, tuple)):
+        return ("list", tuple(norm(x) for x in v))
+    if isinstance(v, dict):
+        return ("map", tuple(sorted((str(k), norm(x)) for k, x in v.items())))
+    return ("str", v)
+
+
+def canon(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(norm(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    sdf = fn(spark, sf_dir)
+    scols = list(sdf.columns)
+    srows = [tuple(r) for r in sdf.collect()]
+    if sql is None:
+        return {"name": name, "rows": len(srows), "oracle": None}
+    rel = con.sql(sql)
+    ocols = list(rel.columns)
+    orows = rel.fetchall()
+    res = {"name": name, "rows": len(srows), "oracle_rows": len(orows),
+           "cols_match": sorted(scols) == sorted(ocols)}
+    if not res["cols_match"]:
+        res["cols"] = (scols, ocols)
+        res["match"] = False
+        return res
+    a, b = canon(scols, srows), canon(ocols, orows)
+    res["match"] = a == b
+    if not res["match"]:
+        res["only_spark"] = list((a - b).elements())[:3]
+        res["only_oracle"] = list((b - a).elements())[:3]
+    return res
+
+
+def main(argv):
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    names = argv[1:]
+    import __spark_entry__ as E
+    from ledgerlens.session import local_session
+
+    spark = local_session()
+    con = duck(sf_dir)
+    qs, sql = E.queries(), E.oracle_sql()
+    bad = 0
+    for n, fn in qs.items():
+        if names and n not in names:
+            continue
+        try:
+            r = compare(spark, con, n, fn, sql.get(n), sf_dir)
+        except Exception as e:  # report and continue
+            r = {"name": n, "error": repr(e)[:800]}
+        ok = r.get("match", r.get("oracle", "x") is None and "error" not in r)
+        bad += not ok
+        print(("OK  " if ok else "BAD ") + str(r), flush=True)
+    print(f"{len(qs)} queries, {len(sql)} with oracle, {bad} failing")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv[1:]) else 0)
