@@ -45,3 +45,182 @@ select {M('block_timestamp')} as month, count(*) as tx_count
 from transactions where block_timestamp is not null group by 1""")
 def _monthly_tx_count(spark, sf):
     return L.monthly_tx_count(src.from_tables(spark, sf).transactions)
+
+
+# ---------------------------------------------------------------- J2 / A2
+
+@register("monthly_avg_value", f"""
+select {M('block_timestamp')} as month, count(*) as tx_count, sum(value) as total_value,
+       cast(sum(value) as double) / count(*) as avg_value
+from transactions where block_timestamp is not null and value is not null group by 1""")
+def _monthly_avg_value(spark, sf):
+    return L.monthly_avg_value(src.from_tables(spark, sf).transactions)
+
+
+# ---------------------------------------------------------------- J7 / A6 / T3
+
+_GAS_PRICE_SQL = f"""
+select {M('block_timestamp')} as month, count(*) as tx_count,
+       cast(sum(gas_price) as double) / count(*) as avg_gas_price
+from transactions where block_timestamp is not null and gas_price is not null group by 1"""
+
+
+@register("monthly_gas_price", _GAS_PRICE_SQL)
+def _monthly_gas_price(spark, sf):
+    return L.monthly_gas_price(src.from_tables(spark, sf).transactions)
+
+
+@register("monthly_gas_price_sorted", _GAS_PRICE_SQL)
+def _monthly_gas_price_sorted(spark, sf):
+    return L.monthly_gas_price(src.from_tables(spark, sf).transactions, chronological=True)
+
+
+# ---------------------------------------------------------------- J3 / A3 / A4 / JN1 / T1
+
+_CONTRACT_TOTALS = """
+select to_address as address, sum(value) as total_value from transactions
+where to_address is not null and value is not null
+  and to_address in (select address from contracts where address is not null)
+group by 1"""
+
+
+@register("top10_services", _CONTRACT_TOTALS + "\norder by total_value desc, address limit 10")
+def _top10_services(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.top10_services(d.transactions, d.contracts)
+
+
+@register("semi_join_contracts", _CONTRACT_TOTALS)
+def _semi_join_contracts(spark, sf):
+    from pyspark.sql import functions as F
+    from .operators.joins import semi_join
+
+    d = src.from_tables(spark, sf)
+    totals = L.value_by_address(d.transactions)
+    return semi_join(totals, d.contracts, "to_address", "address") \
+        .select(F.col("to_address").alias("address"), "total_value")
+
+
+@register("value_by_address", """
+select to_address, sum(value) as total_value from transactions
+where to_address is not null and value is not null group by 1""")
+def _value_by_address(spark, sf):
+    return L.value_by_address(src.from_tables(spark, sf).transactions)
+
+
+@register("distinct_contracts", """
+select distinct address from contracts where address is not null""")
+def _distinct_contracts(spark, sf):
+    from pyspark.sql import functions as F
+
+    c = src.from_tables(spark, sf).contracts
+    return c.where(F.col("address").isNotNull()).select("address").dropDuplicates(["address"])
+
+
+# ---------------------------------------------------------------- J4 / A5
+
+_MINER_SQL = """
+select miner, cast(sum(size) as bigint) as total_size from blocks
+where miner is not null and size is not null group by miner"""
+
+
+@register("size_by_miner", _MINER_SQL)
+def _size_by_miner(spark, sf):
+    return L.size_by_miner(src.from_tables(spark, sf).blocks)
+
+
+@register("top10_miners", _MINER_SQL + "\norder by total_size desc, miner limit 10")
+def _top10_miners(spark, sf):
+    return L.top10_miners(src.from_tables(spark, sf).blocks)
+
+
+# ---------------------------------------------------------------- J8 / JN2 / A7 / T4
+
+_CONTRACT_GAS = f"""
+select {M('t.block_timestamp')} as month, count(*) as tx_count,
+       cast(sum(t.gas) as double) / count(*) as avg_gas
+from transactions t join contracts c on t.to_address = c.address
+where t.block_timestamp is not null and t.gas is not null group by 1"""
+
+
+@register("contract_gas_monthly", _CONTRACT_GAS)
+def _contract_gas_monthly(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.contract_gas_monthly(d.transactions, d.contracts)
+
+
+@register("contract_gas_sorted", _CONTRACT_GAS)
+def _contract_gas_sorted(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.contract_gas_sorted(d.transactions, d.contracts)
+
+
+# ---------------------------------------------------------------- J5 / JN5 / A10 / E10-E13 / F14
+
+_TYPE_LABEL_SQL = ("case when {a} and {b} then 'ERC20+ERC721' when {a} then 'ERC20' "
+                   "when {b} then 'ERC721' else 'Other' end")
+
+
+def _contract_types_sql(key: str) -> str:
+    label = _TYPE_LABEL_SQL.format(a="c.is_erc20", b="c.is_erc721")
+    return f"""
+select c.address as address, min({label}) as contract_type,
+       count(*) as calls, cast(sum(t.value) as decimal(38,0)) as total_value,
+       cast(sum(t.gas) as bigint) as total_gas,
+       cast(sum(t.gas_price) as double) / count(t.gas_price) as avg_gas_price,
+       cast(sum(coalesce(t.max_fee_per_gas, 0) + coalesce(t.max_priority_fee_per_gas, 0)) as bigint) as total_fees,
+       min(t.block_number - c.block_number) as contract_age,
+       min(case when t.to_address is null or trim(t.to_address) = '' then 'Contract Creation'
+                else 'Contract Interaction' end) as interaction_kind
+from transactions t join contracts c on t.{key} = c.address
+group by c.address having sum(t.value) > 0"""
+
+
+@register("contract_types", _contract_types_sql("to_address"))
+def _contract_types(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.contract_types(d.transactions, d.contracts)
+
+
+@register("contract_types_by_sender", _contract_types_sql("from_address"))
+def _contract_types_by_sender(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.contract_types(d.transactions, d.contracts, side="from")
+
+
+@register("contract_type_label", f"""
+select address, block_number, {_TYPE_LABEL_SQL.format(a='is_erc20', b='is_erc721')} as contract_type,
+       case when is_erc20 or is_erc721
+            then concat(cast(cast(is_erc20 as integer) as varchar), cast(cast(is_erc721 as integer) as varchar))
+            else 'Other' end as type_code
+from contracts""")
+def _contract_type_label(spark, sf):
+    from .functions import columns as C
+
+    c = src.from_tables(spark, sf).contracts
+    return c.select("address", "block_number",
+                    C.contract_type_label("is_erc20", "is_erc721").alias("contract_type"),
+                    C.contract_type_code("is_erc20", "is_erc721").alias("type_code"))
+
+
+@register("contract_age", """
+select c.address as address, min(t.block_number - c.block_number) as min_age,
+       max(t.block_number - c.block_number) as max_age
+from transactions t join contracts c on t.to_address = c.address
+where t.block_number is not null and c.block_number is not null group by c.address""")
+def _contract_age(spark, sf):
+    d = src.from_tables(spark, sf)
+    return L.contract_age_range(d.transactions, d.contracts)
+
+
+@register("month_label", f"""
+select number, {M('timestamp')} as month,
+       strftime(make_timestamp(cast(timestamp as bigint) * 1000000), '%Y-%m') as month_key
+from blocks where timestamp is not null""")
+def _month_label(spark, sf):
+    from pyspark.sql import functions as F
+    from .functions import columns as C
+
+    b = src.from_tables(spark, sf).blocks.where(F.col("timestamp").isNotNull())
+    return b.select("number", C.month_label("timestamp").alias("month"),
+                    F.date_format(C.month_start("timestamp"), "yyyy-MM").alias("month_key"))

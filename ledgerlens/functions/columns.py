@@ -52,8 +52,9 @@ def rollup_category(c: Column | str) -> Column:
 
 
 def contract_type_code(is_erc20: Column | str, is_erc721: Column | str) -> Column:
-    """Raw code: the two flag texts joined when either is ``"1"``, else ``Other``."""
-    a, b = _col(is_erc20).cast("string"), _col(is_erc721).cast("string")
+    """Raw code: the two flags as 0/1 digits joined when either is set, else ``Other``."""
+    a = _col(is_erc20).cast("int").cast("string")
+    b = _col(is_erc721).cast("int").cast("string")
     return F.when((a == "1") | (b == "1"), F.concat(a, b)).otherwise(F.lit(TYPE_OTHER))
 
 

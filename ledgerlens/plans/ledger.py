@@ -164,3 +164,21 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> Dat
         F.col("interaction").alias("interaction_kind"),
     )
     return out.where(F.col("total_value") > 0)
+
+
+def contract_age_range(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+    """E13 per contract: youngest and oldest transaction age in blocks.
+
+    Over the bag join, min(tx - c) = min(tx) - max(c) and max(tx - c) =
+    max(tx) - min(c), so each side is reduced to one row per address first.
+    """
+    t = (tx.where(F.col("to_address").isNotNull() & F.col("block_number").isNotNull())
+         .groupBy(F.col("to_address").alias("address"))
+         .agg(F.min("block_number").alias("t_min"), F.max("block_number").alias("t_max")))
+    c = (contracts.where(F.col("address").isNotNull() & F.col("block_number").isNotNull())
+         .groupBy("address")
+         .agg(F.min("block_number").alias("c_min"), F.max("block_number").alias("c_max")))
+    j = t.join(c, "address")
+    return j.select("address",
+                    C.contract_age("t_min", "c_max").alias("min_age"),
+                    C.contract_age("t_max", "c_min").alias("max_age"))
