@@ -224,3 +224,168 @@ def _month_label(spark, sf):
     b = src.from_tables(spark, sf).blocks.where(F.col("timestamp").isNotNull())
     return b.select("number", C.month_label("timestamp").alias("month"),
                     F.date_format(C.month_start("timestamp"), "yyyy-MM").alias("month_key"))
+
+
+# ---------------------------------------------------------------- J9 / J10 / JN3 / JN4 / A8 / A9
+
+from .plans import scams as S  # noqa: E402
+from .plans import wash as W  # noqa: E402
+
+_SCAM_VALUE = """
+select s.id as id, s.category as category, sum(t.value) as total_value
+from transactions t join scams s on t.to_address = s.address
+where t.to_address is not null and t.value is not null and s.address is not null
+group by 1, 2"""
+
+
+@register("value_by_scam", _SCAM_VALUE)
+def _value_by_scam(spark, sf):
+    d = src.from_tables(spark, sf)
+    return S.value_by_scam(d.transactions, d.scams)
+
+
+@register("top10_scams", _SCAM_VALUE + "\norder by total_value desc, id, category limit 10")
+def _top10_scams(spark, sf):
+    d = src.from_tables(spark, sf)
+    return S.top10_scams(d.transactions, d.scams)
+
+
+@register("scam_time_series", f"""
+select {M('t.block_timestamp')} as month, s.category as category, sum(t.value) as total_value
+from transactions t join scams s on t.to_address = s.address
+where t.to_address is not null and t.value is not null and t.block_timestamp is not null
+group by 1, 2""")
+def _scam_time_series(spark, sf):
+    d = src.from_tables(spark, sf)
+    return S.scam_time_series(d.transactions, d.scams)
+
+
+@register("scam_join", """
+select s.id as id, s.category as category, s.address as address, t.tx_count as tx_count,
+       t.total_value as total_value
+from (select to_address, count(*) as tx_count, sum(value) as total_value from transactions
+      where to_address is not null and value is not null group by 1) t
+join scams s on t.to_address = s.address""")
+def _scam_join(spark, sf):
+    d = src.from_tables(spark, sf)
+    return S.scam_join(d.transactions, d.scams)
+
+
+_CATEGORY_MAP_SQL = {
+    "scam_category": "case when category = 'Scam' then 'Scamming' else category end",
+    "scam_category_rollup": "case when category in ('Phishing', 'Fake ICO', 'Scamming') then 'Scam' else category end",
+}
+
+
+@register("scam_category", f"""
+select id, address, category as original_category, {_CATEGORY_MAP_SQL['scam_category']} as category
+from scams""")
+def _scam_category(spark, sf):
+    from .functions import columns as C
+
+    s = src.from_tables(spark, sf).scams
+    return s.select("id", "address", s["category"].alias("original_category"),
+                    C.relabel_category("category").alias("category"))
+
+
+@register("scam_category_rollup", f"""
+select id, address, category as original_category, {_CATEGORY_MAP_SQL['scam_category_rollup']} as category
+from scams""")
+def _scam_category_rollup(spark, sf):
+    from .functions import columns as C
+
+    s = src.from_tables(spark, sf).scams
+    return s.select("id", "address", s["category"].alias("original_category"),
+                    C.rollup_category("category").alias("category"))
+
+
+# ---------------------------------------------------------------- J13 / A11 / W1 / F12 / T5
+
+_GROUPS = """
+g as (select from_address, to_address, value, gas, gas_price, block_timestamp, count(*) as tx_count,
+             cast(sum(gas_price) as double) / count(gas_price) as avg_gas_price
+      from transactions group by all),
+l as (select *, lag(to_address) over (partition by from_address
+          order by block_timestamp nulls first, to_address nulls first, value nulls first,
+                   gas nulls first, gas_price nulls first) as prev_to_address from g)"""
+
+
+def _heuristics_sql(avg: str) -> str:
+    return (f"coalesce(tx_count > 1 or gas_price > {avg} * 1.5 "
+            "or (value = 0 and gas > 21000 and gas_price > 1000000000) "
+            "or prev_to_address is null or prev_to_address <> to_address, false)")
+
+
+_OUT_COLS = ("from_address, to_address, value, gas, gas_price, block_timestamp, tx_count, "
+             "prev_to_address")
+
+
+@register("transfer_groups", "with " + _GROUPS.split("),\nl as")[0].strip() + ")\nselect * from g")
+def _transfer_groups(spark, sf):
+    return W.transfer_groups(src.from_tables(spark, sf).transactions)
+
+
+@register("prev_counterparty", "with " + _GROUPS + "\nselect * from l")
+def _prev_counterparty(spark, sf):
+    return W.prev_counterparty(src.from_tables(spark, sf).transactions)
+
+
+@register("wash_heuristics", "with " + _GROUPS +
+          f"\nselect {_OUT_COLS} from l where {_heuristics_sql('avg_gas_price')}")
+def _wash_heuristics(spark, sf):
+    return W.wash_heuristics(src.from_tables(spark, sf).transactions)
+
+
+@register("wash_heuristics_sender_mean", "with " + _GROUPS + """,
+s as (select from_address as sender, cast(sum(gas_price) as double) / count(gas_price) as sender_avg_gas_price
+      from transactions group by 1)""" +
+          f"\nselect {_OUT_COLS}, sender_avg_gas_price from l join s on l.from_address is not distinct from s.sender"
+          f"\nwhere {_heuristics_sql('sender_avg_gas_price')}")
+def _wash_heuristics_sender_mean(spark, sf):
+    return W.wash_heuristics_sender_mean(src.from_tables(spark, sf).transactions)
+
+
+@register("wash_heuristics_50", "with " + _GROUPS +
+          f"\nselect from_address, to_address, value from l where {_heuristics_sql('avg_gas_price')}"
+          "\norder by from_address nulls first, to_address nulls first, value nulls first, "
+          "gas nulls first, gas_price nulls first, block_timestamp nulls first limit 50")
+def _wash_heuristics_50(spark, sf):
+    return W.wash_heuristics_50(src.from_tables(spark, sf).transactions)
+
+
+# ---------------------------------------------------------------- J14 / W2 / F13 / A12 / T2
+
+_RUNNING = """
+r as (select block_number, from_address, to_address, value, block_timestamp, count(*) as n
+      from transactions where block_number is not null and value is not null group by all),
+c as (select *, sum(n) over (partition by block_number, from_address, to_address, value
+                             order by block_timestamp nulls first
+                             rows between unbounded preceding and current row) as block_count from r),
+f as (select * from c where coalesce(block_count > 1 or from_address = to_address, false))"""
+
+
+@register("running_transfer_count", "with " + _RUNNING + "\nselect block_number, from_address, "
+          "to_address, value, block_timestamp, n, cast(block_count as bigint) as block_count from c")
+def _running_transfer_count(spark, sf):
+    return W.running_transfer_count(src.from_tables(spark, sf).transactions)
+
+
+@register("wash_flagged", "with " + _RUNNING + "\nselect block_number, from_address, "
+          "to_address, value, block_timestamp, n, cast(block_count as bigint) as block_count from f")
+def _wash_flagged(spark, sf):
+    return W.wash_flagged(src.from_tables(spark, sf).transactions)
+
+
+_BY_BLOCK_SENDER = ("\nselect block_number, from_address, cast(sum(value * n) as decimal(38,0)) as total_value"
+                    " from f group by 1, 2")
+
+
+@register("wash_by_block_sender", "with " + _RUNNING + _BY_BLOCK_SENDER)
+def _wash_by_block_sender(spark, sf):
+    return W.wash_by_block_sender(src.from_tables(spark, sf).transactions)
+
+
+@register("wash_top100", "with " + _RUNNING + _BY_BLOCK_SENDER +
+          "\norder by total_value desc, block_number, from_address limit 100")
+def _wash_top100(spark, sf):
+    return W.wash_top100(src.from_tables(spark, sf).transactions)

@@ -59,10 +59,13 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     summary = with_b.groupBy(*partition_cols, b).agg(
         F.max_by(F.col(value_col), ord_struct).alias("__last"))
     wp = Window.partitionBy(*partition_cols).orderBy(b)
-    summary = summary.select(*partition_cols, b,
+    keys = [*partition_cols, b]
+    summary = summary.select(*[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)],
                              F.lag("__last").over(wp).alias("__prev_bucket_last"))
 
-    joined = inner.join(summary, [*partition_cols, b], "left")
-    return (joined.withColumn(out_col, F.when(F.col("__first"), F.col("__prev_bucket_last"))
-                              .otherwise(F.col("__lag")))
-            .drop(b, "__lag", "__first", "__prev_bucket_last"))
+    # null-safe: a null sender or timestamp is a partition / bucket of its own
+    cond = [inner[k].eqNullSafe(summary[f"__s_{i}"]) for i, k in enumerate(keys)]
+    joined = inner.join(summary, cond, "left")
+    out = joined.withColumn(out_col, F.when(F.col("__first"), F.col("__prev_bucket_last"))
+                            .otherwise(F.col("__lag")))
+    return out.select(*df.columns, out_col)

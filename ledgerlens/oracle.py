@@ -96,4 +96,10 @@ def with_views(sql: str) -> str:
                 need |= extra
                 changed = True
     ctes = [f"{n} as ({body[n]}\n)" for n in order if n in need]
-    return ("with " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
+    if not ctes:
+        return sql
+    head = sql.lstrip()
+    if head[:5].lower() == "with ":
+        # merge with the statement's own WITH list
+        return "with " + ",\n".join(ctes) + ",\n" + head[5:]
+    return "with " + ",\n".join(ctes) + "\n" + sql
