@@ -389,3 +389,119 @@ def _wash_by_block_sender(spark, sf):
           "\norder by total_value desc, block_number, from_address limit 100")
 def _wash_top100(spark, sf):
     return W.wash_top100(src.from_tables(spark, sf).transactions)
+
+
+# ---------------------------------------------------------------- text path: S1 / E1 / E4 / F1-F10
+
+from .operators import validate as V  # noqa: E402
+from .sources import fixtures as FX  # noqa: E402
+from .sources import text as TX  # noqa: E402
+
+
+def _tx_split(spark, sf):
+    return TX.split_fields(FX.transaction_lines(spark, sf))
+
+
+@register("scan_text_lines", "select value, len(string_split(value, ',')) as n_fields from tx_lines")
+def _scan_text_lines(spark, sf):
+    from pyspark.sql import functions as F
+
+    return _tx_split(spark, sf).select("value", F.size("fields").alias("n_fields"))
+
+
+@register("split_fields", f"""
+select len(fields) as n_fields, {O.f(3)} as block_number, {O.f(5)} as from_address,
+       {O.f(6)} as to_address, {O.f(7)} as value, {O.f(11)} as block_timestamp
+from tx_split""")
+def _split_fields(spark, sf):
+    from pyspark.sql import functions as F
+
+    s = _tx_split(spark, sf)
+    return s.select(F.size("fields").alias("n_fields"), TX.field(3).alias("block_number"),
+                    TX.field(5).alias("from_address"), TX.field(6).alias("to_address"),
+                    TX.field(7).alias("value"), TX.field(11).alias("block_timestamp"))
+
+
+@register("typed_transactions", f"select {O.typed_tx_cols()} from tx_split where len(fields) = 15")
+def _typed_transactions(spark, sf):
+    return TX.typed_transactions(_tx_split(spark, sf).where(V.tx_arity()))
+
+
+_TX_CHECKS = {
+    "valid_tx_arity": V.tx_arity,
+    "valid_tx_value_ts": V.tx_value_ts,
+    "valid_tx_block_digits": V.tx_block_digits,
+    "valid_tx_gas_price": V.tx_gas_price,
+    "valid_tx_block_value": V.tx_block_value,
+    "valid_tx_full": V.tx_full,
+    "valid_tx_digits_value": V.tx_digits_value,
+}
+_TX_PRED_SQL = O.tx_predicates()
+
+
+def _register_tx_check(name, pred):
+    @register(name, f"select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL[name]}")
+    def _q(spark, sf):
+        return TX.typed_transactions(_tx_split(spark, sf).where(pred()))
+
+
+for _n, _p in _TX_CHECKS.items():
+    _register_tx_check(_n, _p)
+
+
+@register("valid_contract_arity", f"""
+select {O.typed_contract_cols()} from contract_split where len(fields) = 6 and {O.f(0)} <> 'address'""")
+def _valid_contract_arity(spark, sf):
+    s = TX.split_fields(FX.contract_lines(spark, sf))
+    return TX.typed_contracts(s.where(V.contract_arity() & (TX.field(0) != "address")))
+
+
+@register("valid_block", f"""
+select {O.typed_block_cols()} from block_split where len(fields) = 19 and {O.f(1)} <> 'hash'""")
+def _valid_block(spark, sf):
+    s = TX.split_fields(FX.block_lines(spark, sf))
+    return TX.typed_blocks(s.where(V.block_line()))
+
+
+@register("valid_scam_line", f"""
+select {O.typed_scam_cols()} from scam_split where len(fields) = 9 and {O.sql_is_int(O.f(0))}""")
+def _valid_scam_line(spark, sf):
+    s = TX.split_fields(FX.scam_lines(spark, sf))
+    return TX.typed_scams(s.where(V.scam_line()))
+
+
+@register("interaction_kind", f"""
+select case when to_address is null or trim(to_address) = '' then 'Contract Creation'
+            else 'Contract Interaction' end as interaction_kind, count(*) as tx_count
+from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_full']}) t
+group by 1""")
+def _interaction_kind(spark, sf):
+    from pyspark.sql import functions as F
+    from .functions import columns as C
+
+    t = TX.typed_transactions(_tx_split(spark, sf).where(V.tx_full()))
+    return t.groupBy(C.interaction_kind("to_address").alias("interaction_kind")) \
+        .agg(F.count(F.lit(1)).alias("tx_count"))
+
+
+@register("tx_pairs", f"""
+select from_address, to_address, value
+from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_digits_value']}) t""")
+def _tx_pairs(spark, sf):
+    t = TX.typed_transactions(_tx_split(spark, sf).where(V.tx_digits_value()))
+    return S.tx_pairs(t)
+
+
+@register("avg_value_text")
+def _avg_value_text(spark, sf):
+    """E5: the monthly mean as text (engines print doubles differently: no SQL twin)."""
+    from pyspark.sql import functions as F
+
+    m = L.monthly_avg_value(src.from_tables(spark, sf).transactions)
+    return m.select("month", F.col("avg_value").cast("string").alias("avg_value_text"))
+
+
+@register("select_columns", "select to_address, gas, block_timestamp from transactions")
+def _select_columns(spark, sf):
+    """Column selection; only these three columns are read from the scan."""
+    return src.from_tables(spark, sf).transactions.select("to_address", "gas", "block_timestamp")

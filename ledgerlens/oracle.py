@@ -103,3 +103,167 @@ def with_views(sql: str) -> str:
         # merge with the statement's own WITH list
         return "with " + ",\n".join(ctes) + ",\n" + head[5:]
     return "with " + ",\n".join(ctes) + "\n" + sql
+
+
+# --------------------------------------------------------------------------
+# Text renderings and line parsing, mirroring ``sources.text`` and
+# ``functions.parsing``.
+# --------------------------------------------------------------------------
+
+def _patterns():
+    from .functions.parsing import DIGITS_PATTERN, FLOAT_PATTERN, INT_PATTERN
+    return INT_PATTERN, FLOAT_PATTERN, DIGITS_PATTERN
+
+
+def _re(x: str, pat: str) -> str:
+    return f"regexp_matches({x}, '{pat}')"
+
+
+def sql_is_int(x: str) -> str:
+    i, _, _ = _patterns()
+    return f"coalesce({_re(x, i)} and try_cast(trim({x}) as bigint) is not null, false)"
+
+
+def sql_is_float(x: str) -> str:
+    _, f, _ = _patterns()
+    return f"coalesce({_re(x, f)} and try_cast(trim({x}) as double) is not null, false)"
+
+
+def sql_is_digits(x: str) -> str:
+    _, _, d = _patterns()
+    return f"coalesce({_re(x, d)}, false)"
+
+
+def sql_to_long(x: str) -> str:
+    i, _, _ = _patterns()
+    return f"(case when {_re(x, i)} then try_cast(trim({x}) as bigint) end)"
+
+
+def sql_to_wei(x: str) -> str:
+    i, f, _ = _patterns()
+    return (f"(case when {_re(x, i)} then try_cast(trim({x}) as decimal(38,0)) "
+            f"when {_re(x, f)} then try_cast(try_cast(trim({x}) as double) as decimal(38,0)) end)")
+
+
+def sql_is_wei(x: str) -> str:
+    return f"({sql_is_float(x)} and {sql_to_wei(x)} is not null)"
+
+
+def sql_to_flag(x: str) -> str:
+    return (f"(case when lower(trim({x})) in ('1', 'true') then true "
+            f"when lower(trim({x})) in ('0', 'false') then false end)")
+
+
+def sql_blank_to_null(x: str) -> str:
+    return f"(case when trim({x}) <> '' then {x} end)"
+
+
+def f(i: int) -> str:
+    """Field ``i`` (0-based) of the split line."""
+    return f"fields[{i + 1}]"
+
+
+def _lines_sql(view: str, fields: list[str], render=None) -> str:
+    render = render or {}
+    parts = ", ".join(f"coalesce(cast({render.get(c, c)} as varchar), '')" for c in fields)
+    return f"select concat_ws(',', {parts}) as value from {view}"
+
+
+def _values(lines: list[str]) -> str:
+    rows = ", ".join("('" + x.replace("'", "''") + "')" for x in lines)
+    return f"select * from (values {rows}) v(value)"
+
+
+def _register_text_views() -> None:
+    from .schemas import (BLOCK_FIELDS, CONTRACT_FIELDS, SCAM_LINE_FIELDS,
+                          TRANSACTION_FIELDS)
+    from .sources.fixtures import BAD_TRANSACTION_LINES
+
+    DERIVED["tx_lines"] = (_lines_sql("transactions", TRANSACTION_FIELDS)
+                           + "\nunion all " + _values(BAD_TRANSACTION_LINES))
+    DERIVED["tx_split"] = "select value, string_split(value, ',') as fields from tx_lines"
+    DERIVED["block_lines"] = (_lines_sql("blocks", BLOCK_FIELDS)
+                              + "\nunion all " + _values([",".join(BLOCK_FIELDS)]))
+    DERIVED["block_split"] = "select value, string_split(value, ',') as fields from block_lines"
+    flags = {"is_erc20": "cast(is_erc20 as integer)", "is_erc721": "cast(is_erc721 as integer)"}
+    DERIVED["contract_lines"] = (_lines_sql("contracts", CONTRACT_FIELDS, flags)
+                                 + "\nunion all " + _values([",".join(CONTRACT_FIELDS)]))
+    DERIVED["contract_split"] = "select value, string_split(value, ',') as fields from contract_lines"
+    DERIVED["scam_indexed"] = (
+        "select *, row_number() over (partition by id, name, url, coin, category, subcategory, status "
+        "order by address) - 1 as index from scams")
+    DERIVED["scam_lines"] = (_lines_sql("scam_indexed", SCAM_LINE_FIELDS)
+                             + "\nunion all " + _values([",".join(SCAM_LINE_FIELDS)]))
+    DERIVED["scam_split"] = "select value, string_split(value, ',') as fields from scam_lines"
+
+
+_register_text_views()
+
+
+def typed_tx_cols() -> str:
+    from .schemas import TRANSACTION_FIELDS as T
+
+    def g(n):
+        return f(T.index(n))
+    longs = {"nonce", "block_number", "transaction_index", "gas", "gas_price", "block_timestamp",
+             "max_fee_per_gas", "max_priority_fee_per_gas"}
+    cols = []
+    for n in T:
+        if n in longs:
+            cols.append(f"{sql_to_long(g(n))} as {n}")
+        elif n in ("from_address", "to_address"):
+            cols.append(f"{sql_blank_to_null(g(n))} as {n}")
+        elif n == "value":
+            cols.append(f"{sql_to_wei(g(n))} as value")
+        elif n == "transaction_type":
+            cols.append(f"cast({sql_to_long(g(n))} as integer) as transaction_type")
+        else:
+            cols.append(f"{g(n)} as {n}")
+    return ", ".join(cols)
+
+
+def typed_block_cols() -> str:
+    from .schemas import BLOCK_FIELDS as B
+
+    longs = {"number", "size", "gas_limit", "gas_used", "timestamp", "transaction_count",
+             "base_fee_per_gas"}
+    cols = []
+    for i, n in enumerate(B):
+        if n in longs:
+            cols.append(f"{sql_to_long(f(i))} as {n}")
+        elif n in ("difficulty", "total_difficulty"):
+            cols.append(f"{sql_to_wei(f(i))} as {n}")
+        else:
+            cols.append(f"{f(i)} as {n}")
+    return ", ".join(cols)
+
+
+def typed_contract_cols() -> str:
+    return (f"{sql_blank_to_null(f(0))} as address, {f(1)} as bytecode, {f(2)} as function_sighashes, "
+            f"{sql_to_flag(f(3))} as is_erc20, {sql_to_flag(f(4))} as is_erc721, "
+            f"{sql_to_long(f(5))} as block_number")
+
+
+def typed_scam_cols() -> str:
+    return (f"{sql_to_long(f(0))} as id, {f(1)} as name, {f(2)} as url, {f(3)} as coin, "
+            f"{f(4)} as category, {f(5)} as subcategory, {sql_blank_to_null(f(6))} as address, "
+            f"{f(8)} as status")
+
+
+def tx_predicates() -> dict[str, str]:
+    """SQL of the transaction line checks F1-F3, F6, F7, F9, F10."""
+    from .schemas import TRANSACTION_FIELDS as T
+
+    def g(n):
+        return f(T.index(n))
+    arity = "len(fields) = 15"
+    f7 = f"{arity} and {sql_is_int(g('block_number'))} and {sql_is_wei(g('value'))}"
+    return {
+        "valid_tx_arity": arity,
+        "valid_tx_value_ts": f"{arity} and {sql_is_wei(g('value'))} and {sql_is_int(g('block_timestamp'))}",
+        "valid_tx_block_digits": f"{arity} and {sql_is_digits(g('block_number'))}",
+        "valid_tx_gas_price": f"{arity} and {sql_is_float(g('gas_price'))} and {sql_is_int(g('block_timestamp'))}",
+        "valid_tx_block_value": f7,
+        "valid_tx_full": f"{f7} and {sql_is_int(g('block_timestamp'))}",
+        "valid_tx_digits_value": f"{arity} and {sql_is_digits(g('block_timestamp'))} and {sql_is_wei(g('value'))}",
+    }
