@@ -40,9 +40,12 @@ M = O.month
 
 # ---------------------------------------------------------------- J1 / A1 / E3
 
-@register("monthly_tx_count", f"""
+_J1_SQL = f"""
 select {M('block_timestamp')} as month, count(*) as tx_count
-from transactions where block_timestamp is not null group by 1""")
+from transactions where block_timestamp is not null group by 1"""
+
+
+@register("monthly_tx_count", _J1_SQL)
 def _monthly_tx_count(spark, sf):
     return L.monthly_tx_count(src.from_tables(spark, sf).transactions)
 
@@ -505,3 +508,212 @@ def _avg_value_text(spark, sf):
 def _select_columns(spark, sf):
     """Column selection; only these three columns are read from the scan."""
     return src.from_tables(spark, sf).transactions.select("to_address", "gas", "block_timestamp")
+
+
+# ---------------------------------------------------------------- scam registry: S4 / S5 / E2 / E7 / E9 / F11 / J11 / J12
+
+from .plans import overhead as OV  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sinks import writers as K  # noqa: E402
+from .sources import documents as D  # noqa: E402
+
+_ATTRS = "id, name, url, coin, category, subcategory, status"
+_ENTRY_SQL = f"""
+select min(address) as key, id, name, url, coin, category, subcategory, count(*) as n_addresses, status
+from scams group by {_ATTRS}"""
+
+
+def _entry_cols(entries):
+    from pyspark.sql import functions as F
+
+    r = F.col("record")
+    return entries.select("key", r["id"].alias("id"), r["name"].alias("name"), r["url"].alias("url"),
+                          r["coin"].alias("coin"), r["category"].alias("category"),
+                          r["subcategory"].alias("subcategory"),
+                          F.size(r["addresses"]).cast("bigint").alias("n_addresses"),
+                          r["status"].alias("status"))
+
+
+def _write_documents(spark, sf) -> str:
+    path = scratch_path(spark, "scam-registry")
+    FX.scam_documents(spark, sf).write.mode("overwrite").text(path)
+    return path
+
+
+@register("scan_scam_document", _ENTRY_SQL)
+def _scan_scam_document(spark, sf):
+    return _entry_cols(D.read_scam_registry(spark, _write_documents(spark, sf)))
+
+
+@register("scan_json", _ENTRY_SQL)
+def _scan_json(spark, sf):
+    return _entry_cols(D.registry_entries(D.read_json(spark, _write_documents(spark, sf))))
+
+
+@register("valid_scam_record", """
+select min(address) as key, id, category, count(*) as n_addresses
+from scams where id is not null and category is not null group by """ + _ATTRS)
+def _valid_scam_record(spark, sf):
+    from pyspark.sql import functions as F
+
+    e = S.parse_documents(FX.scam_documents(spark, sf))
+    ok = e.where(V.valid_scam_record("record"))
+    return ok.select("key", F.col("record.id").alias("id"), F.col("record.category").alias("category"),
+                     F.size("record.addresses").cast("bigint").alias("n_addresses"))
+
+
+_FLAT_SQL = f"""
+select id as identity, name, url, coin, {_CATEGORY_MAP_SQL['scam_category']} as category,
+       coalesce(subcategory, '') as subcategory, index, status, address
+from scam_indexed"""
+
+
+@register("scam_flatten", _FLAT_SQL)
+def _scam_flatten(spark, sf):
+    return S.flatten_registry(S.parse_documents(FX.scam_documents(spark, sf)))
+
+
+@register("scam_pairs", f"""
+select id, min(address) as first_address, max(address) as last_address, coin,
+       {_CATEGORY_MAP_SQL['scam_category_rollup']} as category_group
+from scams group by {_ATTRS}""")
+def _scam_pairs(spark, sf):
+    return S.scam_pairs(S.parse_documents(FX.scam_documents(spark, sf)))
+
+
+# ---------------------------------------------------------------- J6 / E14-E16 / A13 / A14 / T6 / S3
+
+def _len_sql(c: str) -> str:
+    return f"coalesce(length(cast({c} as varchar)), 0)"
+
+
+def _overhead_sql(first_block: bool) -> str:
+    from .schemas import BLOCK_FIELDS, HEX_COLUMNS
+
+    rest = [c for c in BLOCK_FIELDS if c not in HEX_COLUMNS]
+    hex_row = " + ".join(_len_sql(c) for c in HEX_COLUMNS)
+    rest_row = " + ".join(_len_sql(c) for c in rest)
+    if first_block:
+        sums = (f"select cast(arg_min({hex_row}, number) as bigint) as hex_chars, "
+                f"cast(sum({_len_sql(rest[0])}) as bigint) as remaining_bytes from blocks")
+    else:
+        sums = (f"select cast(sum({hex_row}) as bigint) as hex_chars, "
+                f"cast(sum({rest_row}) as bigint) as remaining_bytes from blocks")
+    hex_mb = "(hex_chars / 4 / 1048576)"
+    rest_mb = "(remaining_bytes / 1048576)"
+    return (f"select hex_chars, remaining_bytes, {hex_mb} as total_hex_mb, {rest_mb} as remaining_mb, "
+            f"{hex_mb} / ({hex_mb} + {rest_mb}) * 100 as space_saved_pct from ({sums}) s")
+
+
+@register("data_overhead", _overhead_sql(False))
+def _data_overhead(spark, sf):
+    return OV.data_overhead(src.from_tables(spark, sf).blocks)
+
+
+@register("data_overhead_first_block", _overhead_sql(True))
+def _data_overhead_first_block(spark, sf):
+    return OV.data_overhead_first_block(src.from_tables(spark, sf).blocks)
+
+
+@register("scan_csv_infer", _overhead_sql(False))
+def _scan_csv_infer(spark, sf):
+    """S3: blocks written as CSV with header, read back with schema inference."""
+    path = scratch_path(spark, "blocks-csv")
+    K.write_csv_header(src.from_tables(spark, sf).blocks, list(src.from_tables(spark, sf).blocks.columns), path)
+    return OV.data_overhead(D.read_csv(spark, path, infer=True))
+
+
+@register("scan_csv_header", "select * from transactions")
+def _scan_csv_header(spark, sf):
+    """Transactions as CSV with header, read back as text columns, then typed."""
+    from pyspark.sql import functions as F
+    from .functions import parsing as P
+    from .schemas import TRANSACTION_FIELDS, TRANSACTIONS, all_strings
+
+    tx = src.from_tables(spark, sf).transactions
+    path = scratch_path(spark, "transactions-csv")
+    K.write_csv_header(tx, TRANSACTION_FIELDS, path)
+    raw = D.read_csv(spark, path, schema=all_strings(TRANSACTION_FIELDS))
+    cast = {"value": P.to_wei}
+    cols = []
+    for fld in TRANSACTIONS.fields:
+        c = F.col(fld.name)
+        if fld.name in cast:
+            cols.append(cast[fld.name](c).alias(fld.name))
+        elif fld.dataType.typeName() in ("long", "integer"):
+            cols.append(P.to_long(c).cast(fld.dataType).alias(fld.name))
+        else:
+            cols.append(c.alias(fld.name))
+    return raw.select(*cols)
+
+
+# ---------------------------------------------------------------- sinks: K1-K4, K6; result readers: S6, S7
+
+@register("sink_json", _J1_SQL)
+def _sink_json(spark, sf):
+    path = scratch_path(spark, "monthly-tx-count-json")
+    K.write_json(L.monthly_tx_count(src.from_tables(spark, sf).transactions), path)
+    return D.read_json(spark, path, "month string, tx_count bigint")
+
+
+_J2_SQL = f"""
+select {M('block_timestamp')} as month, count(*) as tx_count, sum(value) as total_value
+from transactions where block_timestamp is not null and value is not null group by 1"""
+
+
+@register("sink_csv_lines", f"""
+select concat_ws(',', month, cast(tx_count as varchar), cast(total_value as varchar)) as value
+from ({_J2_SQL}) m""")
+def _sink_csv_lines(spark, sf):
+    path = scratch_path(spark, "monthly-value-lines")
+    K.write_csv_lines(L.monthly_avg_value(src.from_tables(spark, sf).transactions),
+                      ["month", "tx_count", "total_value"], path)
+    return spark.read.text(path)
+
+
+@register("read_csv_result", _J2_SQL)
+def _read_csv_result(spark, sf):
+    path = scratch_path(spark, "monthly-value-result")
+    K.write_csv_lines(L.monthly_avg_value(src.from_tables(spark, sf).transactions),
+                      ["month", "tx_count", "total_value"], path)
+    return D.read_csv_result(spark, path, "month string, tx_count bigint, total_value decimal(38,0)")
+
+
+@register("sink_csv_header", _FLAT_SQL)
+def _sink_csv_header(spark, sf):
+    from .schemas import SCAM_CSV_FIELDS
+
+    path = scratch_path(spark, "scams-csv")
+    flat = S.flatten_registry(S.parse_documents(FX.scam_documents(spark, sf)))
+    K.write_csv_header(flat, [*SCAM_CSV_FIELDS, "address"], path)
+    schema = ("identity bigint, name string, url string, coin string, category string, "
+              "subcategory string, index bigint, status string, address string")
+    from pyspark.sql import functions as F
+
+    back = D.read_csv(spark, path, schema=schema)
+    # an empty field reads back as null; the flat table writes '' for "none"
+    return back.withColumn("subcategory", F.coalesce("subcategory", F.lit("")))
+
+
+@register("sink_metrics", _overhead_sql(False))
+def _sink_metrics(spark, sf):
+    path = scratch_path(spark, "overhead-metrics")
+    K.write_json(OV.data_overhead(src.from_tables(spark, sf).blocks), path)
+    return D.read_json(spark, path, "hex_chars bigint, remaining_bytes bigint, total_hex_mb double, "
+                                    "remaining_mb double, space_saved_pct double")
+
+
+@register("read_pair_list", f"""
+select miner as key, cast(total_size as double) as number from ({_MINER_SQL}
+order by total_size desc, miner limit 10) t""")
+def _read_pair_list(spark, sf):
+    path = scratch_path(spark, "top10-miners-pairs")
+    K.write_pair_list(L.top10_miners(src.from_tables(spark, sf).blocks), ["miner"], "total_size", path)
+    return D.read_pair_list(spark, path)
+
+
+@register("format_metrics")
+def _format_metrics(spark, sf):
+    """K6: the overhead metrics as formatted text (number formatting differs
+    between engines: no SQL twin)."""
+    return K.format_metrics(OV.data_overhead(src.from_tables(spark, sf).blocks))
