@@ -402,7 +402,7 @@ from .sources import text as TX  # noqa: E402
 
 
 def _tx_split(spark, sf):
-    return TX.split_fields(FX.transaction_lines(spark, sf))
+    return TX.split_fields(FX.as_text_file(spark, sf, "transactions", FX.transaction_lines))
 
 
 @register("scan_text_lines", "select value, len(string_split(value, ',')) as n_fields from tx_lines")
@@ -455,21 +455,21 @@ for _n, _p in _TX_CHECKS.items():
 @register("valid_contract_arity", f"""
 select {O.typed_contract_cols()} from contract_split where len(fields) = 6 and {O.f(0)} <> 'address'""")
 def _valid_contract_arity(spark, sf):
-    s = TX.split_fields(FX.contract_lines(spark, sf))
+    s = TX.split_fields(FX.as_text_file(spark, sf, "contracts", FX.contract_lines))
     return TX.typed_contracts(s.where(V.contract_arity() & (TX.field(0) != "address")))
 
 
 @register("valid_block", f"""
 select {O.typed_block_cols()} from block_split where len(fields) = 19 and {O.f(1)} <> 'hash'""")
 def _valid_block(spark, sf):
-    s = TX.split_fields(FX.block_lines(spark, sf))
+    s = TX.split_fields(FX.as_text_file(spark, sf, "blocks", FX.block_lines))
     return TX.typed_blocks(s.where(V.block_line()))
 
 
 @register("valid_scam_line", f"""
 select {O.typed_scam_cols()} from scam_split where len(fields) = 9 and {O.sql_is_int(O.f(0))}""")
 def _valid_scam_line(spark, sf):
-    s = TX.split_fields(FX.scam_lines(spark, sf))
+    s = TX.split_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
     return TX.typed_scams(s.where(V.scam_line()))
 
 

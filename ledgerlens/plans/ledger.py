@@ -27,8 +27,7 @@ def _months(tx: DataFrame) -> DataFrame:
 
 def monthly_tx_count(tx: DataFrame) -> DataFrame:
     """Transactions per UTC month (``MM/yyyy``)."""
-    return (_months(tx).groupBy("month").agg(F.count(F.lit(1)).alias("tx_count"))
-            .orderBy("month"))
+    return _months(tx).groupBy("month").agg(F.count(F.lit(1)).alias("tx_count"))
 
 
 def monthly_avg_value(tx: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def monthly_avg_value(tx: DataFrame) -> DataFrame:
     return agg.select(
         "month", "tx_count", "total_value",
         (F.col("total_value").cast("double") / F.col("tx_count")).alias("avg_value"),
-    ).orderBy("month")
+    )
 
 
 def monthly_gas_price(tx: DataFrame, chronological: bool = False) -> DataFrame:

@@ -215,6 +215,26 @@ def scam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv_line(s, SCAM_LINE_FIELDS).unionAll(header)
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def as_text_file(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write a text rendering once per session under the shared checkpoint
+    folder and scan it back, so text jobs read real files (as the exports are)
+    instead of recomputing the rendering for every field they parse."""
+    import os
+
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = scratch_path(spark, f"{name}-text")
+        build(spark, sf_dir).write.mode("overwrite").text(path)
+        _WRITTEN[key] = path
+    return spark.read.text(path)
+
+
 def scam_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scam registry as JSON text, one ``{"result": {address: record}}`` per line.
 
