@@ -50,16 +50,27 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 PAIR_LIST = "array<array<string>>"
 
 
-def read_pair_list(spark: SparkSession, path: str) -> DataFrame:
+def read_pair_list(spark: SparkSession, path: str, python_literal: bool = False) -> DataFrame:
     """A saved ``[[key, number], ...]`` list as rows (``key``, ``number``).
 
     ``key`` is the first element's text (a nested key list stays JSON text);
-    ``number`` is the last element as a double, null when not numeric.
+    ``number`` is the last element as a double, null when not numeric
+    (``Infinity`` is read as infinity). ``python_literal`` accepts the
+    ``[('k', 1), ...]`` spelling of a printed Python list.
     """
-    lines = spark.read.text(path)
-    pairs = lines.select(F.explode(F.from_json("value", PAIR_LIST)).alias("p"))
+    lines = spark.read.text(path, wholetext=False)
+    return parse_pair_list(lines, python_literal)
+
+
+def parse_pair_list(lines: DataFrame, python_literal: bool = False) -> DataFrame:
+    text = F.col("value")
+    if python_literal:
+        text = F.translate(text, "()'", '[]"')
+    pairs = lines.select(F.explode(F.from_json(
+        text, PAIR_LIST, {"allowNonNumericNumbers": "true"})).alias("p"))
     return pairs.select(F.col("p")[0].alias("key"),
-                        F.element_at("p", -1).try_cast("double").alias("number"))
+                        # non-finite numbers come back as quoted tokens
+                        F.btrim(F.element_at("p", -1), F.lit('"')).try_cast("double").alias("number"))
 
 
 def read_csv_result(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
