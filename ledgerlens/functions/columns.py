@@ -24,6 +24,20 @@ def month_label(epoch_seconds: Column | str) -> Column:
     return F.date_format(F.timestamp_seconds(_col(epoch_seconds)), "MM/yyyy")
 
 
+def month_key(epoch_seconds: Column | str) -> Column:
+    """UTC month as the integer ``yyyymm``: cheap to compute and group on;
+    format it with :func:`month_key_label` after aggregating."""
+    ts = F.timestamp_seconds(_col(epoch_seconds))
+    return F.year(ts) * 100 + F.month(ts)
+
+
+def month_key_label(key: Column | str) -> Column:
+    """``yyyymm`` integer to the ``MM/yyyy`` label."""
+    k = _col(key)
+    return F.concat(F.lpad((k % 100).cast("string"), 2, "0"), F.lit("/"),
+                    F.lpad((k / 100).cast("int").cast("string"), 4, "0"))
+
+
 def month_start(epoch_seconds: Column | str) -> Column:
     """First day of the UTC month, for chronological ordering of labels."""
     return F.trunc(F.to_date(F.timestamp_seconds(_col(epoch_seconds))), "month")

@@ -36,36 +36,53 @@ def running_count(df: DataFrame, partition_cols: Sequence[str], order_col: str,
 
 
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                 value_col: str, out_col: str, bucket: Column | None) -> DataFrame:
+                 value_col: str, out_col: str, bucket: Column | None,
+                 summary_source: DataFrame | None = None) -> DataFrame:
     """``lag(value_col) OVER (PARTITION BY p ORDER BY o)`` for a total order ``o``.
 
     ``bucket`` must be non-decreasing along ``o`` inside a partition (e.g. the
-    hour of the first order column). With ``bucket=None`` this is the plain
-    window.
+    hour of the first order column). The window then runs per
+    ``(p, bucket)``; each bucket's last value (a small per-bucket summary) is
+    carried into the next non-empty bucket of the same partition as a marker
+    row that sorts first, so the first real row of a bucket lags onto it. The
+    big side is shuffled once, as for the plain window. With ``bucket=None``
+    this is the plain window.
+
+    ``summary_source`` may name a cheaper input holding the same
+    (partition, order, value) tuples -- e.g. the rows ``df`` was aggregated
+    from -- so the per-bucket maxima do not recompute ``df``.
     """
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     if bucket is None:
         w = Window.partitionBy(*partition_cols).orderBy(*order)
         return df.withColumn(out_col, F.lag(value_col).over(w))
 
-    b = "__bucket"
+    b, m = "__bucket", "__marker"
     with_b = df.withColumn(b, bucket)
-    wb = Window.partitionBy(*partition_cols, b).orderBy(*order)
-    inner = (with_b.withColumn("__lag", F.lag(value_col).over(wb))
-             .withColumn("__first", F.row_number().over(wb) == 1))
 
-    # last value of every (partition, bucket), then the previous bucket's one
+    # last value of every (partition, bucket), delivered to the next bucket
     ord_struct = F.struct(*[F.col(c) for c in order_cols])
-    summary = with_b.groupBy(*partition_cols, b).agg(
+    src = with_b if summary_source is None else summary_source.withColumn(b, bucket)
+    summary = src.groupBy(*partition_cols, b).agg(
         F.max_by(F.col(value_col), ord_struct).alias("__last"))
-    wp = Window.partitionBy(*partition_cols).orderBy(b)
-    keys = [*partition_cols, b]
-    summary = summary.select(*[F.col(k).alias(f"__s_{i}") for i, k in enumerate(keys)],
-                             F.lag("__last").over(wp).alias("__prev_bucket_last"))
-
-    # null-safe: a null sender or timestamp is a partition / bucket of its own
-    cond = [inner[k].eqNullSafe(summary[f"__s_{i}"]) for i, k in enumerate(keys)]
-    joined = inner.join(summary, cond, "left")
-    out = joined.withColumn(out_col, F.when(F.col("__first"), F.col("__prev_bucket_last"))
-                            .otherwise(F.col("__lag")))
-    return out.select(*df.columns, out_col)
+    wp = Window.partitionBy(*partition_cols).orderBy(F.col(b).asc_nulls_first())
+    carry = (summary.select(*partition_cols, F.lead(b).over(wp).alias("__next"), "__last")
+             .where(F.col("__next").isNotNull()))
+
+    types = dict(with_b.dtypes)
+    marker_cols = []
+    for c in with_b.columns:
+        if c in partition_cols:
+            marker_cols.append(F.col(c))
+        elif c == b:
+            marker_cols.append(F.col("__next").alias(b))
+        elif c == value_col:
+            marker_cols.append(F.col("__last").alias(c))
+        else:
+            marker_cols.append(F.lit(None).cast(types[c]).alias(c))
+    markers = carry.select(*marker_cols, F.lit(0).alias(m))
+    rows = with_b.withColumn(m, F.lit(1))
+
+    w = Window.partitionBy(*partition_cols, b).orderBy(F.col(m), *order)
+    out = rows.unionByName(markers).withColumn(out_col, F.lag(value_col).over(w))
+    return out.where(F.col(m) == 1).select(*df.columns, out_col)

@@ -21,24 +21,34 @@ from ..schemas import WEI
 
 
 def _months(tx: DataFrame) -> DataFrame:
+    """Rows with a timestamp, keyed by the integer month ``mkey`` (yyyymm).
+
+    Grouping happens on the integer; the ``MM/yyyy`` text is built once per
+    group afterwards (:func:`_labelled`), not once per transaction.
+    """
     return tx.where(F.col("block_timestamp").isNotNull()) \
-        .withColumn("month", C.month_label("block_timestamp"))
+        .withColumn("mkey", C.month_key("block_timestamp"))
+
+
+def _labelled(agg: DataFrame, *cols) -> DataFrame:
+    return agg.select(C.month_key_label("mkey").alias("month"), *cols)
 
 
 def monthly_tx_count(tx: DataFrame) -> DataFrame:
     """Transactions per UTC month (``MM/yyyy``)."""
-    return _months(tx).groupBy("month").agg(F.count(F.lit(1)).alias("tx_count"))
+    agg = _months(tx).groupBy("mkey").agg(F.count(F.lit(1)).alias("tx_count"))
+    return _labelled(agg, "tx_count")
 
 
 def monthly_avg_value(tx: DataFrame) -> DataFrame:
     """Mean transferred value per month; the sum is exact, divided last."""
     t = _months(tx).where(F.col("value").isNotNull())
-    agg = t.groupBy("month").agg(
+    agg = t.groupBy("mkey").agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum("value").alias("total_value"),
     )
-    return agg.select(
-        "month", "tx_count", "total_value",
+    return _labelled(
+        agg, "tx_count", "total_value",
         (F.col("total_value").cast("double") / F.col("tx_count")).alias("avg_value"),
     )
 
@@ -46,13 +56,13 @@ def monthly_avg_value(tx: DataFrame) -> DataFrame:
 def monthly_gas_price(tx: DataFrame, chronological: bool = False) -> DataFrame:
     """Mean gas price per month, sorted by label (or by calendar month)."""
     t = _months(tx).where(F.col("gas_price").isNotNull())
-    agg = t.groupBy("month").agg(
+    agg = t.groupBy("mkey").agg(
         F.count(F.lit(1)).alias("tx_count"),
         F.sum("gas_price").alias("sum_gas_price"),
     )
-    out = agg.select("month", "tx_count",
+    out = agg.select("mkey", C.month_key_label("mkey").alias("month"), "tx_count",
                      (F.col("sum_gas_price") / F.col("tx_count")).alias("avg_gas_price"))
-    return out.orderBy(C.label_to_month("month") if chronological else F.col("month"))
+    return out.orderBy(F.col("mkey") if chronological else F.col("month")).drop("mkey")
 
 
 def value_by_address(tx: DataFrame, key: str = "to_address") -> DataFrame:
@@ -107,17 +117,16 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
     t = _months(tx).where(F.col("to_address").isNotNull() & F.col("gas").isNotNull())
     if fits_broadcast(copies, max_broadcast_rows):
         j = t.join(F.broadcast(copies), t["to_address"] == copies["address"])
-        per = j.select("month", F.col("copies").alias("n"),
+        per = j.select("mkey", F.col("copies").alias("n"),
                        (F.col("gas") * F.col("copies")).alias("g"))
     else:
-        pre = t.groupBy("to_address", "month").agg(
+        pre = t.groupBy("to_address", "mkey").agg(
             F.count(F.lit(1)).alias("n0"), F.sum("gas").alias("g0"))
         j = pre.join(copies, pre["to_address"] == copies["address"])
-        per = j.select("month", (F.col("n0") * F.col("copies")).alias("n"),
+        per = j.select("mkey", (F.col("n0") * F.col("copies")).alias("n"),
                        (F.col("g0") * F.col("copies")).alias("g"))
-    agg = per.groupBy("month").agg(F.sum("n").alias("tx_count"), F.sum("g").alias("sum_gas"))
-    return agg.select("month", "tx_count",
-                      (F.col("sum_gas") / F.col("tx_count")).alias("avg_gas"))
+    agg = per.groupBy("mkey").agg(F.sum("n").alias("tx_count"), F.sum("g").alias("sum_gas"))
+    return _labelled(agg, "tx_count", (F.col("sum_gas") / F.col("tx_count")).alias("avg_gas"))
 
 
 def contract_gas_sorted(tx: DataFrame, contracts: DataFrame) -> DataFrame:

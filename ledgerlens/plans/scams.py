@@ -57,8 +57,9 @@ def top10_scams(tx: DataFrame, scams: DataFrame, k: int = 10) -> DataFrame:
 def scam_time_series(tx: DataFrame, scams: DataFrame,
                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Value sent to scams per (month, category), summed exactly."""
-    month = F.when(F.col("block_timestamp").isNotNull(), C.month_label("block_timestamp"))
-    return _scam_value(tx, scams, {"month": month}, ["category"], max_broadcast_rows)
+    mkey = F.when(F.col("block_timestamp").isNotNull(), C.month_key("block_timestamp"))
+    v = _scam_value(tx, scams, {"mkey": mkey}, ["category"], max_broadcast_rows)
+    return v.select(C.month_key_label("mkey").alias("month"), "category", "total_value")
 
 
 def scam_join(tx: DataFrame, scams: DataFrame,

@@ -47,8 +47,11 @@ def _hour_bucket(bucket_seconds: int | None) -> Column | None:
 
 def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Transfer groups with the sender's previous counterparty."""
+    # bucket maxima straight from the transactions: the same key tuples as
+    # the groups, without recomputing the grouping
     return bucketed_lag(transfer_groups(tx), ["from_address"], SENDER_ORDER,
-                        "to_address", "prev_to_address", _hour_bucket(bucket_seconds))
+                        "to_address", "prev_to_address", _hour_bucket(bucket_seconds),
+                        summary_source=tx)
 
 
 def _heuristics(avg_col: str) -> Column:
