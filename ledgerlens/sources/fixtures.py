@@ -20,8 +20,25 @@ WEI_PER_UNIT = "1000000000000000000"
 GWEI = 1_000_000_000
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table of the driver data, opened once per session.
+
+    Opening a parquet path lists the files and reads the footers for the
+    schema (a small job each time); the DataFrame is lazy and immutable, so
+    every query of a session reuses the one handle.
+    """
+    import os
+
+    path = os.path.abspath(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def _sha(c: Column) -> Column:
