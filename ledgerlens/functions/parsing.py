@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import WEI
 
-# Accepted spellings of integer and floating point text.
+# Accepted spellings of integer and floating point text
+# (the integer pattern documents the rule the integer cast applies).
 INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 FLOAT_PATTERN = (
     r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$"
@@ -28,15 +29,27 @@ def _col(c: Column | str) -> Column:
 
 
 def is_int(c: Column | str) -> Column:
-    """Text Python's ``int()`` accepts and that fits a 64-bit integer."""
-    c = _col(c)
-    return F.coalesce(c.rlike(INT_PATTERN) & F.trim(c).try_cast("bigint").isNotNull(), F.lit(False))
+    """Text Python's ``int()`` accepts and that fits a 64-bit integer.
+
+    Spark's integer cast takes the same spellings (surrounding whitespace,
+    sign, ASCII digits; no ``_``, no decimal point) -- it only also trims
+    ASCII control characters -- so no pattern is needed here.
+    """
+    return F.coalesce(_col(c).try_cast("bigint").isNotNull(), F.lit(False))
 
 
 def is_float(c: Column | str) -> Column:
-    """Text Python's ``float()`` accepts (including nan / inf)."""
+    """Text Python's ``float()`` accepts (including nan / inf).
+
+    Plain decimal text is recognised by the decimal cast (cheap, and it covers
+    the integer amounts that make up nearly every row); only other text is
+    matched against the pattern, because Spark's double cast also takes
+    spellings Python rejects (``1d``, ``0x1p3``).
+    """
     c = _col(c)
-    return F.coalesce(c.rlike(FLOAT_PATTERN) & F.trim(c).try_cast("double").isNotNull(), F.lit(False))
+    plain = c.try_cast(WEI).isNotNull()
+    spelled = c.rlike(FLOAT_PATTERN) & c.try_cast("double").isNotNull()
+    return F.coalesce(plain | spelled, F.lit(False))
 
 
 def is_digits(c: Column | str) -> Column:
@@ -45,32 +58,30 @@ def is_digits(c: Column | str) -> Column:
 
 
 def to_long(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(c.rlike(INT_PATTERN), F.trim(c).try_cast("bigint"))
+    return _col(c).try_cast("bigint")
 
 
 def to_double(c: Column | str) -> Column:
     c = _col(c)
-    return F.when(c.rlike(FLOAT_PATTERN), F.trim(c).try_cast("double"))
+    return F.when(is_float(c), c.try_cast("double"))
 
 
 def to_wei(c: Column | str) -> Column:
     """Exact wei amount as ``decimal(38,0)``.
 
-    Integer text is cast directly (no rounding through a double). Other float
-    text goes through a double; ``nan``/``inf`` and values past 38 digits give
-    null, so they are dropped where an amount is required.
+    Decimal text is parsed exactly (no rounding through a double; a fraction
+    is rounded half up). Other float spellings go through a double;
+    ``nan``/``inf`` and values past 38 digits give null, so they are dropped
+    where an amount is required.
     """
     c = _col(c)
-    exact = F.trim(c).try_cast(WEI)
-    via_double = F.trim(c).try_cast("double").try_cast(WEI)
-    return (F.when(c.rlike(INT_PATTERN), exact)
-            .when(c.rlike(FLOAT_PATTERN), via_double))
+    return F.coalesce(c.try_cast(WEI),
+                      F.when(c.rlike(FLOAT_PATTERN), c.try_cast("double").try_cast(WEI)))
 
 
 def is_wei(c: Column | str) -> Column:
     """Float text that also has an exact decimal value (drops nan / inf)."""
-    return is_float(c) & to_wei(c).isNotNull()
+    return F.coalesce(to_wei(c).isNotNull(), F.lit(False))
 
 
 def to_flag(c: Column | str) -> Column:

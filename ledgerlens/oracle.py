@@ -140,9 +140,9 @@ def sql_to_long(x: str) -> str:
 
 
 def sql_to_wei(x: str) -> str:
-    i, f, _ = _patterns()
-    return (f"(case when {_re(x, i)} then try_cast(trim({x}) as decimal(38,0)) "
-            f"when {_re(x, f)} then try_cast(try_cast(trim({x}) as double) as decimal(38,0)) end)")
+    _, f, _ = _patterns()
+    return (f"(case when {_re(x, f)} then coalesce(try_cast(trim({x}) as decimal(38,0)), "
+            f"try_cast(try_cast(trim({x}) as double) as decimal(38,0))) end)")
 
 
 def sql_is_wei(x: str) -> str:
