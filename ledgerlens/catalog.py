@@ -717,3 +717,29 @@ def _format_metrics(spark, sf):
     """K6: the overhead metrics as formatted text (number formatting differs
     between engines: no SQL twin)."""
     return K.format_metrics(OV.data_overhead(src.from_tables(spark, sf).blocks))
+
+
+# ---------------------------------------------------------------- streaming: J1 / J2 / J7 over arriving files
+
+def _lines_in_files(spark, sf):
+    # the export arriving as several files, one micro-batch each
+    return FX.transaction_lines(spark, sf).repartition(4)
+
+
+@register("stream_monthly_stats", f"""
+select {M('block_timestamp')} as month, count(*) as tx_count, sum(value) as total_value,
+       cast(sum(value) as double) / count(value) as avg_value,
+       cast(sum(gas_price) as double) / count(gas_price) as avg_gas_price
+from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_full']}) t
+where block_timestamp is not null group by 1""")
+def _stream_monthly_stats(spark, sf):
+    """J1/J2/J7 maintained by a streaming aggregation, one file per micro-batch."""
+    from .streaming import monthly as SM
+
+    src_dir = scratch_path(spark, "tx-arrivals")
+    _lines_in_files(spark, sf).write.text(src_dir)
+    out, ckpt = scratch_path(spark, "monthly-changelog"), scratch_path(spark, "monthly-stream-ckpt")
+    stats = SM.monthly_stats(SM.transaction_stream(spark, src_dir, max_files_per_trigger=1))
+    q = SM.start_monthly_changelog(stats, out, ckpt)
+    q.awaitTermination()
+    return SM.with_averages(SM.read_latest(spark, out))
