@@ -118,10 +118,29 @@ def wash_flagged(tx: DataFrame) -> DataFrame:
 
 
 def wash_by_block_sender(tx: DataFrame) -> DataFrame:
-    """Value of flagged transfers per (block, sender), summed exactly."""
-    f = wash_flagged(tx)
-    return f.groupBy("block_number", "from_address").agg(
-        F.sum(F.col("value") * F.col("n")).alias("total_value"))
+    """Value of flagged transfers per (block, sender), summed exactly.
+
+    Same result as summing ``wash_flagged`` rows, without the window: in a
+    group of identical transfers (block, from, to, value) every row's running
+    count exceeds 1 except when it is the *only* row at the group's earliest
+    timestamp. So per group the flagged rows are all ``n`` rows, minus one
+    when that earliest timestamp holds a single row and the transfer is not
+    to oneself. Three aggregations with map-side combining; no sort.
+    """
+    t = tx.where(F.col("block_number").isNotNull() & F.col("value").isNotNull())
+    per_ts = t.groupBy(*BLOCK_KEYS, "block_timestamp").agg(F.count(F.lit(1)).alias("n_ts"))
+    per_group = per_ts.groupBy(*BLOCK_KEYS).agg(
+        F.sum("n_ts").alias("n"),
+        # rows at the earliest timestamp (null timestamps sort first, as in the window)
+        F.min_by("n_ts", F.struct(F.col("block_timestamp").isNotNull(), "block_timestamp"))
+        .alias("n_first"),
+    )
+    to_self = F.coalesce(F.col("from_address") == F.col("to_address"), F.lit(False))
+    lone_first = (F.col("n_first") == 1) & ~to_self
+    flagged = F.col("n") - F.when(lone_first, 1).otherwise(0)
+    return (per_group.where(flagged > 0)
+            .groupBy("block_number", "from_address")
+            .agg(F.sum(F.col("value") * flagged).alias("total_value")))
 
 
 def wash_top100(tx: DataFrame, k: int = 100) -> DataFrame:

@@ -36,11 +36,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
+        df = _spread(spark, spark.read.parquet(path)) if name in FACT_TABLES else spark.read.parquet(path)
         _TABLES[key] = df
     return df
 
 
+# The large driver tables every ledger table is derived from.
+FACT_TABLES = {"lineitem", "orders"}
+
+
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread an input that arrives in fewer splits than there are cores.
+
+    A parquet file written as one row group is read by one task, which then
+    also does all per-row derivation work (hashing, decimal arithmetic) while
+    the other cores idle. Only then is it redistributed round-robin; a large
+    input already has more splits than cores and is left as is.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _sha(c: Column) -> Column:
     return F.concat(F.lit("0x"), F.sha2(c, 256))
 
