@@ -1,0 +1,73 @@
+"""The job runner on export files written from the fixture tables."""
+
+import json
+
+import pytest
+
+from ledgerlens import jobs
+from ledgerlens.plans import ledger as L
+from ledgerlens.plans import scams as S
+from ledgerlens.session import scratch_path
+from ledgerlens.sinks import writers as K
+from ledgerlens.sources import fixtures as FX
+from ledgerlens.sources.ledger import from_tables
+
+
+@pytest.fixture(scope="module")
+def exports(spark, small):
+    paths = {}
+    for name, build in [("transactions", FX.transaction_lines), ("blocks", FX.block_lines),
+                        ("contracts", FX.contract_lines), ("scams", FX.scam_lines),
+                        ("scam-registry", FX.scam_documents)]:
+        paths[name] = scratch_path(spark, name)
+        build(spark, small).write.text(paths[name])
+    # CSV with header for the storage job
+    paths["blocks-csv"] = scratch_path(spark, "blocks-csv")
+    b = from_tables(spark, small).blocks
+    K.write_csv_header(b, b.columns, paths["blocks-csv"])
+    return paths
+
+
+def _args(exports, *names):
+    out = []
+    for n in names:
+        out += [f"--{n}", exports[n]]
+    return out
+
+
+def test_top_miners_pair_list(spark, small, exports):
+    out = jobs.main(["top-miners", "--out", scratch_path(spark, "res")] + _args(exports, "blocks"), spark)
+    assert "ethereum_top-miners_" in out
+    got = json.loads(spark.read.text(out).first()[0])
+    ref = L.top10_miners(from_tables(spark, small).blocks).collect()
+    assert [[r["miner"], r["total_size"]] for r in ref] == got
+
+
+def test_top_scams_and_registry_csv(spark, small, exports):
+    out = jobs.main(["top-scams", "--out", scratch_path(spark, "res"), "--no-stamp"]
+                    + _args(exports, "transactions", "scams"), spark)
+    got = json.loads(spark.read.text(out).first()[0])
+    d = from_tables(spark, small)
+    ref = S.top10_scams(d.transactions, d.scams).collect()
+    assert [json.loads(k) if isinstance(k, str) else k for k, _ in got] == \
+        [[str(r["id"]), r["category"]] for r in ref]
+    out2 = jobs.main(["scam-registry-csv", "--out", scratch_path(spark, "res"), "--no-stamp"]
+                     + _args(exports, "scam-registry"), spark)
+    assert spark.read.option("header", True).csv(out2).count() == d.scams.count()
+
+
+def test_overhead_and_convert(spark, small, exports):
+    out = jobs.main(["data-overhead", "--out", scratch_path(spark, "res"), "--no-stamp",
+                     "--blocks", exports["blocks-csv"]], spark)
+    m = spark.read.json(f"{out}/first_block_metrics").first()
+    assert m["hex_chars"] == 778
+    typed = scratch_path(spark, "typed")
+    jobs.main(["convert", "--out", typed] + _args(exports, "transactions", "blocks", "contracts", "scams"),
+              spark)
+    res = jobs.main(["monthly-count", "--out", scratch_path(spark, "res"), "--no-stamp", "--typed", typed],
+                    spark)
+    via_typed = dict((k, v) for k, v in json.loads(spark.read.text(res).first()[0]))
+    res2 = jobs.main(["monthly-count", "--out", scratch_path(spark, "res"), "--no-stamp"]
+                     + _args(exports, "transactions"), spark)
+    via_text = dict((k, v) for k, v in json.loads(spark.read.text(res2).first()[0]))
+    assert via_typed == via_text
