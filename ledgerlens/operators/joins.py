@@ -18,7 +18,12 @@ DEFAULT_BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
+    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check).
+
+    Pass the rows before any aggregation: a ``limit`` over an aggregate has
+    to finish the aggregate first, over raw rows it stops after
+    ``max_rows + 1`` of them.
+    """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -36,6 +41,8 @@ def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     Only the key of ``right`` is used; duplicates of it are removed before
     the exchange (partial aggregation), so a repeated address costs nothing.
     """
-    keys = right.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    keys, _ = maybe_broadcast(keys, max_broadcast_rows)
+    listed = right.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull())
+    keys = listed.distinct()
+    if fits_broadcast(listed, max_broadcast_rows):
+        keys = F.broadcast(keys)
     return left.join(keys, left[left_key] == keys["__k"], "left_semi")

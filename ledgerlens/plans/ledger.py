@@ -78,13 +78,15 @@ def top10_services(tx: DataFrame, contracts: DataFrame, k: int = 10,
     Only the total of each address is kept, so the join with the (possibly
     repeating) contract list is a semi join.
     """
-    keys = contracts.select("address").where(F.col("address").isNotNull()).distinct()
-    if fits_broadcast(keys, max_broadcast_rows):
+    listed = contracts.select("address").where(F.col("address").isNotNull())
+    keys = listed.distinct()
+    # bound the raw list (reads at most bound + 1 rows), not its distinct keys
+    if fits_broadcast(listed, max_broadcast_rows):
         # filter transactions on the map side, then aggregate what is left
         kept = tx.join(F.broadcast(keys), tx["to_address"] == keys["address"], "left_semi")
         totals = value_by_address(kept)
     else:
-        totals = semi_join(value_by_address(tx), keys, "to_address", "address")
+        totals = semi_join(value_by_address(tx), listed, "to_address", "address")
     totals = totals.withColumnRenamed("to_address", "address")
     return top_k(totals, k, "total_value", ["address"])
 
@@ -115,7 +117,7 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
     """
     copies = _contract_copies(contracts)
     t = _months(tx).where(F.col("to_address").isNotNull() & F.col("gas").isNotNull())
-    if fits_broadcast(copies, max_broadcast_rows):
+    if fits_broadcast(contracts.select("address"), max_broadcast_rows):
         j = t.join(F.broadcast(copies), t["to_address"] == copies["address"])
         per = j.select("mkey", F.col("copies").alias("n"),
                        (F.col("gas") * F.col("copies")).alias("g"))

@@ -82,6 +82,8 @@ def wash_heuristics_sender_mean(tx: DataFrame,
     """J13 with the price rule against the sender's mean gas price."""
     sender = tx.groupBy("from_address").agg(
         (F.sum("gas_price") / F.count("gas_price")).alias("sender_avg_gas_price"))
+    # one row per sender on the right; a hot sender's many groups on the left
+    # are split by adaptive skew-join handling
     g = prev_counterparty(tx, bucket_seconds)
     j = g.join(sender, g["from_address"].eqNullSafe(sender["from_address"])) \
         .drop(sender["from_address"])
