@@ -80,6 +80,24 @@ def contract_type_label(is_erc20: Column | str, is_erc721: Column | str) -> Colu
             .otherwise(TYPE_OTHER))
 
 
+# Labels in text order: the smallest label of a group is the label of the
+# smallest index, so "first label" aggregates can run on integers.
+TYPE_LABELS = sorted([TYPE_BOTH, TYPE_ERC20, TYPE_ERC721, TYPE_OTHER])
+KIND_LABELS = sorted([CONTRACT_CREATION, CONTRACT_INTERACTION])
+
+
+def label_index(label: Column, labels: list[str]) -> Column:
+    """Position of ``label`` in the sorted ``labels`` (an int, hash-aggregatable)."""
+    out = F.lit(None).cast("int")
+    for i, name in reversed(list(enumerate(labels))):
+        out = F.when(label == name, F.lit(i)).otherwise(out)
+    return out
+
+
+def index_label(index: Column, labels: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), index + 1)
+
+
 def interaction_kind(to_address: Column | str) -> Column:
     """A transaction without a target creates a contract; else it calls one."""
     t = _col(to_address)

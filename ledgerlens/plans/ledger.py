@@ -155,23 +155,25 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> Dat
         F.count("gas_price").alias("n_gp"),
         F.sum(C.fee_sum("max_fee_per_gas", "max_priority_fee_per_gas")).alias("fees"),
         F.min("block_number").alias("min_tx_block"),
-        F.min(C.interaction_kind("to_address")).alias("interaction"),
+        # smallest label, taken on its integer position (keeps a hash aggregate)
+        F.min(C.label_index(C.interaction_kind("to_address"), C.KIND_LABELS)).alias("kind_i"),
     )
     c = contracts.where(F.col("address").isNotNull()).groupBy("address").agg(
         F.count(F.lit(1)).alias("copies"),
         F.max("block_number").alias("max_contract_block"),
-        F.min(C.contract_type_label("is_erc20", "is_erc721")).alias("contract_type"),
+        F.min(C.label_index(C.contract_type_label("is_erc20", "is_erc721"), C.TYPE_LABELS))
+        .alias("type_i"),
     )
     j = t.join(c, "address")
     out = j.select(
-        "address", "contract_type",
+        "address", C.index_label(F.col("type_i"), C.TYPE_LABELS).alias("contract_type"),
         (F.col("n") * F.col("copies")).alias("calls"),
         (F.col("v") * F.col("copies")).cast(WEI).alias("total_value"),
         (F.col("g") * F.col("copies")).alias("total_gas"),
         (F.col("gp") / F.col("n_gp")).alias("avg_gas_price"),
         (F.col("fees") * F.col("copies")).alias("total_fees"),
         C.contract_age("min_tx_block", "max_contract_block").alias("contract_age"),
-        F.col("interaction").alias("interaction_kind"),
+        C.index_label(F.col("kind_i"), C.KIND_LABELS).alias("interaction_kind"),
     )
     return out.where(F.col("total_value") > 0)
 

@@ -29,6 +29,7 @@ PLAIN_TRANSFER_GAS = 21000
 CHEAP_GAS_PRICE = 1_000_000_000
 
 DEFAULT_BUCKET_SECONDS = 3600
+NULL_FIRST = -(2 ** 63)   # below every epoch second
 
 
 def transfer_groups(tx: DataFrame) -> DataFrame:
@@ -133,9 +134,9 @@ def wash_by_block_sender(tx: DataFrame) -> DataFrame:
     per_ts = t.groupBy(*BLOCK_KEYS, "block_timestamp").agg(F.count(F.lit(1)).alias("n_ts"))
     per_group = per_ts.groupBy(*BLOCK_KEYS).agg(
         F.sum("n_ts").alias("n"),
-        # rows at the earliest timestamp (null timestamps sort first, as in the window)
-        F.min_by("n_ts", F.struct(F.col("block_timestamp").isNotNull(), "block_timestamp"))
-        .alias("n_first"),
+        # rows at the earliest timestamp (a null timestamp sorts first, as in
+        # the window); a long ordering keeps this a hash aggregate
+        F.min_by("n_ts", F.coalesce("block_timestamp", F.lit(NULL_FIRST))).alias("n_first"),
     )
     to_self = F.coalesce(F.col("from_address") == F.col("to_address"), F.lit(False))
     lone_first = (F.col("n_first") == 1) & ~to_self
