@@ -409,7 +409,7 @@ def _tx_split(spark, sf):
 def _scan_text_lines(spark, sf):
     from pyspark.sql import functions as F
 
-    return _tx_split(spark, sf).select("value", F.size("fields").alias("n_fields"))
+    return _tx_split(spark, sf).select("value", F.size("fields").cast("bigint").alias("n_fields"))
 
 
 @register("split_fields", f"""
@@ -420,7 +420,7 @@ def _split_fields(spark, sf):
     from pyspark.sql import functions as F
 
     s = _tx_split(spark, sf)
-    return s.select(F.size("fields").alias("n_fields"), TX.field(3).alias("block_number"),
+    return s.select(F.size("fields").cast("bigint").alias("n_fields"), TX.field(3).alias("block_number"),
                     TX.field(5).alias("from_address"), TX.field(6).alias("to_address"),
                     TX.field(7).alias("value"), TX.field(11).alias("block_timestamp"))
 

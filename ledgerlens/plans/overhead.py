@@ -48,7 +48,7 @@ def data_overhead_first_block(blocks: DataFrame, hex_cols: Sequence[str] = HEX_C
     rest = [c for c in blocks.columns if c not in hex_cols]
     first_rest = rest[0]
     sums = blocks.agg(
-        F.min_by(_row_len(hex_cols), F.col("number")).alias("hex_chars"),
+        F.min_by(_row_len(hex_cols), F.col("number")).cast("bigint").alias("hex_chars"),
         F.sum(text_length(first_rest)).alias("remaining_bytes"),
     )
     return sums.select("hex_chars", "remaining_bytes",
