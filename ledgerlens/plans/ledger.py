@@ -170,7 +170,7 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> Dat
         (F.col("n") * F.col("copies")).alias("calls"),
         (F.col("v") * F.col("copies")).cast(WEI).alias("total_value"),
         (F.col("g") * F.col("copies")).alias("total_gas"),
-        (F.col("gp") / F.col("n_gp")).alias("avg_gas_price"),
+        F.try_divide("gp", "n_gp").alias("avg_gas_price"),
         (F.col("fees") * F.col("copies")).alias("total_fees"),
         C.contract_age("min_tx_block", "max_contract_block").alias("contract_age"),
         C.index_label(F.col("kind_i"), C.KIND_LABELS).alias("interaction_kind"),

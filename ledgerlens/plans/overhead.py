@@ -30,7 +30,7 @@ def _metrics(hex_chars, rest_bytes) -> list:
     hex_mb = hex_chars / F.lit(HEX_CHARS_PER_BYTE) / F.lit(MB)
     rest_mb = rest_bytes / F.lit(MB)
     return [hex_mb.alias("total_hex_mb"), rest_mb.alias("remaining_mb"),
-            (hex_mb / (hex_mb + rest_mb) * 100).alias("space_saved_pct")]
+            (F.try_divide(hex_mb, hex_mb + rest_mb) * 100).alias("space_saved_pct")]
 
 
 def data_overhead(blocks: DataFrame, hex_cols: Sequence[str] = HEX_COLUMNS) -> DataFrame:

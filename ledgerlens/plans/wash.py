@@ -36,7 +36,7 @@ def transfer_groups(tx: DataFrame) -> DataFrame:
     """Identical transfers collapsed, with their count and mean gas price."""
     return tx.groupBy(*TRANSFER_KEYS).agg(
         F.count(F.lit(1)).alias("tx_count"),
-        (F.sum("gas_price") / F.count("gas_price")).alias("avg_gas_price"),
+        F.try_divide(F.sum("gas_price"), F.count("gas_price")).alias("avg_gas_price"),
     )
 
 
@@ -82,7 +82,7 @@ def wash_heuristics_sender_mean(tx: DataFrame,
                                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """J13 with the price rule against the sender's mean gas price."""
     sender = tx.groupBy("from_address").agg(
-        (F.sum("gas_price") / F.count("gas_price")).alias("sender_avg_gas_price"))
+        F.try_divide(F.sum("gas_price"), F.count("gas_price")).alias("sender_avg_gas_price"))
     # one row per sender on the right; a hot sender's many groups on the left
     # are split by adaptive skew-join handling
     g = prev_counterparty(tx, bucket_seconds)

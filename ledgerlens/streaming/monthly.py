@@ -55,8 +55,8 @@ def with_averages(stats: DataFrame) -> DataFrame:
     """J2 / J7 means from the running totals (divided last)."""
     return stats.select(
         "month", "tx_count", "total_value",
-        (F.col("total_value").cast("double") / F.col("value_count")).alias("avg_value"),
-        (F.col("sum_gas_price") / F.col("gas_price_count")).alias("avg_gas_price"),
+        F.try_divide(F.col("total_value").cast("double"), "value_count").alias("avg_value"),
+        F.try_divide("sum_gas_price", "gas_price_count").alias("avg_gas_price"),
     )
 
 

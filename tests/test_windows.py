@@ -51,3 +51,17 @@ def test_running_count_equals_range_window(spark):
            .groupBy("b", "k", "v", "ts", "cnt").agg(F.count(F.lit(1)).alias("n")))
     cols = ["b", "k", "v", "ts", "n", "cnt"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, ref.select(cols).collect()))
+
+
+def test_means_with_no_prices_are_null_not_errors(spark):
+    """A group whose prices are all missing has no mean (ANSI mode stays on)."""
+    from decimal import Decimal
+
+    from ledgerlens.plans.wash import transfer_groups
+
+    df = spark.createDataFrame(
+        [("a", "b", Decimal(1), 21000, None, 10), ("a", "b", Decimal(1), 21000, None, 10)],
+        "from_address string, to_address string, value decimal(38,0), gas long, gas_price long, "
+        "block_timestamp long")
+    r = transfer_groups(df).first()
+    assert r["tx_count"] == 2 and r["avg_gas_price"] is None
