@@ -40,9 +40,14 @@ def semi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 
     Only the key of ``right`` is used; duplicates of it are removed before
     the exchange (partial aggregation), so a repeated address costs nothing.
+    A proven-small key set is broadcast (left semi join). Otherwise the keys
+    are joined as an inner join on the distinct keys -- the same rows -- which
+    the optimizer does not move below an aggregate on ``left``: a left semi
+    join would be pushed under it, shuffling the raw rows by a possibly hot
+    key instead of one pre-aggregated row per key.
     """
     listed = right.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull())
     keys = listed.distinct()
     if fits_broadcast(listed, max_broadcast_rows):
-        keys = F.broadcast(keys)
-    return left.join(keys, left[left_key] == keys["__k"], "left_semi")
+        return left.join(F.broadcast(keys), left[left_key] == keys["__k"], "left_semi")
+    return left.join(keys, left[left_key] == keys["__k"], "inner").drop("__k")

@@ -86,7 +86,8 @@ def top10_services(tx: DataFrame, contracts: DataFrame, k: int = 10,
         kept = tx.join(F.broadcast(keys), tx["to_address"] == keys["address"], "left_semi")
         totals = value_by_address(kept)
     else:
-        totals = semi_join(value_by_address(tx), listed, "to_address", "address")
+        totals = semi_join(value_by_address(tx), listed, "to_address", "address",
+                           max_broadcast_rows)
     totals = totals.withColumnRenamed("to_address", "address")
     return top_k(totals, k, "total_value", ["address"])
 
@@ -131,9 +132,14 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
     return _labelled(agg, "tx_count", (F.col("sum_gas") / F.col("tx_count")).alias("avg_gas"))
 
 
-def contract_gas_sorted(tx: DataFrame, contracts: DataFrame) -> DataFrame:
-    """J8 ordered by mean gas, highest first (numeric order, not text order)."""
-    return contract_gas_monthly(tx, contracts).orderBy(F.col("avg_gas").desc(), "month")
+def contract_gas_sorted(tx: DataFrame, contracts: DataFrame, text_order: bool = False) -> DataFrame:
+    """J8 ordered by mean gas, highest first.
+
+    Numeric order by default; ``text_order`` sorts by the printed mean, as a
+    sort of the numbers' text would (``"9..."`` before ``"10..."``).
+    """
+    key = F.col("avg_gas").cast("string") if text_order else F.col("avg_gas")
+    return contract_gas_monthly(tx, contracts).orderBy(key.desc(), "month")
 
 
 def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> DataFrame:
