@@ -129,7 +129,7 @@ JOBS: dict[str, Writer] = {
     "top-services": _pairs(lambda i: L.top10_services(i.transactions, i.contracts),
                            ["address"], "total_value"),
     "top-miners": _pairs(lambda i: L.top10_miners(i.blocks), ["miner"], "total_size"),
-    "contract-types": _json(lambda i: L.contract_types(i.transactions, i.contracts)),
+    "contract-types": _json(lambda i: L.contract_types(i.transactions, i.contracts, side=i.args.side)),
     "data-overhead": _overhead,
     "gas-price": _pairs(lambda i: L.monthly_gas_price(i.transactions), ["month"], "avg_gas_price"),
     "contract-gas": _pairs(lambda i: L.contract_gas_monthly(i.transactions, i.contracts),
@@ -158,6 +158,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     for name in ("transactions", "blocks", "contracts", "scams", "scam-registry", "typed"):
         p.add_argument(f"--{name}")
     p.add_argument("--infer-schema", action="store_true", help="CSV schema inference for blocks")
+    p.add_argument("--side", choices=["to", "from"], default="to",
+                   help="contract-types: match contracts with the receiver or the sender")
     p.add_argument("--whole-file-registry", action="store_true",
                    help="the registry is one JSON document per file")
     p.add_argument("--no-stamp", action="store_true", help="write to --out directly")

@@ -20,11 +20,15 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded-cost check).
 
-    Pass the rows before any aggregation: a ``limit`` over an aggregate has
-    to finish the aggregate first, over raw rows it stops after
-    ``max_rows + 1`` of them.
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once ``max_rows + 1`` rows are found, so a huge input costs about
+    ``max_rows`` rows of reading, not one task per partition; only a constant
+    column is returned. Pass the rows before any aggregation: over an
+    aggregate the whole aggregate would be computed first.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    if max_rows <= 0:
+        return False
+    return len(df.select(F.lit(1).alias("_")).take(max_rows + 1)) <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
