@@ -109,8 +109,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS / object
-    store) and is used as is. Only when nothing is configured -- local tests --
-    a fresh scratch folder is created.
+    store) and is used as is; a cluster session without one is an error.
+    Only a local-mode session without one (tests) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -118,6 +118,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        # executors on other machines cannot see a local folder
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
     path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
