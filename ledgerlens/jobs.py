@@ -49,10 +49,15 @@ class Inputs:
 
     @property
     def transactions(self) -> DataFrame:
+        return self.tx(V.tx_full)
+
+    def tx(self, check) -> DataFrame:
+        """Typed transactions; from text, the lines the job's own check keeps."""
         t = self._typed("transactions")
         if t is not None:
             return t.drop("month") if "month" in t.columns else t
-        return src.transactions_from_lines(TX.read_lines(self.spark, self._need("transactions")))
+        split = TX.split_fields(TX.read_lines(self.spark, self._need("transactions")))
+        return TX.typed_transactions(split.where(check()))
 
     @property
     def blocks(self) -> DataFrame:
@@ -112,7 +117,7 @@ def _overhead(i: Inputs, out: str) -> None:
 
 
 def _scam_pairs(i: Inputs, out: str) -> None:
-    K.write_json(S.tx_pairs(i.transactions), f"{out}/transactions")
+    K.write_json(S.tx_pairs(i.tx(V.tx_digits_value)), f"{out}/transactions")
     K.write_json(S.scam_pairs(i.registry), f"{out}/scams")
 
 
@@ -122,26 +127,40 @@ def _scam_csv(i: Inputs, out: str) -> None:
 
 
 # job name -> writer of its result folder
+def _ts_ok():
+    # J1 parses only the timestamp: 15 fields and an integer timestamp
+    from .functions.parsing import is_int
+    return V.tx_arity() & is_int(TX.tx_field("block_timestamp"))
+
+
+def _services_ok():
+    # 15 fields, digit block number, and an integer amount
+    from .functions.parsing import is_wei
+    return V.tx_block_digits() & is_wei(TX.tx_field("value"))
+
+
 JOBS: dict[str, Writer] = {
-    "monthly-count": _pairs(lambda i: L.monthly_tx_count(i.transactions), ["month"], "tx_count"),
+    "monthly-count": _pairs(lambda i: L.monthly_tx_count(i.tx(_ts_ok)), ["month"], "tx_count"),
     "monthly-value": lambda i, out: K.write_csv_lines(
-        L.monthly_avg_value(i.transactions), ["month", "avg_value"], out),
-    "top-services": _pairs(lambda i: L.top10_services(i.transactions, i.contracts),
+        L.monthly_avg_value(i.tx(V.tx_value_ts)), ["month", "avg_value"], out),
+    "top-services": _pairs(lambda i: L.top10_services(i.tx(_services_ok), i.contracts),
                            ["address"], "total_value"),
     "top-miners": _pairs(lambda i: L.top10_miners(i.blocks), ["miner"], "total_size"),
-    "contract-types": _json(lambda i: L.contract_types(i.transactions, i.contracts, side=i.args.side)),
+    "contract-types": _json(lambda i: L.contract_types(i.tx(V.tx_arity), i.contracts,
+                                                       side=i.args.side)),
     "data-overhead": _overhead,
-    "gas-price": _pairs(lambda i: L.monthly_gas_price(i.transactions), ["month"], "avg_gas_price"),
-    "contract-gas": _pairs(lambda i: L.contract_gas_monthly(i.transactions, i.contracts),
+    "gas-price": _pairs(lambda i: L.monthly_gas_price(i.tx(V.tx_gas_price)), ["month"],
+                        "avg_gas_price"),
+    "contract-gas": _pairs(lambda i: L.contract_gas_monthly(i.tx(_ts_ok), i.contracts),
                            ["month"], "avg_gas"),
-    "top-scams": _pairs(lambda i: S.top10_scams(i.transactions, i.scams),
+    "top-scams": _pairs(lambda i: S.top10_scams(i.tx(V.tx_full), i.scams),
                         ["id", "category"], "total_value"),
-    "scam-series": _json(lambda i: S.scam_time_series(i.transactions, i.scams)),
+    "scam-series": _json(lambda i: S.scam_time_series(i.tx(V.tx_full), i.scams)),
     "scam-registry-csv": _scam_csv,
     "scam-pairs": _scam_pairs,
-    "wash-50": _json(lambda i: W.wash_heuristics_50(i.transactions)),
-    "wash-heuristics": _json(lambda i: W.wash_heuristics(i.transactions)),
-    "wash-top100": _pairs(lambda i: W.wash_top100(i.transactions),
+    "wash-50": _json(lambda i: W.wash_heuristics_50(i.tx(V.tx_arity))),
+    "wash-heuristics": _json(lambda i: W.wash_heuristics(i.tx(V.tx_arity))),
+    "wash-top100": _pairs(lambda i: W.wash_top100(i.tx(V.tx_block_value)),
                           ["block_number", "from_address"], "total_value"),
 }
 

@@ -70,4 +70,9 @@ def test_overhead_and_convert(spark, small, exports):
     res2 = jobs.main(["monthly-count", "--out", scratch_path(spark, "res"), "--no-stamp"]
                      + _args(exports, "transactions"), spark)
     via_text = dict((k, v) for k, v in json.loads(spark.read.text(res2).first()[0]))
-    assert via_typed == via_text
+    # the count job only needs a timestamp: from text it also keeps the five
+    # malformed-amount lines (abc, 1d, 0x1p3, 1_000, nan) the typed copy drops
+    bad_month = "07/2017"
+    assert via_text[bad_month] == via_typed[bad_month] + 5
+    assert {k: v for k, v in via_text.items() if k != bad_month} == \
+        {k: v for k, v in via_typed.items() if k != bad_month}
