@@ -253,11 +253,14 @@ def _top10_scams(spark, sf):
     return S.top10_scams(d.transactions, d.scams)
 
 
-@register("scam_time_series", f"""
+SQL_RAW_SCAM_SERIES = f"""
 select {M('t.block_timestamp')} as month, s.category as category, sum(t.value) as total_value
 from transactions t join scams s on t.to_address = s.address
 where t.to_address is not null and t.value is not null and t.block_timestamp is not null
-group by 1, 2""")
+group by 1, 2"""
+
+
+@register("scam_time_series", SQL_RAW_SCAM_SERIES)
 def _scam_time_series(spark, sf):
     d = src.from_tables(spark, sf)
     return S.scam_time_series(d.transactions, d.scams)
@@ -743,3 +746,128 @@ def _stream_monthly_stats(spark, sf):
     q = SM.start_monthly_changelog(stats, out, ckpt)
     q.awaitTermination()
     return SM.with_averages(SM.read_latest(spark, out))
+
+
+# ---------------------------------------------------------------- jobs as run on the text exports
+# Each original job read the CSV text and kept the lines its own check
+# accepted; these variants run the same plans on the written text exports.
+
+import re as _re  # noqa: E402
+
+from .functions import parsing as _P  # noqa: E402
+
+
+def _tx_text(spark, sf, check):
+    return TX.typed_transactions(_tx_split(spark, sf).where(check()))
+
+
+def _contracts_text(spark, sf):
+    s = TX.split_fields(FX.as_text_file(spark, sf, "contracts", FX.contract_lines))
+    return TX.typed_contracts(s.where(V.contract_arity() & (TX.field(0) != "address")))
+
+
+def _scams_text(spark, sf):
+    return TX.typed_scams(TX.split_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
+                          .where(V.scam_line()))
+
+
+def _blocks_text(spark, sf):
+    return TX.typed_blocks(TX.split_fields(FX.as_text_file(spark, sf, "blocks", FX.block_lines))
+                           .where(V.block_line()))
+
+
+def _ts_ok():
+    return V.tx_arity() & _P.is_int(TX.tx_field("block_timestamp"))
+
+
+def _services_ok():
+    return V.tx_block_digits() & _P.is_wei(TX.tx_field("value"))
+
+
+_TSF = O.f(11)
+_TEXT_TX_SQL = {
+    "tx_text_ts": f"len(fields) = 15 and {O.sql_is_int(_TSF)}",
+    "tx_text_value_ts": _TX_PRED_SQL["valid_tx_value_ts"],
+    "tx_text_services": f"{_TX_PRED_SQL['valid_tx_block_digits']} and {O.sql_is_wei(O.f(7))}",
+    "tx_text_gas_price": _TX_PRED_SQL["valid_tx_gas_price"],
+    "tx_text_full": _TX_PRED_SQL["valid_tx_full"],
+    "tx_text_block_value": _TX_PRED_SQL["valid_tx_block_value"],
+}
+for _name, _pred in _TEXT_TX_SQL.items():
+    O.DERIVED[_name] = f"select {O.typed_tx_cols()} from tx_split where {_pred}"
+O.DERIVED["contracts_text"] = (f"select {O.typed_contract_cols()} from contract_split "
+                               f"where len(fields) = 6 and {O.f(0)} <> 'address'")
+O.DERIVED["scams_text"] = (f"select {O.typed_scam_cols()} from scam_split "
+                           f"where len(fields) = 9 and {O.sql_is_int(O.f(0))}")
+O.DERIVED["blocks_text"] = (f"select {O.typed_block_cols()} from block_split "
+                            f"where len(fields) = 19 and {O.f(1)} <> 'hash'")
+
+
+def _on_text(sql: str, tx: str | None = None) -> str:
+    """The same statement over the text-derived views."""
+    out = sql
+    if tx:
+        out = _re.sub(r"\btransactions\b", tx, out)
+    for view in ("contracts", "scams", "blocks"):
+        out = _re.sub(rf"\b{view}\b", f"{view}_text", out)
+    return out
+
+
+_J2_FULL_SQL = f"""
+select {M('block_timestamp')} as month, count(*) as tx_count, sum(value) as total_value,
+       cast(sum(value) as double) / count(*) as avg_value
+from transactions where block_timestamp is not null and value is not null group by 1"""
+
+
+@register("monthly_tx_count_text", _on_text(_J1_SQL, "tx_text_ts"))
+def _monthly_tx_count_text(spark, sf):
+    """J1 as run: 15 fields and an integer timestamp."""
+    return L.monthly_tx_count(_tx_text(spark, sf, _ts_ok))
+
+
+@register("monthly_avg_value_text", _on_text(_J2_FULL_SQL, "tx_text_value_ts"))
+def _monthly_avg_value_text(spark, sf):
+    """J2 as run: F2 lines."""
+    return L.monthly_avg_value(_tx_text(spark, sf, V.tx_value_ts))
+
+
+@register("top10_services_text", _on_text(_CONTRACT_TOTALS, "tx_text_services")
+          + "\norder by total_value desc, address limit 10")
+def _top10_services_text(spark, sf):
+    """J3 as run: F3 transaction lines, F4 contract lines."""
+    return L.top10_services(_tx_text(spark, sf, _services_ok), _contracts_text(spark, sf))
+
+
+@register("top10_miners_text", _on_text(_MINER_SQL) + "\norder by total_size desc, miner limit 10")
+def _top10_miners_text(spark, sf):
+    """J4 as run: F5 block lines."""
+    return L.top10_miners(_blocks_text(spark, sf))
+
+
+@register("monthly_gas_price_text", _on_text(_GAS_PRICE_SQL, "tx_text_gas_price"))
+def _monthly_gas_price_text(spark, sf):
+    """J7 as run: F6 lines."""
+    return L.monthly_gas_price(_tx_text(spark, sf, V.tx_gas_price))
+
+
+@register("top10_scams_text", _on_text(_SCAM_VALUE, "tx_text_full")
+          + "\norder by total_value desc, id, category limit 10")
+def _top10_scams_text(spark, sf):
+    """J9 as run: F9 transaction lines, F8 scam lines."""
+    return S.top10_scams(_tx_text(spark, sf, V.tx_full), _scams_text(spark, sf))
+
+
+@register("scam_time_series_text", _on_text(SQL_RAW_SCAM_SERIES, "tx_text_full"))
+def _scam_time_series_text(spark, sf):
+    """J10 as run: F9 transaction lines, F8 scam lines."""
+    return S.scam_time_series(_tx_text(spark, sf, V.tx_full), _scams_text(spark, sf))
+
+
+_J14_TEXT = "with " + _RUNNING.replace("from transactions", "from tx_text_block_value") \
+    + _BY_BLOCK_SENDER + "\norder by total_value desc, block_number, from_address limit 100"
+
+
+@register("wash_top100_text", _J14_TEXT)
+def _wash_top100_text(spark, sf):
+    """J14 as run: F7 lines."""
+    return W.wash_top100(_tx_text(spark, sf, V.tx_block_value))
