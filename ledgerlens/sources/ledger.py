@@ -32,7 +32,27 @@ def _typed_contracts(c: DataFrame) -> DataFrame:
                     F.col("block_number").cast("bigint").alias("block_number"))
 
 
+_FROM_TABLES: dict[tuple[str, str], Ledger] = {}
+
+
 def from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
+    """Ledger tables derived from the driver tables in ``sf_dir``.
+
+    Built once per session: the DataFrames are lazy and immutable, and
+    building them (dozens of column expressions, each analysed on creation)
+    costs more driver time than many small jobs take to run.
+    """
+    import os
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    led = _FROM_TABLES.get(key)
+    if led is None or led.transactions.sparkSession is not spark:
+        led = _build_from_tables(spark, sf_dir)
+        _FROM_TABLES[key] = led
+    return led
+
+
+def _build_from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
     return Ledger(
         transactions=fixtures.transactions(spark, sf_dir),
         blocks=fixtures.blocks(spark, sf_dir),
