@@ -105,6 +105,14 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     )
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application, for per-session caches."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return f"session-{id(spark)}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, choosing one only if unset.
 
@@ -112,7 +120,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     store) and is used as is; a cluster session without one is an error.
     Only a local-mode session without one (tests) gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the configuration is visible
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", path)
+        return path
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TRANSACTION_FIELDS, WEI
+from ..session import session_key
 
 WEI_PER_UNIT = "1000000000000000000"
 GWEI = 1_000_000_000
@@ -33,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     import os
 
     path = os.path.abspath(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
@@ -243,7 +244,7 @@ def as_text_file(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
 
     from ..session import scratch_path
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (session_key(spark), os.path.abspath(sf_dir), name)
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"{name}-text")

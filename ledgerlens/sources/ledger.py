@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import to_flag
 from ..operators import validate as V
+from ..session import session_key
 from . import fixtures, text
 
 
@@ -44,7 +45,7 @@ def from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
     """
     import os
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (session_key(spark), os.path.abspath(sf_dir))
     led = _FROM_TABLES.get(key)
     if led is None or led.transactions.sparkSession is not spark:
         led = _build_from_tables(spark, sf_dir)
