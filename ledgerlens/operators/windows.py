@@ -5,11 +5,12 @@ operators here keep that bounded:
 
 * ``running_count`` pre-aggregates rows that share (partition, order value)
   before the window, so copies of a row cost one window row.
-* ``bucketed_lag`` splits each partition into order-preserving buckets, takes
-  the lag inside each bucket, and patches the first row of every bucket with
-  the last value of the previous non-empty bucket (found on the per-bucket
-  summaries, which are small). A key holding a third of all rows is spread
-  over as many tasks as it has buckets.
+* ``bucketed_lag`` splits each partition into order-preserving buckets and
+  takes the lag inside each bucket. The last value of every bucket (from a
+  small per-bucket summary) is carried into the next non-empty bucket of the
+  same partition as a marker row that sorts first, so the first real row of
+  a bucket lags onto it. A key holding a third of all rows is spread over as
+  many tasks as it has buckets, and the large side is shuffled once.
 """
 
 from __future__ import annotations
