@@ -65,3 +65,31 @@ def test_means_with_no_prices_are_null_not_errors(spark):
         "block_timestamp long")
     r = transfer_groups(df).first()
     assert r["tx_count"] == 2 and r["avg_gas_price"] is None
+
+
+def test_j14_ranking_equals_literal_window_on_ties_and_nulls(spark):
+    """Aggregate-only J14 equals count(*) OVER (... ORDER BY ts) > 1 | self."""
+    import random
+    from decimal import Decimal
+
+    from ledgerlens.plans.wash import wash_by_block_sender
+
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(3000):
+        b = rnd.randint(1, 30)
+        f = f"s{rnd.randint(1, 6)}"
+        t = f if rnd.random() < 0.1 else f"r{rnd.randint(1, 4)}"
+        v = Decimal(rnd.choice([0, 1, 2, 10**20]))
+        ts = None if rnd.random() < 0.05 else rnd.choice([100, 100, 200, 300])
+        rows.append((b, f, t, v, ts))
+    df = spark.createDataFrame(
+        rows, "block_number long, from_address string, to_address string, value decimal(38,0), "
+              "block_timestamp long")
+    w = Window.partitionBy("block_number", "from_address", "to_address", "value") \
+        .orderBy(F.col("block_timestamp").asc_nulls_first())
+    lit = (df.withColumn("c", F.count(F.lit(1)).over(w))
+           .where((F.col("c") > 1) | (F.col("from_address") == F.col("to_address")))
+           .groupBy("block_number", "from_address").agg(F.sum("value").alias("total_value")))
+    got = wash_by_block_sender(df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lit.collect()))
