@@ -77,7 +77,8 @@ def build_session(
 
     deployed = SparkConf()          # spark.* settings handed to this process
     defaults = dict(BASE_CONF)
-    if not (master or deployed.get("spark.master", "")).startswith("local"):
+    target = master or deployed.get("spark.master", "")
+    if target and not target.startswith("local"):   # no master at all runs locally
         defaults.update(CLUSTER_CONF)
     builder = SparkSession.builder.appName(app_name)
     if master:
