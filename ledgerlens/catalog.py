@@ -4,6 +4,14 @@ Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 ledger tables derived from the driver tables in ``sf_dir``. ``SQL`` holds
 the equivalent DuckDB statement (column names identical) for entries that
 have one.
+
+Names follow the operator inventory: jobs (``monthly_tx_count`` ...
+``wash_top100``) run on the typed tables; ``valid_*`` / ``typed_*`` /
+``split_*`` / ``scan_text_lines`` exercise the line checks on the written
+text exports; ``*_text`` runs a job the way the original script did, on the
+text export with that job's own line check; ``scan_*`` / ``sink_*`` /
+``read_*`` round-trip through files under the session's checkpoint folder;
+``stream_*`` runs through Structured Streaming.
 """
 
 from __future__ import annotations
