@@ -40,8 +40,8 @@ def test_pair_list_round_trip_compound_key(spark, small):
 
 
 def test_run_stamped_path_has_no_colon():
-    p = K.run_stamped_path("/data/out", "parta1")
-    assert ":" not in p.split("/")[-1] and p.startswith("/data/out/ethereum_parta1_")
+    p = K.run_stamped_path("/data/out", "monthly-count")
+    assert ":" not in p.split("/")[-1] and p.startswith("/data/out/ethereum_monthly-count_")
 
 
 def test_typed_parquet_copy(spark, small):
