@@ -48,3 +48,16 @@ def test_session_defaults_do_not_override_deployment():
 
     assert "spark.sql.shuffle.partitions" in CLUSTER_CONF
     assert BASE_CONF["spark.sql.session.timeZone"] == "UTC"
+
+
+def test_rows_only_queries_are_exact_renderings(spark, small):
+    """The two queries without SQL twins print numbers the others compute."""
+    import __spark_entry__ as E
+
+    q = E.queries()
+    text = {r["month"]: r["avg_value_text"] for r in q["avg_value_text"](spark, small).collect()}
+    nums = {r["month"]: r["avg_value"] for r in L.monthly_avg_value(from_tables(spark, small).transactions).collect()}
+    assert text.keys() == nums.keys()
+    assert all(float(text[m]) == nums[m] for m in nums)
+    fm = q["format_metrics"](spark, small).first()
+    assert fm["hex_chars"].replace(",", "").split(".")[0].isdigit()
