@@ -8,7 +8,7 @@ lineage) are Parquet tables in the shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,6 +30,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:
+    """Shuffle partitions for ``df``: the session's number, or more where the
+    planner's size estimate asks for more to stay near ``target_bytes`` each."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, min(-(-estimate // target_bytes), 1_000_000))
+
+
 def ascii_lower(c):
     """A-Z lower-cased, every other character kept."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -123,10 +131,3 @@ def _star(e: DataFrame, larger: bool, name: str) -> DataFrame:
         out = (joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                .unionAll(least.select("u", F.col("m").alias("v"))))
     return out.where("u != v").distinct()
-
-
-def record(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    """A record batch from row tuples."""
-    columns = list(zip(*rows)) or [()] * len(schema)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, simhash
+from . import planes, sharding, simhash
+from ..session import scratch_path
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_bit_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in the plane format and read back."""
+    path = scratch_path(spark, "id-planes")
+    planes.write_ids(table(spark, sf_dir, "documents"), path)
+    return planes.read_documents(spark, path)
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
