@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import planes, sharding, simhash
+from . import decontaminate, planes, quality, sharding, simhash
 from ..session import scratch_path
 from .common import table
 
@@ -36,6 +36,23 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"),
+                                             table(spark, sf_dir, "benchmark"))
+    return decontaminate.digest(found)
+
+
+SQL["op6_benchmark_decontamination"] = decontaminate.SQL
+
+
+@query
+def op8_quality_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document over 40 shards, and its shard of 41."""
