@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, planes, quality, sharding, simhash
+from . import decontaminate, langid, planes, quality, sharding, simhash
 from ..session import scratch_path
-from .common import table
+from .common import crc_class, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +36,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@query
+def op4_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.learn(docs))
+    held_out = F.coalesce(crc_class(F.col("doc_id")) == langid.HELD_OUT, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score",
+                        "margin", "rejected")
+
+
 @query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
