@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, planes, quality, sharding, simhash
+from . import decontaminate, divergence, langid, planes, quality, sharding, simhash
 from ..session import scratch_path
 from .common import crc_class, table
 
@@ -36,6 +36,13 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+@query
+def op3_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return divergence.judge(docs, divergence.references(docs))
+
+
 @query
 def op4_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
