@@ -12,10 +12,12 @@ import uuid
 from collections.abc import Iterator
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize, pieces, utf8
 
@@ -178,6 +180,21 @@ def _merge(parts: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, _HITS)
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, size: int,
+            block_chars: int) -> list[DataFrame]:
+    """The patterns in blocks of about ``block_chars`` characters, measured first."""
+    found = materialize(patterns(benchmark, item_col, item_text_col, size), "benchmark-windows")
+    chars = found.agg(F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0]
+    n = max(1, -(-(chars or 0) // block_chars))
+    return [found.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i) for i in range(n)]
+
+
+def _sent(block: DataFrame) -> Broadcast:
+    """A block of patterns, broadcast under a name of its own."""
+    rows = [tuple(r) for r in block.collect()]
+    return block.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                        size: int = WINDOW_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -194,25 +211,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     characters, measured first. Larger benchmarks are scanned block by block
     against all texts, and only rows with hits are kept per block.
     """
-    found = materialize(patterns(benchmark, item_col, item_text_col, size), "benchmark-windows")
-    chars = found.agg(F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0]
-    blocks = max(1, -(-(chars or 0) // block_chars))
+    blocks = _blocks(benchmark, item_col, item_text_col, size, block_chars)
     texts = docs.select(F.monotonically_increasing_id().alias("row"),
                         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    if blocks > 1:
-        texts = materialize(texts, "scanned-texts")     # the same row numbers for every block
-
-    def block(i: int) -> Broadcast:
-        rows = found.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == i).collect()
-        return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(r) for r in rows]))
-
-    if blocks == 1:
-        return _scan(texts, block(0), hits_only=False)
+    if len(blocks) == 1:
+        return _scan(texts, _sent(blocks[0]), hits_only=False)
+    texts = materialize(texts, "scanned-texts")     # the same row numbers for every block
     hits = None
-    for i in range(blocks):
-        patterns_of_block = block(i)
-        part = materialize(_scan(texts, patterns_of_block, hits_only=True), "block-hits")
-        patterns_of_block.destroy()
+    for block in blocks:
+        sent = _sent(block)
+        part = materialize(_scan(texts, sent, hits_only=True), "block-hits")
+        sent.destroy()
         hits = part if hits is None else hits.unionAll(part)
     nothing = docs.sparkSession.sparkContext.broadcast(("none", []))
     plain = _scan(texts, nothing, hits_only=False).select("row", "doc_id", "n_words")
@@ -221,6 +230,35 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     return plain.join(merged, "row", "left").select("row", "doc_id", "n_words", *empty)
 
 
+def _hit(sent: Broadcast):
+    """Column function: does a window of the block occur in the text?"""
+    @F.pandas_udf(T.BooleanType())
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = _scanner(sent)
+        for texts in batches:
+            yield pd.Series([t is not None and bool(scanner.scan(t)[1]) for t in texts], dtype=bool)
+
+    return hit
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                        item_col: str = "item_id", item_text_col: str = "text",
+                        size: int = WINDOW_WORDS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no window of a test item occurs.
+
+    Decided row by row, without a join; with several blocks of patterns, what
+    one block leaves is written before the next is scanned for.
+    """
+    blocks = _blocks(benchmark, item_col, item_text_col, size, block_chars)
+    for i, block in enumerate(blocks):
+        sent = _sent(block)
+        docs = docs.where(~_hit(sent)(F.col(text_col).cast("binary")))
+        if i + 1 < len(blocks):
+            docs = materialize(docs, "clean-so-far")
+            sent.destroy()
+    return docs
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts per row of :func:`find_contamination`'s result."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"),

@@ -238,3 +238,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return (docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col), F.col(meta_col)).alias("score"))
             .select("doc_id", F.coalesce(crc_class(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"),
                     "score", (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              meta_col: str = "n_chars", label_col: str = "quality",
+              threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, decided row by row."""
+    score = scorer(train(docs, labels, id_col, text_col, meta_col, label_col), docs)
+    return docs.where(score(F.col(text_col), F.col(meta_col)) >= threshold)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, langid, planes, quality, sharding, simhash
+from . import decontaminate, divergence, langid, lines, packing, planes, quality, sharding, simhash, urls
 from ..session import scratch_path
 from .common import crc_class, table
 
@@ -53,6 +53,15 @@ def op4_compression_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "margin", "rejected")
 
 
+@query
+def op5_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page by rules and redirect aliases."""
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+SQL["op5_redirect_equivalence"] = urls.SQL
+
+
 @query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
@@ -64,12 +73,30 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 SQL["op6_benchmark_decontamination"] = decontaminate.SQL
 
 
+@query
+def op7_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occurred earlier."""
+    deduped = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("all")))
+    deleted = F.expr("aggregate(_ll_runs, 0L, (n, r) -> n + r.b - r.a + 1)")
+    return deduped.select("doc_id", F.size(F.split("all", "\n", -1)).cast("bigint").alias("n_lines"),
+                          F.coalesce(deleted, F.lit(0)).cast("bigint").alias("n_deleted"), "text")
+
+
+SQL["op7_line_winnowing"] = lines.SQL
+
+
 @query
 def op8_quality_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and place of every segment of every document."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document over 40 shards, and its shard of 41."""

@@ -73,16 +73,20 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
+    """``(doc_id, text_hash, fp)`` for every row; ``fp`` is the fingerprint as a signed
+    long, ``text_hash`` tells the texts of a repeated id apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in pieces(batch):
-                fp = np.fromiter((fingerprint(t, shingle_words) for t in utf8(b.column(1))),
+                fp = np.fromiter((fingerprint(t, shingle_words) for t in utf8(b.column(2))),
                                  dtype=np.uint64, count=b.num_rows).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp)],
+                                                 names=["doc_id", "text_hash", "fp"])
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col(text_col)
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                         text.alias("text"))
+    return narrow.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 @cache
@@ -170,10 +174,11 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS,
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``.
+    """``(doc_id, text_hash, fp, component, component_id)`` for every row of ``docs``.
 
     Rows whose fingerprints differ in at most ``max_bits`` bits are linked;
-    ``component_id`` is the smallest id reachable. Rows of one fingerprint are
+    ``component`` is the smallest fingerprint reachable, ``component_id`` the
+    smallest id. Rows of one fingerprint are
     represented by that fingerprint, so copies are never paired with each
     other, whatever their number. Null and empty texts have fingerprint zero
     and are linked like any other; repeated ids give repeated rows; null ids
@@ -186,8 +191,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = connected_components(pairs, "a", "b", "simhash-cc")
     linked = component.join(classes, component.node == classes.fp)
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = component.join(smallest, "component").select(F.col("node").alias("fp"), "component_id")
+    linked = component.join(smallest, "component").select(F.col("node").alias("fp"), "component", "component_id")
     named = classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id"))
+        "fp", F.coalesce("component", "fp").alias("component"),
+        F.when(F.col("component").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
     named = materialize(named, "simhash-named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, all its columns.
+
+    It is the row of the smallest id (null ids last), of its texts the one of
+    the smallest hash; of rows equal in both, any one.
+    """
+    found = materialize(near_duplicates(docs, id_col, text_col, shingle_words, max_bits), "simhash-found")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
+    chosen = found.groupBy("component").agg(least)
+    keys = materialize(chosen.select("least.doc_id", "least.text_hash"), "simhash-kept")
+    own_id, own_hash = F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))
+    keyed = docs.withColumn("_ll_id", own_id).withColumn("_ll_hash", own_hash)
+    kept = keyed.join(keys, keyed["_ll_id"].eqNullSafe(keys["doc_id"]) & (keyed["_ll_hash"] == keys["text_hash"]),
+                      "left_semi")
+    repeats = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
+    if repeats:
+        kept = kept.dropDuplicates(["_ll_id", "_ll_hash"])
+    return kept.select(*docs.columns)
