@@ -92,7 +92,7 @@ class Classifier:
         """``(language, score, margin, rejected)`` of a text.
 
         The score is the posterior of the smallest size when each byte counts
-        as eight bits of evidence; the margin is the second size's excess.
+        as eight bits of evidence; the margin is the second size's excess (1 at most).
         """
         if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, 0.0, True
@@ -102,7 +102,7 @@ class Classifier:
         if len(sizes) == 1:
             return self.languages[0], score, 1.0, False
         second = np.partition(sizes, 1)[1]
-        margin = float((second - sizes[best]) / max(second, 1.0))
+        margin = min(1.0, float((second - sizes[best]) / max(second, 1.0)))
         return self.languages[best], score, margin, margin < MARGIN
 
 

@@ -105,8 +105,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(RULES)
 
     ``redirects`` may add known redirects (columns ``source``, ``target``).
     A page's own rule decides first, so an explicit allow holds against any
-    alias; else the page is blocked if a page of its component is blocked by a
-    rule; else it is allowed. A null URL or one without ``://`` has empty host
+    alias; else the page is blocked if a page, link target or redirect of its
+    component is blocked by a rule; else it is allowed. A null URL or one without ``://`` has empty host
     and path, no aliases and no rule. Repeated rows each keep theirs; an empty
     table gives no rows. ``html`` is read once and not shuffled.
     """
@@ -126,7 +126,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(RULES)
     edges = links.unionAll(usual.select("a", canonical_form(F.col("a")).alias("b"))).distinct()
     components = materialize(connected_components(edges, "a", "b", "url-aliases"), "url-components")
 
-    blocked_urls = judged.where(F.col("action") == BLOCK).select(F.col("url").alias("node")).distinct()
+    # pages and the ends of their links are judged; the forms made up above are not
+    ends = links.select("b").unionAll(links.select("a")).distinct()
+    ends = ends.select(F.col("b").alias("node"), best_rule(host_of(F.col("b")), path_of(F.col("b")), rules).alias("best"))
+    blocked_urls = judged.where(F.col("action") == BLOCK).select(F.col("url").alias("node")).unionAll(
+        ends.where(F.col("best.action") == BLOCK).select("node")).distinct()
     bad = components.join(blocked_urls, "node", "left_semi").select("component").distinct()
     aliases = materialize(components.join(bad, "component", "left_semi")
                           .select(F.col("node").alias("url"), F.lit(True).alias("alias")), "blocked-aliases")
@@ -180,8 +184,15 @@ canon as (
         from parts)),
 edges as (select a, b from links union select u, c from canon),
 both_ways as (select a, b from edges union select b, a from edges),
+target_rules as (
+  select b, arg_max(action, (length(h || p), action = 'allow', h || p)) as action
+  from (select distinct b, translate(regexp_extract(substr(b, strpos(b, '://') + 3), '^([^/?#]*)', 1),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+               regexp_extract(substr(b, strpos(b, '://') + 3), '^[^/?#]*([^?#]*)', 1) as path from links)
+       join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by b),
 blocked(u) as (
-  select url from p2 where action = 'block'
+  select u from (select url as u from p2 where action = 'block'
+                 union select b from target_rules where action = 'block')
   union
   select b from blocked join both_ways on a = u)
 select page_id, host, path, rule,
