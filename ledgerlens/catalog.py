@@ -76,12 +76,16 @@ select {M('block_timestamp')} as month, count(*) as tx_count,
 from transactions where block_timestamp is not null and gas_price is not null group by 1"""
 
 
-@register("monthly_gas_price", _GAS_PRICE_SQL)
+def _gas_rank(order: str) -> str:
+    return f"select *, row_number() over (order by {order}) as rank from ({_GAS_PRICE_SQL}) m"
+
+
+@register("monthly_gas_price", _gas_rank("month"))
 def _monthly_gas_price(spark, sf):
     return L.monthly_gas_price(src.from_tables(spark, sf).transactions)
 
 
-@register("monthly_gas_price_sorted", _GAS_PRICE_SQL)
+@register("monthly_gas_price_sorted", _gas_rank("month[4:7], month[1:2]"))
 def _monthly_gas_price_sorted(spark, sf):
     return L.monthly_gas_price(src.from_tables(spark, sf).transactions, chronological=True)
 
@@ -103,13 +107,8 @@ def _top10_services(spark, sf):
 
 @register("semi_join_contracts", _CONTRACT_TOTALS)
 def _semi_join_contracts(spark, sf):
-    from pyspark.sql import functions as F
-    from .operators.joins import semi_join
-
     d = src.from_tables(spark, sf)
-    totals = L.value_by_address(d.transactions)
-    return semi_join(totals, d.contracts, "to_address", "address") \
-        .select(F.col("to_address").alias("address"), "total_value")
+    return L.contract_totals(d.transactions, d.contracts)
 
 
 @register("value_by_address", """
@@ -160,7 +159,7 @@ def _contract_gas_monthly(spark, sf):
     return L.contract_gas_monthly(d.transactions, d.contracts)
 
 
-@register("contract_gas_sorted", _CONTRACT_GAS)
+@register("contract_gas_sorted", f"select *, row_number() over (order by avg_gas desc, month) as rank from ({_CONTRACT_GAS}) m")
 def _contract_gas_sorted(spark, sf):
     d = src.from_tables(spark, sf)
     return L.contract_gas_sorted(d.transactions, d.contracts)
@@ -177,9 +176,9 @@ def _contract_types_sql(key: str) -> str:
     return f"""
 select c.address as address, min({label}) as contract_type,
        count(*) as calls, cast(sum(t.value) as decimal(38,0)) as total_value,
-       cast(sum(t.gas) as bigint) as total_gas,
+       cast(sum(t.gas) as decimal(38,0)) as total_gas,
        cast(sum(t.gas_price) as double) / count(t.gas_price) as avg_gas_price,
-       cast(sum(coalesce(t.max_fee_per_gas, 0) + coalesce(t.max_priority_fee_per_gas, 0)) as bigint) as total_fees,
+       cast(sum(coalesce(t.max_fee_per_gas, 0) + coalesce(t.max_priority_fee_per_gas, 0)) as decimal(38,0)) as total_fees,
        min(t.block_number - c.block_number) as contract_age,
        min(case when t.to_address is null or trim(t.to_address) = '' then 'Contract Creation'
                 else 'Contract Interaction' end) as interaction_kind
@@ -318,7 +317,7 @@ def _scam_category_rollup(spark, sf):
 _GROUPS = """
 g as (select from_address, to_address, value, gas, gas_price, block_timestamp, count(*) as tx_count,
              cast(sum(gas_price) as double) / count(gas_price) as avg_gas_price
-      from transactions group by all),
+      from transactions group by from_address, to_address, value, gas, gas_price, block_timestamp),
 l as (select *, lag(to_address) over (partition by from_address
           order by block_timestamp nulls first, to_address nulls first, value nulls first,
                    gas nulls first, gas_price nulls first) as prev_to_address from g)"""
@@ -370,27 +369,27 @@ def _wash_heuristics_50(spark, sf):
 # ---------------------------------------------------------------- J14 / W2 / F13 / A12 / T2
 
 _RUNNING = """
-r as (select block_number, from_address, to_address, value, block_timestamp, count(*) as n
-      from transactions where block_number is not null and value is not null group by all),
-c as (select *, sum(n) over (partition by block_number, from_address, to_address, value
-                             order by block_timestamp nulls first
-                             rows between unbounded preceding and current row) as block_count from r),
+c as (select block_number, from_address, to_address, value, block_timestamp,
+             count(*) over (partition by block_number, from_address, to_address, value
+                            order by block_timestamp nulls first) as block_count
+      from transactions where block_number is not null and value is not null),
 f as (select * from c where coalesce(block_count > 1 or from_address = to_address, false))"""
 
+_RUNNING_COLS = ("\nselect block_number, from_address, to_address, value, block_timestamp, count(*) as n, "
+                 "block_count from {} group by all")
 
-@register("running_transfer_count", "with " + _RUNNING + "\nselect block_number, from_address, "
-          "to_address, value, block_timestamp, n, cast(block_count as bigint) as block_count from c")
+
+@register("running_transfer_count", "with " + _RUNNING + _RUNNING_COLS.format("c"))
 def _running_transfer_count(spark, sf):
     return W.running_transfer_count(src.from_tables(spark, sf).transactions)
 
 
-@register("wash_flagged", "with " + _RUNNING + "\nselect block_number, from_address, "
-          "to_address, value, block_timestamp, n, cast(block_count as bigint) as block_count from f")
+@register("wash_flagged", "with " + _RUNNING + _RUNNING_COLS.format("f"))
 def _wash_flagged(spark, sf):
     return W.wash_flagged(src.from_tables(spark, sf).transactions)
 
 
-_BY_BLOCK_SENDER = ("\nselect block_number, from_address, cast(sum(value * n) as decimal(38,0)) as total_value"
+_BY_BLOCK_SENDER = ("\nselect block_number, from_address, cast(sum(value) as decimal(38,0)) as total_value"
                     " from f group by 1, 2")
 
 
@@ -506,13 +505,16 @@ def _tx_pairs(spark, sf):
     return S.tx_pairs(t)
 
 
-@register("avg_value_text")
+@register("avg_value_text", f"""
+select {M('block_timestamp')} as month,
+       printf('%.6f', cast(sum(value) as double) / count(*) / 1e18) as avg_value_text
+from transactions where block_timestamp is not null and value is not null group by 1""")
 def _avg_value_text(spark, sf):
-    """E5: the monthly mean as text (engines print doubles differently: no SQL twin)."""
+    """E5: the monthly mean as text, in whole coins with six decimals."""
     from pyspark.sql import functions as F
 
     m = L.monthly_avg_value(src.from_tables(spark, sf).transactions)
-    return m.select("month", F.col("avg_value").cast("string").alias("avg_value_text"))
+    return m.select("month", F.format_string("%.6f", F.col("avg_value") / F.lit(1e18)).alias("avg_value_text"))
 
 
 @register("select_columns", "select to_address, gas, block_timestamp from transactions")
@@ -546,9 +548,7 @@ def _entry_cols(entries):
 
 
 def _write_documents(spark, sf) -> str:
-    path = scratch_path(spark, "scam-registry")
-    FX.scam_documents(spark, sf).write.mode("overwrite").text(path)
-    return path
+    return FX.written_once(spark, sf, "scam-registry", lambda p: FX.scam_documents(spark, sf).write.text(p))
 
 
 @register("scan_scam_document", _ENTRY_SQL)
@@ -556,6 +556,14 @@ def _scan_scam_document(spark, sf):
     return _entry_cols(D.read_scam_registry(spark, _write_documents(spark, sf)))
 
 
+@register("scan_scam_document_whole", _ENTRY_SQL.replace("min(address) as key", "concat(min(address), '-', id) as key"))
+def _scan_scam_document_whole(spark, sf):
+    """The registry as one document of several lines, with text ids."""
+    path = FX.written_once(spark, sf, "scam-registry-whole",
+                           lambda p: FX.scam_document_whole(spark, sf).write.text(p))
+    return _entry_cols(D.read_scam_registry(spark, path, whole_file=True))
+
+
 @register("scan_json", _ENTRY_SQL)
 def _scan_json(spark, sf):
     return _entry_cols(D.registry_entries(D.read_json(spark, _write_documents(spark, sf))))
@@ -567,7 +575,9 @@ from scams where id is not null and category is not null group by """ + _ATTRS)
 def _valid_scam_record(spark, sf):
     from pyspark.sql import functions as F
 
-    e = S.parse_documents(FX.scam_documents(spark, sf))
+    # registry records of which six lack something required
+    bad = spark.createDataFrame([(x,) for x in FX.BAD_REGISTRY_DOCUMENTS], "value string")
+    e = S.parse_documents(FX.scam_documents(spark, sf).unionAll(bad))
     ok = e.where(V.valid_scam_record("record"))
     return ok.select("key", F.col("record.id").alias("id"), F.col("record.category").alias("category"),
                      F.size("record.addresses").cast("bigint").alias("n_addresses"))
@@ -629,8 +639,8 @@ def _data_overhead_first_block(spark, sf):
 @register("scan_csv_infer", _overhead_sql(False))
 def _scan_csv_infer(spark, sf):
     """S3: blocks written as CSV with header, read back with schema inference."""
-    path = scratch_path(spark, "blocks-csv")
-    K.write_csv_header(src.from_tables(spark, sf).blocks, list(src.from_tables(spark, sf).blocks.columns), path)
+    b = src.from_tables(spark, sf).blocks
+    path = FX.written_once(spark, sf, "blocks-csv", lambda p: K.write_csv_header(b, b.columns, p))
     return OV.data_overhead(D.read_csv(spark, path, infer=True))
 
 
@@ -642,8 +652,7 @@ def _scan_csv_header(spark, sf):
     from .schemas import TRANSACTION_FIELDS, TRANSACTIONS, all_strings
 
     tx = src.from_tables(spark, sf).transactions
-    path = scratch_path(spark, "transactions-csv")
-    K.write_csv_header(tx, TRANSACTION_FIELDS, path)
+    path = FX.written_once(spark, sf, "transactions-csv", lambda p: K.write_csv_header(tx, TRANSACTION_FIELDS, p))
     raw = D.read_csv(spark, path, schema=all_strings(TRANSACTION_FIELDS))
     cast = {"value": P.to_wei}
     cols = []
@@ -706,6 +715,19 @@ def _sink_csv_header(spark, sf):
     return back.withColumn("subcategory", F.coalesce("subcategory", F.lit("")))
 
 
+@register("scam_registry_to_value", f"""
+select s.id as id, s.category as category, sum(t.value) as total_value
+from transactions t join (select id, {_CATEGORY_MAP_SQL['scam_category']} as category, address from scams) s
+  on t.to_address = s.address
+where t.to_address is not null and t.value is not null group by 1, 2""")
+def _scam_registry_to_value(spark, sf):
+    """J11's file read by J9: registry -> nine-field lines -> value by scam."""
+    path = scratch_path(spark, "scam-lines")
+    K.write_scam_lines(S.flatten_registry(S.parse_documents(FX.scam_documents(spark, sf))), path)
+    listed = TX.typed_scams(TX.split_fields(TX.read_lines(spark, path)).where(V.scam_line()))
+    return S.value_by_scam(src.from_tables(spark, sf).transactions, listed)
+
+
 @register("sink_metrics", _overhead_sql(False))
 def _sink_metrics(spark, sf):
     path = scratch_path(spark, "overhead-metrics")
@@ -723,18 +745,20 @@ def _read_pair_list(spark, sf):
     return D.read_pair_list(spark, path)
 
 
-@register("format_metrics")
+@register("format_metrics", "select "
+          + ", ".join(f"format('{{:,.2f}}', cast({m} as double)) as {m}" for m in (
+              "hex_chars", "remaining_bytes", "total_hex_mb", "remaining_mb", "space_saved_pct"))
+          + f" from ({_overhead_sql(False)}) m")
 def _format_metrics(spark, sf):
-    """K6: the overhead metrics as formatted text (number formatting differs
-    between engines: no SQL twin)."""
+    """K6: the overhead metrics as formatted text."""
     return K.format_metrics(OV.data_overhead(src.from_tables(spark, sf).blocks))
 
 
 # ---------------------------------------------------------------- streaming: J1 / J2 / J7 over arriving files
 
 def _lines_in_files(spark, sf):
-    # the export arriving as several files, one micro-batch each
-    return FX.transaction_lines(spark, sf).repartition(4)
+    # the export arriving as the files its tasks write, one micro-batch each
+    return FX.transaction_lines(spark, sf)
 
 
 @register("stream_monthly_stats", f"""
@@ -762,11 +786,10 @@ def _stream_monthly_stats(spark, sf):
 
 import re as _re  # noqa: E402
 
-from .functions import parsing as _P  # noqa: E402
 
 
 def _tx_text(spark, sf, check):
-    return TX.typed_transactions(_tx_split(spark, sf).where(check()))
+    return TX.typed_transactions(_tx_split(spark, sf).where(V.TX_CHECKS[check][0]()))
 
 
 def _contracts_text(spark, sf):
@@ -784,19 +807,11 @@ def _blocks_text(spark, sf):
                            .where(V.block_line()))
 
 
-def _ts_ok():
-    return V.tx_arity() & _P.is_int(TX.tx_field("block_timestamp"))
-
-
-def _services_ok():
-    return V.tx_block_digits() & _P.is_wei(TX.tx_field("value"))
-
-
 _TSF = O.f(11)
 _TEXT_TX_SQL = {
     "tx_text_ts": f"len(fields) = 15 and {O.sql_is_int(_TSF)}",
     "tx_text_value_ts": _TX_PRED_SQL["valid_tx_value_ts"],
-    "tx_text_services": f"{_TX_PRED_SQL['valid_tx_block_digits']} and {O.sql_is_wei(O.f(7))}",
+    "tx_text_services": f"{_TX_PRED_SQL['valid_tx_block_digits']} and {O.sql_is_big_int(O.f(7))}",
     "tx_text_gas_price": _TX_PRED_SQL["valid_tx_gas_price"],
     "tx_text_full": _TX_PRED_SQL["valid_tx_full"],
     "tx_text_block_value": _TX_PRED_SQL["valid_tx_block_value"],
@@ -830,20 +845,20 @@ from transactions where block_timestamp is not null and value is not null group
 @register("monthly_tx_count_text", _on_text(_J1_SQL, "tx_text_ts"))
 def _monthly_tx_count_text(spark, sf):
     """J1 as run: 15 fields and an integer timestamp."""
-    return L.monthly_tx_count(_tx_text(spark, sf, _ts_ok))
+    return L.monthly_tx_count(_tx_text(spark, sf, "timestamp"))
 
 
 @register("monthly_avg_value_text", _on_text(_J2_FULL_SQL, "tx_text_value_ts"))
 def _monthly_avg_value_text(spark, sf):
     """J2 as run: F2 lines."""
-    return L.monthly_avg_value(_tx_text(spark, sf, V.tx_value_ts))
+    return L.monthly_avg_value(_tx_text(spark, sf, "value_ts"))
 
 
 @register("top10_services_text", _on_text(_CONTRACT_TOTALS, "tx_text_services")
           + "\norder by total_value desc, address limit 10")
 def _top10_services_text(spark, sf):
     """J3 as run: F3 transaction lines, F4 contract lines."""
-    return L.top10_services(_tx_text(spark, sf, _services_ok), _contracts_text(spark, sf))
+    return L.top10_services(_tx_text(spark, sf, "services"), _contracts_text(spark, sf))
 
 
 @register("top10_miners_text", _on_text(_MINER_SQL) + "\norder by total_size desc, miner limit 10")
@@ -852,23 +867,23 @@ def _top10_miners_text(spark, sf):
     return L.top10_miners(_blocks_text(spark, sf))
 
 
-@register("monthly_gas_price_text", _on_text(_GAS_PRICE_SQL, "tx_text_gas_price"))
+@register("monthly_gas_price_text", _on_text(_gas_rank("month"), "tx_text_gas_price"))
 def _monthly_gas_price_text(spark, sf):
     """J7 as run: F6 lines."""
-    return L.monthly_gas_price(_tx_text(spark, sf, V.tx_gas_price))
+    return L.monthly_gas_price(_tx_text(spark, sf, "gas_price"))
 
 
 @register("top10_scams_text", _on_text(_SCAM_VALUE, "tx_text_full")
           + "\norder by total_value desc, id, category limit 10")
 def _top10_scams_text(spark, sf):
     """J9 as run: F9 transaction lines, F8 scam lines."""
-    return S.top10_scams(_tx_text(spark, sf, V.tx_full), _scams_text(spark, sf))
+    return S.top10_scams(_tx_text(spark, sf, "full"), _scams_text(spark, sf))
 
 
 @register("scam_time_series_text", _on_text(SQL_RAW_SCAM_SERIES, "tx_text_full"))
 def _scam_time_series_text(spark, sf):
     """J10 as run: F9 transaction lines, F8 scam lines."""
-    return S.scam_time_series(_tx_text(spark, sf, V.tx_full), _scams_text(spark, sf))
+    return S.scam_time_series(_tx_text(spark, sf, "full"), _scams_text(spark, sf))
 
 
 _J14_TEXT = "with " + _RUNNING.replace("from transactions", "from tx_text_block_value") \
@@ -878,4 +893,41 @@ _J14_TEXT = "with " + _RUNNING.replace("from transactions", "from tx_text_block_
 @register("wash_top100_text", _J14_TEXT)
 def _wash_top100_text(spark, sf):
     """J14 as run: F7 lines."""
-    return W.wash_top100(_tx_text(spark, sf, V.tx_block_value))
+    return W.wash_top100(_tx_text(spark, sf, "block_value"))
+
+
+# ---------------------------------------------------------------- jobs on the typed copy
+# The copy holds every line with its check flags, so a job finds in it what it
+# would have kept of the text.
+
+def _typed(spark, sf):
+    def write(path):
+        K.write_typed_ledger(src.all_transactions(_tx_split(spark, sf)), _blocks_text(spark, sf),
+                             _contracts_text(spark, sf), _scams_text(spark, sf), path)
+
+    return src.from_parquet(spark, FX.written_once(spark, sf, "typed-ledger", write))
+
+
+def _tx_typed(spark, sf, check):
+    return src.checked(_typed(spark, sf).transactions.drop("month"), check)
+
+
+@register("monthly_tx_count_typed", _on_text(_J1_SQL, "tx_text_ts"))
+def _monthly_tx_count_typed(spark, sf):
+    return L.monthly_tx_count(_tx_typed(spark, sf, "timestamp"))
+
+
+@register("monthly_gas_price_typed", _on_text(_gas_rank("month"), "tx_text_gas_price"))
+def _monthly_gas_price_typed(spark, sf):
+    return L.monthly_gas_price(_tx_typed(spark, sf, "gas_price"))
+
+
+@register("top10_services_typed", _on_text(_CONTRACT_TOTALS, "tx_text_services")
+          + "\norder by total_value desc, address limit 10")
+def _top10_services_typed(spark, sf):
+    return L.top10_services(_tx_typed(spark, sf, "services"), _typed(spark, sf).contracts)
+
+
+@register("wash_top100_typed", _J14_TEXT)
+def _wash_top100_typed(spark, sf):
+    return W.wash_top100(_tx_typed(spark, sf, "block_value"))

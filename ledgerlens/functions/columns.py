@@ -43,11 +43,6 @@ def month_start(epoch_seconds: Column | str) -> Column:
     return F.trunc(F.to_date(F.timestamp_seconds(_col(epoch_seconds))), "month")
 
 
-def label_to_month(label: Column | str) -> Column:
-    """``MM/yyyy`` label back to the first day of that month."""
-    return F.to_date(F.concat(F.lit("01/"), _col(label)), "dd/MM/yyyy")
-
-
 def map_lookup(c: Column | str, mapping: dict[str, str]) -> Column:
     """``mapping.get(c, c)`` as a literal map lookup."""
     c = _col(c)
@@ -106,7 +101,8 @@ def interaction_kind(to_address: Column | str) -> Column:
 
 
 def fee_sum(max_fee: Column | str, max_priority_fee: Column | str) -> Column:
-    return F.coalesce(_col(max_fee), F.lit(0)) + F.coalesce(_col(max_priority_fee), F.lit(0))
+    wide = [F.coalesce(_col(c).cast("decimal(37,0)"), F.lit(0)) for c in (max_fee, max_priority_fee)]
+    return wide[0] + wide[1]
 
 
 def contract_age(tx_block: Column | str, contract_block: Column | str) -> Column:

@@ -38,6 +38,12 @@ def is_int(c: Column | str) -> Column:
     return F.coalesce(_col(c).try_cast("bigint").isNotNull(), F.lit(False))
 
 
+def is_big_int(c: Column | str) -> Column:
+    """Integer text of up to 38 digits (an amount as ``int()`` takes it)."""
+    c = _col(c)
+    return F.coalesce(c.rlike(INT_PATTERN) & c.try_cast(WEI).isNotNull(), F.lit(False))
+
+
 def is_float(c: Column | str) -> Column:
     """Text Python's ``float()`` accepts (including nan / inf).
 
@@ -61,11 +67,6 @@ def to_long(c: Column | str) -> Column:
     return _col(c).try_cast("bigint")
 
 
-def to_double(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(is_float(c), c.try_cast("double"))
-
-
 def to_wei(c: Column | str) -> Column:
     """Exact wei amount as ``decimal(38,0)``.
 

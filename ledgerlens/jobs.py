@@ -19,12 +19,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import validate as V
 from .plans import ledger as L
 from .plans import overhead as OV
 from .plans import scams as S
 from .plans import wash as W
+from .schemas import BLOCK_FIELDS, SCAM_CSV_FIELDS, TRANSACTION_FIELDS, all_strings
 from .sinks import writers as K
 from .sources import documents as D
 from .sources import ledger as src
@@ -48,16 +50,21 @@ class Inputs:
         return None
 
     @property
-    def transactions(self) -> DataFrame:
-        return self.tx(V.tx_full)
-
-    def tx(self, check) -> DataFrame:
-        """Typed transactions; from text, the lines the job's own check keeps."""
+    def tx_split(self) -> DataFrame:
+        """Split transaction lines; from CSV with header, the named columns."""
+        path = self._need("transactions")
+        if self.args.csv_header:
+            table = D.read_csv(self.spark, path, schema=all_strings(TRANSACTION_FIELDS))
+            return TX.from_columns(table, TRANSACTION_FIELDS)
+        return TX.split_fields(TX.read_lines(self.spark, path))
+
+    def tx(self, check: str) -> DataFrame:
+        """Typed transactions that the job's own line check keeps, the same from
+        text and from a typed copy."""
         t = self._typed("transactions")
         if t is not None:
-            return t.drop("month") if "month" in t.columns else t
-        split = TX.split_fields(TX.read_lines(self.spark, self._need("transactions")))
-        return TX.typed_transactions(split.where(check()))
+            return src.checked(t.drop("month"), check)
+        return TX.typed_transactions(self.tx_split.where(V.TX_CHECKS[check][0]()))
 
     @property
     def blocks(self) -> DataFrame:
@@ -96,15 +103,15 @@ class Inputs:
 
 
 def _block_text_schema():
-    from .schemas import BLOCK_FIELDS, all_strings
     return all_strings(BLOCK_FIELDS)
 
 
 Writer = Callable[[Inputs, str], None]
 
 
-def _pairs(build, keys, value) -> Writer:
-    return lambda i, out: K.write_pair_list(build(i), keys, value, out)
+def _pairs(build, keys, value, order=None) -> Writer:
+    return lambda i, out: K.write_pair_list(build(i), keys, value, out,
+                                            order=[F.col(c) for c in order] if order else None)
 
 
 def _json(build) -> Writer:
@@ -117,57 +124,51 @@ def _overhead(i: Inputs, out: str) -> None:
 
 
 def _scam_pairs(i: Inputs, out: str) -> None:
-    K.write_json(S.tx_pairs(i.tx(V.tx_digits_value)), f"{out}/transactions")
+    K.write_json(S.tx_pairs(i.tx("digits_value")), f"{out}/transactions")
     K.write_json(S.scam_pairs(i.registry), f"{out}/scams")
 
 
 def _scam_csv(i: Inputs, out: str) -> None:
-    from .schemas import SCAM_CSV_FIELDS
-    K.write_csv_header(S.flatten_registry(i.registry), [*SCAM_CSV_FIELDS, "address"], out)
+    flat = S.flatten_registry(i.registry)
+    K.write_csv_header(flat, [*SCAM_CSV_FIELDS, "address"], f"{out}/table")
+    K.write_scam_lines(flat, f"{out}/lines")        # the input of the scam value jobs
 
 
 # job name -> writer of its result folder
-def _ts_ok():
-    # J1 parses only the timestamp: 15 fields and an integer timestamp
-    from .functions.parsing import is_int
-    return V.tx_arity() & is_int(TX.tx_field("block_timestamp"))
-
-
-def _services_ok():
-    # 15 fields, digit block number, and an integer amount
-    from .functions.parsing import is_wei
-    return V.tx_block_digits() & is_wei(TX.tx_field("value"))
-
-
 JOBS: dict[str, Writer] = {
-    "monthly-count": _pairs(lambda i: L.monthly_tx_count(i.tx(_ts_ok)), ["month"], "tx_count"),
+    "monthly-count": _pairs(lambda i: L.monthly_tx_count(i.tx("timestamp")), ["month"], "tx_count",
+                            order=["month"]),
     "monthly-value": lambda i, out: K.write_csv_lines(
-        L.monthly_avg_value(i.tx(V.tx_value_ts)), ["month", "avg_value"], out),
-    "top-services": _pairs(lambda i: L.top10_services(i.tx(_services_ok), i.contracts),
+        L.monthly_avg_value(i.tx("value_ts")), ["month", "avg_value"], out),
+    "top-services": _pairs(lambda i: L.top10_services(i.tx("services"), i.contracts),
                            ["address"], "total_value"),
     "top-miners": _pairs(lambda i: L.top10_miners(i.blocks), ["miner"], "total_size"),
-    "contract-types": _json(lambda i: L.contract_types(i.tx(V.tx_arity), i.contracts,
+    "contract-types": _json(lambda i: L.contract_types(i.tx("arity"), i.contracts,
                                                        side=i.args.side)),
     "data-overhead": _overhead,
-    "gas-price": _pairs(lambda i: L.monthly_gas_price(i.tx(V.tx_gas_price)), ["month"],
-                        "avg_gas_price"),
-    "contract-gas": _pairs(lambda i: L.contract_gas_monthly(i.tx(_ts_ok), i.contracts),
+    "gas-price": _pairs(lambda i: L.monthly_gas_price(i.tx("gas_price")), ["month"],
+                        "avg_gas_price", order=["month"]),
+    "contract-gas": _pairs(lambda i: L.contract_gas_monthly(i.tx("timestamp"), i.contracts),
                            ["month"], "avg_gas"),
-    "top-scams": _pairs(lambda i: S.top10_scams(i.tx(V.tx_full), i.scams),
+    "top-scams": _pairs(lambda i: S.top10_scams(i.tx("full"), i.scams),
                         ["id", "category"], "total_value"),
-    "scam-series": _json(lambda i: S.scam_time_series(i.tx(V.tx_full), i.scams)),
+    "scam-series": _json(lambda i: S.scam_time_series(i.tx("full"), i.scams)),
     "scam-registry-csv": _scam_csv,
     "scam-pairs": _scam_pairs,
-    "wash-50": _json(lambda i: W.wash_heuristics_50(i.tx(V.tx_arity))),
-    "wash-heuristics": _json(lambda i: W.wash_heuristics(i.tx(V.tx_arity))),
-    "wash-top100": _pairs(lambda i: W.wash_top100(i.tx(V.tx_block_value)),
+    "wash-50": _json(lambda i: W.wash_heuristics_50(i.tx("arity"))),
+    "wash-heuristics": _json(lambda i: W.wash_heuristics(i.tx("arity"))),
+    "wash-top100": _pairs(lambda i: W.wash_top100(i.tx("block_value")),
                           ["block_number", "from_address"], "total_value"),
 }
 
 
 def convert(i: Inputs, out: str) -> None:
-    """Text exports -> typed parquet copy (transactions partitioned by month)."""
-    K.write_typed_ledger(i.transactions, i.blocks, i.contracts, i.scams, out)
+    """Text exports -> typed parquet copy (transactions partitioned by month).
+
+    Every line of the right number of fields is kept, so each job finds in the
+    copy what it would have kept of the text.
+    """
+    K.write_typed_ledger(src.all_transactions(i.tx_split), i.blocks, i.contracts, i.scams, out)
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -176,6 +177,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="result folder (a run-stamped sub-folder is made)")
     for name in ("transactions", "blocks", "contracts", "scams", "scam-registry", "typed"):
         p.add_argument(f"--{name}")
+    p.add_argument("--csv-header", action="store_true",
+                   help="transactions are CSV with a header (quotes honoured) instead of plain lines")
     p.add_argument("--infer-schema", action="store_true", help="CSV schema inference for blocks")
     p.add_argument("--side", choices=["to", "from"], default="to",
                    help="contract-types: match contracts with the receiver or the sender")

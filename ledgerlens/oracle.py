@@ -18,8 +18,10 @@ select concat('0x', sha256(concat(cast(l_orderkey as varchar), '-', cast(l_linen
        l_orderkey as block_number,
        cast(l_linenumber as bigint) as transaction_index,
        concat('a', cast(o_custkey as varchar)) as from_address,
-       concat('a', cast(l_suppkey as varchar)) as to_address,
-       cast(cast(l_quantity as decimal(18,0)) * cast('1000000000000000000' as decimal(19,0)) as decimal(38,0)) as value,
+       case when l_partkey % 50 <> 0 then concat('a', cast(l_suppkey as varchar)) end as to_address,
+       case when l_quantity <> 50 and l_suppkey % 10 <> 2
+            then cast(cast(l_quantity as decimal(18,0)) * cast('1000000000000000000' as decimal(19,0)) as decimal(38,0))
+            else cast(0 as decimal(38,0)) end as value,
        cast(21000 + l_quantity * 1000 as bigint) as gas,
        cast(round(l_discount * 100) as bigint) * 1000000000 as gas_price,
        '0x' as input,
@@ -27,7 +29,8 @@ select concat('0x', sha256(concat(cast(l_orderkey as varchar), '-', cast(l_linen
        cast(round(l_tax * 100) as bigint) * 1000000000 as max_fee_per_gas,
        cast(1000000000 as bigint) as max_priority_fee_per_gas,
        cast(case when l_returnflag = 'R' then 2 else 0 end as integer) as transaction_type
-from lineitem join orders on l_orderkey = o_orderkey""",
+from (select *, unnest(case when l_orderkey % 5 = 0 and l_linenumber = 1 then [1, 2] else [1] end) as copy
+      from lineitem) join orders on l_orderkey = o_orderkey""",
     "blocks": """
 select o_orderkey as number,
        concat('0x', sha256(cast(o_orderkey as varchar))) as hash,
@@ -149,6 +152,11 @@ def sql_is_wei(x: str) -> str:
     return f"({sql_is_float(x)} and {sql_to_wei(x)} is not null)"
 
 
+def sql_is_big_int(x: str) -> str:
+    i, _, _ = _patterns()
+    return f"coalesce({_re(x, i)} and try_cast(trim({x}) as decimal(38,0)) is not null, false)"
+
+
 def sql_to_flag(x: str) -> str:
     return (f"(case when lower(trim({x})) in ('1', 'true') then true "
             f"when lower(trim({x})) in ('0', 'false') then false end)")
@@ -205,7 +213,7 @@ def typed_tx_cols() -> str:
 
     def g(n):
         return f(T.index(n))
-    longs = {"nonce", "block_number", "transaction_index", "gas", "gas_price", "block_timestamp",
+    longs = {"nonce", "block_number", "transaction_index", "block_timestamp",
              "max_fee_per_gas", "max_priority_fee_per_gas"}
     cols = []
     for n in T:
@@ -213,8 +221,8 @@ def typed_tx_cols() -> str:
             cols.append(f"{sql_to_long(g(n))} as {n}")
         elif n in ("from_address", "to_address"):
             cols.append(f"{sql_blank_to_null(g(n))} as {n}")
-        elif n == "value":
-            cols.append(f"{sql_to_wei(g(n))} as value")
+        elif n in ("value", "gas", "gas_price"):
+            cols.append(f"{sql_to_wei(g(n))} as {n}")
         elif n == "transaction_type":
             cols.append(f"cast({sql_to_long(g(n))} as integer) as transaction_type")
         else:

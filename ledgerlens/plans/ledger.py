@@ -11,15 +11,26 @@ one row per address on each side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, semi_join
-from ..operators.topk import top_k
+from ..operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast, keep_listed, semi_join
+from ..operators.topk import ranked, top_k
 from ..schemas import WEI
 
 
+def wide_sum(c: Column | str) -> Column:
+    """Exact sum of an integer column at any volume: bigint sums of gas prices
+    pass 2**63 within a month of a busy ledger."""
+    return F.sum((F.col(c) if isinstance(c, str) else c).cast(WEI))
+
+
+def wide_mean(total: str, n: str) -> Column:
+    """Mean from an exact sum, divided last."""
+    return F.try_divide(F.col(total).cast("double"), F.col(n))
+
+
 def _months(tx: DataFrame) -> DataFrame:
     """Rows with a timestamp, keyed by the integer month ``mkey`` (yyyymm).
 
@@ -54,15 +65,17 @@ def monthly_avg_value(tx: DataFrame) -> DataFrame:
 
 
 def monthly_gas_price(tx: DataFrame, chronological: bool = False) -> DataFrame:
-    """Mean gas price per month, sorted by label (or by calendar month)."""
+    """Mean gas price per month with its place by label (or by calendar month)."""
     t = _months(tx).where(F.col("gas_price").isNotNull())
     agg = t.groupBy("mkey").agg(
         F.count(F.lit(1)).alias("tx_count"),
-        F.sum("gas_price").alias("sum_gas_price"),
+        wide_sum("gas_price").alias("sum_gas_price"),
     )
     out = agg.select("mkey", C.month_key_label("mkey").alias("month"), "tx_count",
-                     (F.col("sum_gas_price") / F.col("tx_count")).alias("avg_gas_price"))
-    return out.orderBy(F.col("mkey") if chronological else F.col("month")).drop("mkey")
+                     wide_mean("sum_gas_price", "tx_count").alias("avg_gas_price"))
+    order = F.col("mkey") if chronological else F.col("month")
+    # one row per month: a few hundred rows over the ledger's life
+    return ranked(out, [order]).orderBy("rank").drop("mkey")
 
 
 def value_by_address(tx: DataFrame, key: str = "to_address") -> DataFrame:
@@ -72,26 +85,31 @@ def value_by_address(tx: DataFrame, key: str = "to_address") -> DataFrame:
 
 
 def top10_services(tx: DataFrame, contracts: DataFrame, k: int = 10,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Contracts that received the most value.
 
     Only the total of each address is kept, so the join with the (possibly
     repeating) contract list is a semi join.
     """
     listed = contracts.select("address").where(F.col("address").isNotNull())
-    keys = listed.distinct()
-    # bound the raw list (reads at most bound + 1 rows), not its distinct keys
-    if fits_broadcast(listed, max_broadcast_rows):
-        # filter transactions on the map side, then aggregate what is left
-        kept = tx.join(F.broadcast(keys), tx["to_address"] == keys["address"], "left_semi")
-        totals = value_by_address(kept)
-    else:
-        totals = semi_join(value_by_address(tx), listed, "to_address", "address",
-                           max_broadcast_rows)
-    totals = totals.withColumnRenamed("to_address", "address")
+    totals = contract_totals(tx, listed, max_broadcast_bytes)
     return top_k(totals, k, "total_value", ["address"])
 
 
+def contract_totals(tx: DataFrame, contracts: DataFrame,
+                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """JN1: value received per listed contract address.
+
+    A small list filters the transactions on the map side before they are
+    aggregated; a large one meets one pre-aggregated row per address.
+    """
+    if fits_broadcast(contracts, max_broadcast_bytes):
+        totals = value_by_address(keep_listed(tx, contracts, "to_address", "address", max_broadcast_bytes))
+    else:
+        totals = semi_join(value_by_address(tx), contracts, "to_address", "address", max_broadcast_bytes)
+    return totals.withColumnRenamed("to_address", "address")
+
+
 def size_by_miner(blocks: DataFrame) -> DataFrame:
     """A5: total block bytes per miner."""
     return (blocks.where(F.col("miner").isNotNull() & F.col("size").isNotNull())
@@ -110,7 +128,7 @@ def _contract_copies(contracts: DataFrame) -> DataFrame:
 
 
 def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
-                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                         max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Mean gas limit per month of transactions sent to contracts.
 
     Join semantics are those of a plain inner join with the contract list:
@@ -118,31 +136,32 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
     """
     copies = _contract_copies(contracts)
     t = _months(tx).where(F.col("to_address").isNotNull() & F.col("gas").isNotNull())
-    if fits_broadcast(contracts.select("address"), max_broadcast_rows):
+    if fits_broadcast(contracts.select("address"), max_broadcast_bytes):
         j = t.join(F.broadcast(copies), t["to_address"] == copies["address"])
         per = j.select("mkey", F.col("copies").alias("n"),
-                       (F.col("gas") * F.col("copies")).alias("g"))
+                       (F.col("gas").cast(WEI) * F.col("copies")).alias("g"))
     else:
         pre = t.groupBy("to_address", "mkey").agg(
-            F.count(F.lit(1)).alias("n0"), F.sum("gas").alias("g0"))
+            F.count(F.lit(1)).alias("n0"), wide_sum("gas").alias("g0"))
         j = pre.join(copies, pre["to_address"] == copies["address"])
         per = j.select("mkey", (F.col("n0") * F.col("copies")).alias("n"),
                        (F.col("g0") * F.col("copies")).alias("g"))
     agg = per.groupBy("mkey").agg(F.sum("n").alias("tx_count"), F.sum("g").alias("sum_gas"))
-    return _labelled(agg, "tx_count", (F.col("sum_gas") / F.col("tx_count")).alias("avg_gas"))
+    return _labelled(agg, "tx_count", wide_mean("sum_gas", "tx_count").alias("avg_gas"))
 
 
 def contract_gas_sorted(tx: DataFrame, contracts: DataFrame, text_order: bool = False) -> DataFrame:
-    """J8 ordered by mean gas, highest first.
+    """J8 ordered by mean gas, highest first, with its ``rank``.
 
     Numeric order by default; ``text_order`` sorts by the printed mean, as a
     sort of the numbers' text would (``"9..."`` before ``"10..."``).
     """
     key = F.col("avg_gas").cast("string") if text_order else F.col("avg_gas")
-    return contract_gas_monthly(tx, contracts).orderBy(key.desc(), "month")
+    return ranked(contract_gas_monthly(tx, contracts), [key.desc(), F.col("month")]).orderBy("rank")
 
 
-def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> DataFrame:
+def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to",
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Per contract address its type, calls, value, gas, mean gas price and fees.
 
     ``side`` picks the transaction address matched with the contract
@@ -150,16 +169,18 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> Dat
     Rows follow inner-join (bag) semantics; both sides are reduced to one row
     per address before the join and the totals scaled by the multiplicity,
     which gives the same numbers without a skewed join. Only contracts that
-    received a positive total value are kept.
+    received a positive total value are kept. A small contract list first
+    filters the transactions on the map side.
     """
     key = {"to": "to_address", "from": "from_address"}[side]
-    t = tx.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("address")).agg(
+    t = keep_listed(tx, contracts, key, "address", max_broadcast_bytes)
+    t = t.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("address")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("value").alias("v"),
-        F.sum("gas").alias("g"),
-        F.sum("gas_price").alias("gp"),
+        wide_sum("gas").alias("g"),
+        wide_sum("gas_price").alias("gp"),
         F.count("gas_price").alias("n_gp"),
-        F.sum(C.fee_sum("max_fee_per_gas", "max_priority_fee_per_gas")).alias("fees"),
+        wide_sum(C.fee_sum("max_fee_per_gas", "max_priority_fee_per_gas")).alias("fees"),
         F.min("block_number").alias("min_tx_block"),
         # smallest label, taken on its integer position (keeps a hash aggregate)
         F.min(C.label_index(C.interaction_kind("to_address"), C.KIND_LABELS)).alias("kind_i"),
@@ -175,22 +196,24 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to") -> Dat
         "address", C.index_label(F.col("type_i"), C.TYPE_LABELS).alias("contract_type"),
         (F.col("n") * F.col("copies")).alias("calls"),
         (F.col("v") * F.col("copies")).cast(WEI).alias("total_value"),
-        (F.col("g") * F.col("copies")).alias("total_gas"),
-        F.try_divide("gp", "n_gp").alias("avg_gas_price"),
-        (F.col("fees") * F.col("copies")).alias("total_fees"),
+        (F.col("g") * F.col("copies")).cast(WEI).alias("total_gas"),
+        wide_mean("gp", "n_gp").alias("avg_gas_price"),
+        (F.col("fees") * F.col("copies")).cast(WEI).alias("total_fees"),
         C.contract_age("min_tx_block", "max_contract_block").alias("contract_age"),
         C.index_label(F.col("kind_i"), C.KIND_LABELS).alias("interaction_kind"),
     )
     return out.where(F.col("total_value") > 0)
 
 
-def contract_age_range(tx: DataFrame, contracts: DataFrame) -> DataFrame:
+def contract_age_range(tx: DataFrame, contracts: DataFrame,
+                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """E13 per contract: youngest and oldest transaction age in blocks.
 
     Over the bag join, min(tx - c) = min(tx) - max(c) and max(tx - c) =
     max(tx) - min(c), so each side is reduced to one row per address first.
     """
-    t = (tx.where(F.col("to_address").isNotNull() & F.col("block_number").isNotNull())
+    t = keep_listed(tx, contracts, "to_address", "address", max_broadcast_bytes)
+    t = (t.where(F.col("to_address").isNotNull() & F.col("block_number").isNotNull())
          .groupBy(F.col("to_address").alias("address"))
          .agg(F.min("block_number").alias("t_min"), F.max("block_number").alias("t_max")))
     c = (contracts.where(F.col("address").isNotNull() & F.col("block_number").isNotNull())

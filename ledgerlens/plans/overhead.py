@@ -44,11 +44,12 @@ def data_overhead(blocks: DataFrame, hex_cols: Sequence[str] = HEX_COLUMNS) -> D
 
 def data_overhead_first_block(blocks: DataFrame, hex_cols: Sequence[str] = HEX_COLUMNS) -> DataFrame:
     """The job's literal measure: hex columns of the first block only (lowest
-    number) against the first remaining column summed over all blocks."""
+    number, also where numbers were read as text) against the first remaining
+    column summed over all blocks."""
     rest = [c for c in blocks.columns if c not in hex_cols]
     first_rest = rest[0]
     sums = blocks.agg(
-        F.min_by(_row_len(hex_cols), F.col("number")).cast("bigint").alias("hex_chars"),
+        F.min_by(_row_len(hex_cols), F.col("number").try_cast("bigint")).cast("bigint").alias("hex_chars"),
         F.sum(text_length(first_rest)).alias("remaining_bytes"),
     )
     return sums.select("hex_chars", "remaining_bytes",

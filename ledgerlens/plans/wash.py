@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.topk import first_n, top_k
 from ..operators.windows import bucketed_lag, running_count
+from ..schemas import WEI
 
 TRANSFER_KEYS = ["from_address", "to_address", "value", "gas", "gas_price", "block_timestamp"]
 # total order of a sender's transfer groups (the timestamp alone has ties)
@@ -36,7 +37,8 @@ def transfer_groups(tx: DataFrame) -> DataFrame:
     """Identical transfers collapsed, with their count and mean gas price."""
     return tx.groupBy(*TRANSFER_KEYS).agg(
         F.count(F.lit(1)).alias("tx_count"),
-        F.try_divide(F.sum("gas_price"), F.count("gas_price")).alias("avg_gas_price"),
+        # the gas price is a key of the group, so it is its own mean
+        F.col("gas_price").cast("double").alias("avg_gas_price"),
     )
 
 
@@ -82,7 +84,8 @@ def wash_heuristics_sender_mean(tx: DataFrame,
                                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """J13 with the price rule against the sender's mean gas price."""
     sender = tx.groupBy("from_address").agg(
-        F.try_divide(F.sum("gas_price"), F.count("gas_price")).alias("sender_avg_gas_price"))
+        F.try_divide(F.sum(F.col("gas_price").cast(WEI)).cast("double"), F.count("gas_price"))
+        .alias("sender_avg_gas_price"))
     # one row per sender on the right; a hot sender's many groups on the left
     # are split by adaptive skew-join handling
     g = prev_counterparty(tx, bucket_seconds)
@@ -128,9 +131,11 @@ def wash_by_block_sender(tx: DataFrame) -> DataFrame:
     count exceeds 1 except when it is the *only* row at the group's earliest
     timestamp. So per group the flagged rows are all ``n`` rows, minus one
     when that earliest timestamp holds a single row and the transfer is not
-    to oneself. Three aggregations with map-side combining; no sort.
+    to oneself. The rows are dealt by (block, sender) once, which serves all
+    three aggregations; a block bounds what one key can hold. No sort.
     """
     t = tx.where(F.col("block_number").isNotNull() & F.col("value").isNotNull())
+    t = t.select(*BLOCK_KEYS, "block_timestamp").repartition("block_number", "from_address")
     per_ts = t.groupBy(*BLOCK_KEYS, "block_timestamp").agg(F.count(F.lit(1)).alias("n_ts"))
     per_group = per_ts.groupBy(*BLOCK_KEYS).agg(
         F.sum("n_ts").alias("n"),

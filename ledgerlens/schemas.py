@@ -26,15 +26,15 @@ BLOCK_FIELDS = [
 CONTRACT_FIELDS = [
     "address", "bytecode", "function_sighashes", "is_erc20", "is_erc721", "block_number",
 ]
-# Flat scam table as written by the JSON-to-CSV job, plus the address column.
+# Flat scam table as written by the JSON-to-CSV job, plus the address column.
 SCAM_CSV_FIELDS = [
     "identity", "name", "url", "coin", "category", "subcategory", "index", "status",
 ]
-# Nine-field scam lines read by the scam value jobs: 0 id, 4 category, 6 address.
+# Nine-field scam lines read by the scam value jobs: 0 id, 4 category, 6 address.
 SCAM_LINE_FIELDS = [
     "id", "name", "url", "coin", "category", "subcategory", "address", "index", "status",
 ]
-# Columns holding hashes / bloom filters that the storage-overhead job measures.
+# Columns holding hashes / bloom filters that the storage-overhead job measures.
 HEX_COLUMNS = ["sha3_uncles", "logs_bloom", "transactions_root", "state_root", "receipts_root"]
 
 TRANSACTIONS = T.StructType([
@@ -55,51 +55,10 @@ TRANSACTIONS = T.StructType([
     T.StructField("transaction_type", T.IntegerType()),
 ])
 
-BLOCKS = T.StructType([
-    T.StructField("number", T.LongType()),
-    T.StructField("hash", T.StringType()),
-    T.StructField("parent_hash", T.StringType()),
-    T.StructField("nonce", T.StringType()),
-    T.StructField("sha3_uncles", T.StringType()),
-    T.StructField("logs_bloom", T.StringType()),
-    T.StructField("transactions_root", T.StringType()),
-    T.StructField("state_root", T.StringType()),
-    T.StructField("receipts_root", T.StringType()),
-    T.StructField("miner", T.StringType()),
-    T.StructField("difficulty", WEI),
-    T.StructField("total_difficulty", WEI),
-    T.StructField("size", T.LongType()),
-    T.StructField("extra_data", T.StringType()),
-    T.StructField("gas_limit", T.LongType()),
-    T.StructField("gas_used", T.LongType()),
-    T.StructField("timestamp", T.LongType()),
-    T.StructField("transaction_count", T.LongType()),
-    T.StructField("base_fee_per_gas", T.LongType()),
-])
-
-CONTRACTS = T.StructType([
-    T.StructField("address", T.StringType()),
-    T.StructField("bytecode", T.StringType()),
-    T.StructField("function_sighashes", T.StringType()),
-    T.StructField("is_erc20", T.BooleanType()),
-    T.StructField("is_erc721", T.BooleanType()),
-    T.StructField("block_number", T.LongType()),
-])
-
-SCAMS = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("coin", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("subcategory", T.StringType()),
-    T.StructField("address", T.StringType()),
-    T.StructField("status", T.StringType()),
-])
-
 # One scam-registry document: ``result`` maps an address to a scam record.
+# Ids come as numbers or as text; they are read as text and typed afterwards.
 SCAM_RECORD = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("url", T.StringType()),
     T.StructField("coin", T.StringType()),

@@ -15,8 +15,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-# Settings every job assumes. Sizes are per-task targets so that at any data
-# volume a shuffle partition stays around the advisory size.
+# Settings every job assumes. Sizes are per-task targets; adaptive execution
+# merges small shuffle partitions up to the advisory size but does not split
+# large ones of an aggregation, so their number has to follow the input
+# (``build_session(input_bytes=...)``).
 BASE_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -55,21 +57,32 @@ def object_store_conf(
     return conf
 
 
-# Cluster defaults: enough initial shuffle partitions for jobs that shuffle
-# most of the ledger (wash-trade grouping) -- adaptive execution coalesces
-# them down to the advisory size, so small shuffles stay small.
+# Cluster defaults: initial shuffle partitions for inputs of unknown size (about
+# half a terabyte at the advisory size); small shuffles are merged down.
 CLUSTER_CONF: dict[str, str] = {
     "spark.sql.shuffle.partitions": "4096",
 }
 
 
+ADVISORY_BYTES = 128 << 20
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Initial shuffle partitions for jobs that may shuffle most of their input."""
+    return max(int(CLUSTER_CONF["spark.sql.shuffle.partitions"]), -(-input_bytes // ADVISORY_BYTES))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ledgerlens",
     conf: Mapping[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with :data:`BASE_CONF` plus ``conf``.
 
+    ``input_bytes`` (the size of the exports) sets the cluster's initial
+    shuffle partitions so that each stays near the advisory size.
+
     Defaults never override what the deployment already set (for example
     ``spark-submit --conf``); ``conf`` always applies.
     """
@@ -80,6 +93,8 @@ def build_session(
     target = master or deployed.get("spark.master", "")
     if target and not target.startswith("local"):   # no master at all runs locally
         defaults.update(CLUSTER_CONF)
+        if input_bytes:
+            defaults["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -127,9 +142,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             return configured
-        path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-        return path
+        # a folder of the client is not one of the executors
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)") from None
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
@@ -148,4 +162,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this application has made; their number.
+
+    For the end of an application: tables that still read them fail afterwards.
+    """
+    paths = _SCRATCH.pop(session_key(spark), [])
+    for path in paths:
+        p, fs = _file_system(spark, path)
+        fs.delete(p, True)
+    return len(paths)
+
+
+def path_version(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a file or folder from another: names, sizes and
+    times of its files. Nothing is known without a JVM at hand (Spark Connect);
+    the value then never repeats."""
+    try:
+        p, fs = _file_system(spark, path)
+    except Exception:
+        return (object(),)
+    status = fs.getFileStatus(p)
+    files = fs.listStatus(p) if status.isDirectory() else [status]
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))

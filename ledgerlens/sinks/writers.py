@@ -2,8 +2,8 @@
 
 Results are written by the executors (``DataFrameWriter``), never gathered
 on the driver. The pair-list form -- one JSON array holding every row -- is
-by nature one record, so it is only built for results whose size is bounded
-(top-k lists); the row bound is checked before the array is assembled.
+by nature one record: it is the form of results that are small by
+construction (a top-k list, a row per month).
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import fits_broadcast
-
-PAIR_LIST_MAX_ROWS = 10_000
+from ..operators.sizes import partitions_for
+from ..schemas import SCAM_LINE_FIELDS
 
 
 def run_stamped_path(base: str, part: str, now: dt.datetime | None = None) -> str:
@@ -32,8 +31,7 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def pair_list(df: DataFrame, key_cols: Sequence[str], value_col: str,
-              order: Sequence[Column] | None = None,
-              max_rows: int = PAIR_LIST_MAX_ROWS) -> DataFrame:
+              order: Sequence[Column] | None = None) -> DataFrame:
     """K1 pair-list form: one row, ``value`` = ``[[key, number], ...]`` JSON.
 
     A single key is written as ``[key, number]``, a compound key as
@@ -43,8 +41,6 @@ def pair_list(df: DataFrame, key_cols: Sequence[str], value_col: str,
     """
     from pyspark.sql import Window
 
-    if not fits_broadcast(df, max_rows):
-        raise ValueError(f"pair list needs a bounded result (<= {max_rows} rows)")
     if len(key_cols) == 1:
         key = F.to_json(F.struct(F.col(key_cols[0]).cast("string").alias("k")))
         key = F.regexp_extract(key, r'^\{"k":(.*)\}$', 1)
@@ -62,8 +58,8 @@ def pair_list(df: DataFrame, key_cols: Sequence[str], value_col: str,
 
 
 def write_pair_list(df: DataFrame, key_cols: Sequence[str], value_col: str, path: str,
-                    mode: str = "overwrite") -> None:
-    pair_list(df, key_cols, value_col).coalesce(1).write.mode(mode).text(path)
+                    mode: str = "overwrite", order: Sequence[Column] | None = None) -> None:
+    pair_list(df, key_cols, value_col, order).coalesce(1).write.mode(mode).text(path)
 
 
 def csv_lines(df: DataFrame, cols: Sequence[str], sep: str = ",") -> DataFrame:
@@ -81,6 +77,15 @@ def write_csv_header(df: DataFrame, cols: Sequence[str], path: str, mode: str =
     df.select(*cols).write.mode(mode).option("header", True).csv(path)
 
 
+def write_scam_lines(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K3: nine-field scam lines as the value jobs read them (no header, the
+    address at position 6, blanks empty). The fields are not quoted, so commas
+    and line ends inside them become spaces."""
+    flat = flat.withColumnRenamed("identity", "id")
+    plain = flat.select(*[F.regexp_replace(F.col(c).cast("string"), "[,\r\n]", " ").alias(c) for c in SCAM_LINE_FIELDS])
+    write_csv_lines(plain, SCAM_LINE_FIELDS, path, mode)
+
+
 def format_metrics(df: DataFrame, decimals: int = 2) -> DataFrame:
     """K6: numeric columns as ``#,###.##`` text."""
     num = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -93,14 +98,16 @@ def format_metrics(df: DataFrame, decimals: int = 2) -> DataFrame:
 def write_typed_ledger(transactions: DataFrame, blocks: DataFrame, contracts: DataFrame,
                        scams: DataFrame, root: str, mode: str = "overwrite") -> None:
     """Typed parquet copy of the ledger; transactions partitioned by month so
-    monthly jobs and time filters prune whole folders."""
+    monthly jobs and time filters prune whole folders. ``transactions`` should
+    hold every line with its check flags (``sources.ledger.all_transactions``),
+    so that each job can apply its own line check to the copy."""
     from ..functions.columns import month_start
 
     r = root.rstrip("/")
     # range partitioning on (month, block) gives balanced tasks that each
     # cover a few consecutive months: few files per folder, no hot month task
     tx = transactions.withColumn("month", F.date_format(month_start("block_timestamp"), "yyyy-MM"))
-    (tx.repartitionByRange("month", "block_number")
+    (tx.repartitionByRange(partitions_for(transactions), "month", "block_number")
      .write.mode(mode).partitionBy("month").parquet(f"{r}/transactions"))
     blocks.write.mode(mode).parquet(f"{r}/blocks")
     contracts.write.mode(mode).parquet(f"{r}/contracts")

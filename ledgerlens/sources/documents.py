@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.scams import parse_documents
+from ..plans.scams import parse_documents, with_typed_ids
 from ..schemas import SCAM_DOCUMENT
 
 
@@ -33,7 +33,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str = SCAM_
 
 def registry_entries(df: DataFrame) -> DataFrame:
     """Entries of registry documents read by :func:`read_json`."""
-    return df.select(F.explode("result").alias("key", "record"))
+    return with_typed_ids(df.select(F.explode("result").alias("key", "record")))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

@@ -15,31 +15,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TRANSACTION_FIELDS, WEI
-from ..session import session_key
+from ..session import path_version, session_key
 
 WEI_PER_UNIT = "1000000000000000000"
 GWEI = 1_000_000_000
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], tuple[tuple, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table of the driver data, opened once per session.
+    """Parquet table of the driver data, opened once per session and file state.
 
     Opening a parquet path lists the files and reads the footers for the
     schema (a small job each time); the DataFrame is lazy and immutable, so
     every query of a session reuses the one handle.
     """
-    import os
-
-    path = os.path.abspath(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = (session_key(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key, version = (session_key(spark), path), path_version(spark, path)
+    held = _TABLES.get(key)
+    if held is None or held[0] != version or held[1].sparkSession is not spark:
+        held = _TABLES[key] = (version, spark.read.parquet(path))
+    return held[1]
 
 
 def _sha(c: Column) -> Column:
@@ -56,8 +53,14 @@ def _addr(c: Column) -> Column:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One transaction per line item; the order is its block."""
+    """One transaction per line item; the order is its block.
+
+    So that every rule has something to decide, some items are sent twice,
+    some have no receiver and some move no value.
+    """
     li = table(spark, sf_dir, "lineitem")
+    twice = (F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") == 1)
+    li = li.withColumn("copy", F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     j = li.join(orders, li.l_orderkey == orders.o_orderkey)
     key = F.concat_ws("-", F.col("l_orderkey").cast("string"),
@@ -70,9 +73,10 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("block_number"),
         F.col("l_linenumber").cast("bigint").alias("transaction_index"),
         _addr(F.col("o_custkey")).alias("from_address"),
-        _addr(F.col("l_suppkey")).alias("to_address"),
-        (F.col("l_quantity").cast("decimal(18,0)") * F.lit(WEI_PER_UNIT).cast("decimal(19,0)"))
-        .cast(WEI).alias("value"),
+        F.when(F.col("l_partkey") % 50 != 0, _addr(F.col("l_suppkey"))).alias("to_address"),
+        F.when((F.col("l_quantity") != 50) & (F.col("l_suppkey") % 10 != 2),
+               F.col("l_quantity").cast("decimal(18,0)") * F.lit(WEI_PER_UNIT).cast("decimal(19,0)"))
+        .otherwise(F.lit(0)).cast(WEI).alias("value"),
         (F.lit(21000) + F.col("l_quantity") * 1000).cast("bigint").alias("gas"),
         (F.round(F.col("l_discount") * 100).cast("bigint") * GWEI).alias("gas_price"),
         F.lit("0x").alias("input"),
@@ -195,6 +199,8 @@ BAD_TRANSACTION_LINES: list[str] = [
     _variant(to_address=""),
     _variant(value="nan"),
     _variant(gas_price="2.5e9"),
+    _variant(gas_price="1500000000.0", gas="2.1e4"),
+    _variant(value="1.5"),
 ]
 
 
@@ -233,23 +239,30 @@ def scam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv_line(s, SCAM_LINE_FIELDS).unionAll(header)
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
 
-def as_text_file(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Write a text rendering once per session under the shared checkpoint
-    folder and scan it back, so text jobs read real files (as the exports are)
-    instead of recomputing the rendering for every field they parse."""
-    import os
-
+def written_once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Path that ``write(path)`` has filled, once per session and state of the
+    tables, under the shared checkpoint folder."""
     from ..session import scratch_path
 
-    key = (session_key(spark), os.path.abspath(sf_dir), name)
-    path = _WRITTEN.get(key)
-    if path is None:
-        path = scratch_path(spark, f"{name}-text")
-        build(spark, sf_dir).write.mode("overwrite").text(path)
-        _WRITTEN[key] = path
+    root = sf_dir.rstrip("/")
+    version = tuple(path_version(spark, f"{root}/{n}.parquet") for n in ("lineitem", "orders", "supplier"))
+    key = (session_key(spark), root, name)
+    held = _WRITTEN.get(key)
+    if held is None or held[0] != version:
+        path = scratch_path(spark, name)
+        write(path)
+        held = _WRITTEN[key] = (version, path)
+    return held[1]
+
+
+def as_text_file(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Write a text rendering once and scan it back, so text jobs read real
+    files (as the exports are) instead of recomputing the rendering for every
+    field they parse."""
+    path = written_once(spark, sf_dir, f"{name}-text", lambda p: build(spark, sf_dir).write.text(p))
     return spark.read.text(path)
 
 
@@ -264,6 +277,31 @@ def scam_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = scams(spark, sf_dir)
     attrs = ["id", "name", "url", "coin", "category", "subcategory", "status"]
     rec = s.groupBy(*attrs).agg(F.array_sort(F.collect_list("address")).alias("addresses"))
-    record = F.struct("id", "name", "url", "coin", "category", "subcategory", "addresses", "status")
-    doc = F.struct(F.create_map(F.col("addresses")[0], record).alias("result"))
+    doc = F.struct(F.create_map(F.col("addresses")[0], _RECORD()).alias("result"))
     return rec.select(F.to_json(doc).alias("value"))
+
+
+def _RECORD() -> Column:
+    return F.struct("id", "name", "url", "coin", "category", "subcategory", "addresses", "status")
+
+
+def scam_document_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as one document of several lines, with text ids and a key
+    per scam (one record by nature: for bounded registries)."""
+    attrs = ["id", "name", "url", "coin", "category", "subcategory", "status"]
+    rec = scams(spark, sf_dir).groupBy(*attrs).agg(F.array_sort(F.collect_list("address")).alias("addresses"))
+    rec = rec.withColumn("id", F.col("id").cast("string"))
+    entry = F.concat(F.lit('  "'), F.col("addresses")[0], F.lit("-"), F.col("id"), F.lit('": '), F.to_json(_RECORD()))
+    one = rec.agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    return one.select(F.concat(F.lit('{"result": {\n'), F.array_join("e", ",\n"), F.lit("\n}\n}")).alias("value"))
+
+
+# Registry records that lack something required.
+BAD_REGISTRY_DOCUMENTS: list[str] = [
+    '{"result": {"b1": {"name": "n", "url": "u", "coin": "ETH", "category": "Scam", "addresses": ["b1"], "status": "Active"}}}',
+    '{"result": {"b2": {"id": 2, "name": "n", "coin": "ETH", "category": "Scam", "addresses": ["b2"], "status": "Active"}}}',
+    '{"result": {"b3": {"id": 3, "name": "n", "url": "u", "coin": "ETH", "category": "Scam", "addresses": [], "status": "Active"}}}',
+    '{"result": {"b4": {"id": 4, "name": "n", "url": "u", "coin": "ETH", "category": "Scam", "status": "Active"}}}',
+    '{"result": {"b5": {"id": "x", "name": "n", "url": "u", "coin": "ETH", "category": "Scam", "addresses": ["b5"], "status": "Active"}}}',
+    '{"result": {"b6": null}}',
+]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import to_flag
 from ..operators import validate as V
-from ..session import session_key
+from ..session import path_version, session_key
 from . import fixtures, text
 
 
@@ -33,24 +33,23 @@ def _typed_contracts(c: DataFrame) -> DataFrame:
                     F.col("block_number").cast("bigint").alias("block_number"))
 
 
-_FROM_TABLES: dict[tuple[str, str], Ledger] = {}
+_FROM_TABLES: dict[tuple[str, str], tuple[tuple, Ledger]] = {}
 
 
 def from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
     """Ledger tables derived from the driver tables in ``sf_dir``.
 
-    Built once per session: the DataFrames are lazy and immutable, and
+    Built once per session and state of the files: the DataFrames are lazy and immutable, and
     building them (dozens of column expressions, each analysed on creation)
     costs more driver time than many small jobs take to run.
     """
-    import os
-
-    key = (session_key(spark), os.path.abspath(sf_dir))
-    led = _FROM_TABLES.get(key)
-    if led is None or led.transactions.sparkSession is not spark:
-        led = _build_from_tables(spark, sf_dir)
-        _FROM_TABLES[key] = led
-    return led
+    root = sf_dir.rstrip("/")
+    key = (session_key(spark), root)
+    version = tuple(path_version(spark, f"{root}/{n}.parquet") for n in ("lineitem", "orders", "supplier"))
+    held = _FROM_TABLES.get(key)
+    if held is None or held[0] != version or held[1].transactions.sparkSession is not spark:
+        held = _FROM_TABLES[key] = (version, _build_from_tables(spark, sf_dir))
+    return held[1]
 
 
 def _build_from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -69,10 +68,25 @@ def transactions_from_lines(lines: DataFrame) -> DataFrame:
     return text.typed_transactions(split.where(V.tx_full()))
 
 
+def all_transactions(split: DataFrame) -> DataFrame:
+    """Every line of the right number of fields, typed, with the flags that the
+    jobs' own line checks need besides the typed columns."""
+    return text.typed_transactions(split.where(V.tx_arity()), **{n: f() for n, f in V.TX_FLAGS.items()})
+
+
+def checked(tx: DataFrame, check: str) -> DataFrame:
+    """The rows of :func:`all_transactions` that a job's line check keeps."""
+    return tx.where(V.TX_CHECKS[check][1]()).drop(*V.TX_FLAGS)
+
+
 def from_text(spark: SparkSession, transactions: str, blocks: str, contracts: str,
               scams: str) -> Ledger:
-    """Read CSV exports line by line, drop malformed lines, type the rest."""
-    tx = transactions_from_lines(text.read_lines(spark, transactions))
+    """Read CSV exports line by line and type them.
+
+    Transactions keep every 15-field line (unparsable fields are null); a job's
+    own line check is applied with :func:`checked`.
+    """
+    tx = all_transactions(text.split_fields(text.read_lines(spark, transactions)))
     bl = text.typed_blocks(text.split_fields(text.read_lines(spark, blocks)).where(V.block_line()))
     ct = text.split_fields(text.read_lines(spark, contracts))
     ct = text.typed_contracts(ct.where(V.contract_arity() & (text.field(0) != "address")))

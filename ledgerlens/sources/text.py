@@ -46,8 +46,16 @@ def tx_field(name: str) -> Column:
     return field(TRANSACTION_FIELDS.index(name))
 
 
-def typed_transactions(split: DataFrame) -> DataFrame:
-    """Typed view of split transaction lines; unparsable fields are null."""
+def from_columns(table: DataFrame, fields: list[str]) -> DataFrame:
+    """A table of text columns (CSV with header) in the form of split lines."""
+    return table.select(F.array(*[F.coalesce(F.col(f), F.lit("")) for f in fields]).alias(FIELDS))
+
+
+def typed_transactions(split: DataFrame, **extra: Column) -> DataFrame:
+    """Typed view of split transaction lines; unparsable fields are null.
+
+    ``extra`` columns over the split line are added under their names.
+    """
     f = tx_field
     return split.select(
         f("hash").alias("hash"),
@@ -58,13 +66,14 @@ def typed_transactions(split: DataFrame) -> DataFrame:
         P.blank_to_null(f("from_address")).alias("from_address"),
         P.blank_to_null(f("to_address")).alias("to_address"),
         P.to_wei(f("value")).alias("value"),
-        P.to_long(f("gas")).alias("gas"),
-        P.to_long(f("gas_price")).alias("gas_price"),
+        P.to_wei(f("gas")).alias("gas"),
+        P.to_wei(f("gas_price")).alias("gas_price"),
         f("input").alias("input"),
         P.to_long(f("block_timestamp")).alias("block_timestamp"),
         P.to_long(f("max_fee_per_gas")).alias("max_fee_per_gas"),
         P.to_long(f("max_priority_fee_per_gas")).alias("max_priority_fee_per_gas"),
         P.to_long(f("transaction_type")).cast("int").alias("transaction_type"),
+        *[c.alias(name) for name, c in extra.items()],
     )
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as C
+from ..schemas import WEI
 from ..sources.ledger import transactions_from_lines
 
 STATS = ["tx_count", "value_count", "total_value", "gas_price_count", "sum_gas_price"]
@@ -46,7 +47,7 @@ def monthly_stats(tx: DataFrame, watermark_delay: str | None = None) -> DataFram
         F.count("value").alias("value_count"),
         F.sum("value").alias("total_value"),
         F.count("gas_price").alias("gas_price_count"),
-        F.sum("gas_price").alias("sum_gas_price"),
+        F.sum(F.col("gas_price").cast(WEI)).alias("sum_gas_price"),
     )
     return agg.select(C.month_key_label("mkey").alias("month"), *STATS)
 
@@ -56,7 +57,7 @@ def with_averages(stats: DataFrame) -> DataFrame:
     return stats.select(
         "month", "tx_count", "total_value",
         F.try_divide(F.col("total_value").cast("double"), "value_count").alias("avg_value"),
-        F.try_divide("sum_gas_price", "gas_price_count").alias("avg_gas_price"),
+        F.try_divide(F.col("sum_gas_price").cast("double"), "gas_price_count").alias("avg_gas_price"),
     )
 
 

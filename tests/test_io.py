@@ -67,6 +67,6 @@ def test_ledger_from_text_files(spark, small):
     assert (L.top10_miners(text.blocks).collect() == L.top10_miners(typed.blocks).collect())
     assert (sorted(map(tuple, S.value_by_scam(text.transactions, text.scams).collect()))
             == sorted(map(tuple, S.value_by_scam(typed.transactions, typed.scams).collect())))
-    n_text = text.transactions.count()
-    # 4 odd lines pass the full check: block -1, ' 12 ', empty to, float gas price
-    assert n_text == typed.transactions.count() + 4
+    n_text = src.checked(text.transactions, "full").count()
+    # 6 odd lines pass the full check: block -1, " 12 ", "1.5", empty to, two float gas prices
+    assert n_text == typed.transactions.count() + 6

@@ -7,6 +7,7 @@ import pytest
 from ledgerlens import jobs
 from ledgerlens.plans import ledger as L
 from ledgerlens.plans import scams as S
+from ledgerlens.schemas import TRANSACTION_FIELDS
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import writers as K
 from ledgerlens.sources import fixtures as FX
@@ -53,7 +54,7 @@ def test_top_scams_and_registry_csv(spark, small, exports):
         [[str(r["id"]), r["category"]] for r in ref]
     out2 = jobs.main(["scam-registry-csv", "--out", scratch_path(spark, "res"), "--no-stamp"]
                      + _args(exports, "scam-registry"), spark)
-    assert spark.read.option("header", True).csv(out2).count() == d.scams.count()
+    assert spark.read.option("header", True).csv(f"{out2}/table").count() == d.scams.count()
 
 
 def test_overhead_and_convert(spark, small, exports):
@@ -64,15 +65,81 @@ def test_overhead_and_convert(spark, small, exports):
     typed = scratch_path(spark, "typed")
     jobs.main(["convert", "--out", typed] + _args(exports, "transactions", "blocks", "contracts", "scams"),
               spark)
-    res = jobs.main(["monthly-count", "--out", scratch_path(spark, "res"), "--no-stamp", "--typed", typed],
-                    spark)
-    via_typed = dict((k, v) for k, v in json.loads(spark.read.text(res).first()[0]))
-    res2 = jobs.main(["monthly-count", "--out", scratch_path(spark, "res"), "--no-stamp"]
-                     + _args(exports, "transactions"), spark)
-    via_text = dict((k, v) for k, v in json.loads(spark.read.text(res2).first()[0]))
-    # the count job only needs a timestamp: from text it also keeps the five
-    # malformed-amount lines (abc, 1d, 0x1p3, 1_000, nan) the typed copy drops
-    bad_month = "07/2017"
-    assert via_text[bad_month] == via_typed[bad_month] + 5
-    assert {k: v for k, v in via_text.items() if k != bad_month} == \
-        {k: v for k, v in via_typed.items() if k != bad_month}
+    assert "block_digits" in spark.read.parquet(f"{typed}/transactions").columns
+
+
+TX_JOBS = ["monthly-count", "monthly-value", "top-services", "contract-types", "gas-price", "contract-gas",
+           "top-scams", "scam-series", "wash-50", "wash-heuristics", "wash-top100"]
+
+
+@pytest.fixture(scope="module")
+def typed(spark, exports):
+    out = scratch_path(spark, "typed")
+    jobs.main(["convert", "--out", out] + _args(exports, "transactions", "blocks", "contracts", "scams"), spark)
+    return out
+
+
+def _result(spark, out):
+    return sorted(r.value for r in spark.read.text(out).collect())
+
+
+@pytest.mark.parametrize("job", [*TX_JOBS, "top-miners"])
+def test_text_and_typed_copy_give_the_same(spark, exports, typed, job):
+    """One job gives one answer, whatever form its input has."""
+    base = [job, "--out", scratch_path(spark, "res"), "--no-stamp"]
+    text = jobs.main(base + _args(exports, "transactions", "blocks", "contracts", "scams"), spark)
+    got = _result(spark, text)
+    base[2] = scratch_path(spark, "res")
+    assert _result(spark, jobs.main([*base, "--typed", typed], spark)) == got and got
+
+
+@pytest.mark.parametrize("job", ["contract-gas", "wash-50"])
+def test_csv_with_header_gives_the_same(spark, small, exports, job):
+    tx = from_tables(spark, small).transactions
+    quoted, plain = scratch_path(spark, "tx-csv"), scratch_path(spark, "tx-lines")
+    tx.select(*TRANSACTION_FIELDS).write.option("header", True).option("quoteAll", True).csv(quoted)
+    K.write_csv_lines(tx, TRANSACTION_FIELDS, plain)
+    base = [job, "--no-stamp", *_args(exports, "contracts")]
+    a = jobs.main([*base, "--out", scratch_path(spark, "res"), "--transactions", quoted, "--csv-header"], spark)
+    b = jobs.main([*base, "--out", scratch_path(spark, "res"), "--transactions", plain], spark)
+    assert _result(spark, a) == _result(spark, b)
+
+
+@pytest.mark.parametrize("job,column", [("gas-price", 0), ("monthly-count", 0)])
+def test_monthly_lists_are_written_by_label(spark, exports, job, column):
+    out = jobs.main([job, "--out", scratch_path(spark, "res"), "--no-stamp"] + _args(exports, "transactions"), spark)
+    labels = [x[column] for x in json.loads(spark.read.text(out).first()[0])]
+    assert labels == sorted(labels) and len(labels) > 12
+
+
+def test_registry_file_feeds_the_value_job(spark, small, exports):
+    flat = jobs.main(["scam-registry-csv", "--out", scratch_path(spark, "res"), "--no-stamp"]
+                     + _args(exports, "scam-registry"), spark)
+    out = jobs.main(["top-scams", "--out", scratch_path(spark, "res"), "--no-stamp", "--scams", f"{flat}/lines"]
+                    + _args(exports, "transactions"), spark)
+    assert len(json.loads(spark.read.text(out).first()[0])) > 0
+
+
+def test_first_block_is_numeric_in_text(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.plans.overhead import data_overhead_first_block
+    from ledgerlens.schemas import BLOCK_FIELDS
+
+    rows = spark.createDataFrame([("999", "x" * 10), ("1000", "x" * 20)], "number string, h string")
+    table = rows.select(*[F.col("number") if c == "number" else F.col("h").alias(c) for c in BLOCK_FIELDS])
+    assert data_overhead_first_block(table).first().hex_chars == 50
+
+
+def test_registry_text_ids_and_unreadable_documents(spark):
+    from ledgerlens.plans.scams import flatten_registry, parse_documents
+
+    doc = ('{"result": {"a": {"id": "2", "name": "n, m", "url": "u", "coin": "ETH", "category": "Scam",'
+           ' "addresses": ["a"], "status": "Active"}}}')
+    flat = flatten_registry(parse_documents(spark.createDataFrame([(doc,), (" ",)], "value string")))
+    assert [(r.identity, r.category) for r in flat.collect()] == [(2, "Scamming")]
+    path = scratch_path(spark, "scam-lines")
+    K.write_scam_lines(flat, path)
+    assert spark.read.text(path).first()[0] == "2,n  m,u,ETH,Scamming,,a,0,Active"
+    with pytest.raises(Exception, match="not a registry document"):
+        parse_documents(spark.createDataFrame([("{",)], "value string")).collect()

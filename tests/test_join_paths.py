@@ -18,21 +18,21 @@ def led(spark, small):
 
 def test_services(led):
     _same(L.top10_services(led.transactions, led.contracts),
-          L.top10_services(led.transactions, led.contracts, max_broadcast_rows=0))
+          L.top10_services(led.transactions, led.contracts, max_broadcast_bytes=0))
 
 
 def test_contract_gas(led):
     _same(L.contract_gas_monthly(led.transactions, led.contracts),
-          L.contract_gas_monthly(led.transactions, led.contracts, max_broadcast_rows=0))
+          L.contract_gas_monthly(led.transactions, led.contracts, max_broadcast_bytes=0))
 
 
 def test_scam_value_and_series(led):
     _same(S.value_by_scam(led.transactions, led.scams),
-          S.value_by_scam(led.transactions, led.scams, max_broadcast_rows=0))
+          S.value_by_scam(led.transactions, led.scams, max_broadcast_bytes=0))
     _same(S.scam_time_series(led.transactions, led.scams),
-          S.scam_time_series(led.transactions, led.scams, max_broadcast_rows=0))
+          S.scam_time_series(led.transactions, led.scams, max_broadcast_bytes=0))
     _same(S.scam_join(led.transactions, led.scams),
-          S.scam_join(led.transactions, led.scams, max_broadcast_rows=0))
+          S.scam_join(led.transactions, led.scams, max_broadcast_bytes=0))
 
 
 def test_contract_types_bag_semantics(spark, led):

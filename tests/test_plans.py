@@ -24,7 +24,7 @@ def test_monthly_count_prunes_and_combines_map_side(led):
     assert "partial_count" in p
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", p)
     # only the join key and the timestamp of line items are read
-    assert any(set(re.sub(r"#\d+L?", "", s).split(",")) == {"l_orderkey", "l_shipdate"} for s in scans)
+    assert any(set(re.sub(r"#\d+L?", "", s).split(",")) == {"l_orderkey", "l_linenumber", "l_shipdate"} for s in scans)
 
 
 def test_shuffle_join_path_aggregates_before_joining(spark, led):
@@ -34,9 +34,9 @@ def test_shuffle_join_path_aggregates_before_joining(spark, led):
     for k in keys:
         spark.conf.set(k, "-1")
     try:
-        for df in (L.top10_services(led.transactions, led.contracts, max_broadcast_rows=0),
-                   L.contract_gas_monthly(led.transactions, led.contracts, max_broadcast_rows=0),
-                   S.value_by_scam(led.transactions, led.scams, max_broadcast_rows=0)):
+        for df in (L.top10_services(led.transactions, led.contracts, max_broadcast_bytes=0),
+                   L.contract_gas_monthly(led.transactions, led.contracts, max_broadcast_bytes=0),
+                   S.value_by_scam(led.transactions, led.scams, max_broadcast_bytes=0)):
             lines = plan(df).splitlines()
             j = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "to_address" in line)
             # the first (left, transactions) child of the join is an aggregate
