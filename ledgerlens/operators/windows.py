@@ -6,11 +6,10 @@ operators here keep that bounded:
 * ``running_count`` pre-aggregates rows that share (partition, order value)
   before the window, so copies of a row cost one window row.
 * ``bucketed_lag`` splits each partition into order-preserving buckets and
-  takes the lag inside each bucket. The last value of every bucket (from a
-  small per-bucket summary) is carried into the next non-empty bucket of the
-  same partition as a marker row that sorts first, so the first real row of
-  a bucket lags onto it. A key holding a third of all rows is spread over as
-  many tasks as it has buckets, and the large side is shuffled once.
+  takes the lag inside each bucket; the last value of every bucket is carried
+  to the head of the next one through a table with one row per bucket. A key
+  holding a third of all rows is spread over as many tasks as it has buckets,
+  and the large side is shuffled once.
 """
 
 from __future__ import annotations
@@ -36,54 +35,59 @@ def running_count(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     return grouped.withColumn(out_col, F.sum(weight_col).over(w))
 
 
+KEY, BUCKET = "__key", "__bucket"
+# Below every real bucket: rows whose order starts with null sort first.
+NULL_BUCKET = -(2 ** 63)
+
+
+def bucket_keys(partition_cols: Sequence[str], bucket: Column) -> list[Column]:
+    """The columns ``__key`` (one text for all partition columns) and
+    ``__bucket``, both never null, so that plain equality joins them."""
+    parts = [F.when(F.col(c).isNull(), F.lit("n")).otherwise(
+        F.concat(F.lit("v"), F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")))
+        for c in partition_cols]
+    return [F.concat(*parts).alias(KEY), F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET)).alias(BUCKET)]
+
+
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                  value_col: str, out_col: str, bucket: Column | None,
-                 summary_source: DataFrame | None = None) -> DataFrame:
+                 totals: dict[str, Column] | None = None) -> DataFrame:
     """``lag(value_col) OVER (PARTITION BY p ORDER BY o)`` for a total order ``o``.
 
     ``bucket`` must be non-decreasing along ``o`` inside a partition (e.g. the
-    hour of the first order column). The window then runs per
-    ``(p, bucket)``; each bucket's last value (a small per-bucket summary) is
-    carried into the next non-empty bucket of the same partition as a marker
-    row that sorts first, so the first real row of a bucket lags onto it. The
-    big side is shuffled once, as for the plain window. With ``bucket=None``
+    hour of the first order column). The window then runs per (partition,
+    bucket); the head row of each bucket gets its value from the last row of
+    the previous non-empty bucket, through a table with one row per bucket.
+    Every step on the large side uses the same partitioning by
+    (``__key``, ``__bucket``): if ``df`` brings these columns (``bucket_keys``)
+    and is partitioned by them, it is not shuffled again. With ``bucket=None``
     this is the plain window.
 
-    ``summary_source`` may name a cheaper input holding the same
-    (partition, order, value) tuples -- e.g. the rows ``df`` was aggregated
-    from -- so the per-bucket maxima do not recompute ``df``.
+    ``totals`` adds, per name, the sum of an amount over the whole partition;
+    the sums go through the same small table.
     """
     order = [F.col(c).asc_nulls_first() for c in order_cols]
+    totals = totals or {}
     if bucket is None:
-        w = Window.partitionBy(*partition_cols).orderBy(*order)
-        return df.withColumn(out_col, F.lag(value_col).over(w))
-
-    b, m = "__bucket", "__marker"
-    with_b = df.withColumn(b, bucket)
-
-    # last value of every (partition, bucket), delivered to the next bucket
-    ord_struct = F.struct(*[F.col(c) for c in order_cols])
-    src = with_b if summary_source is None else summary_source.withColumn(b, bucket)
-    summary = src.groupBy(*partition_cols, b).agg(
-        F.max_by(F.col(value_col), ord_struct).alias("__last"))
-    wp = Window.partitionBy(*partition_cols).orderBy(F.col(b).asc_nulls_first())
-    carry = (summary.select(*partition_cols, F.lead(b).over(wp).alias("__next"), "__last")
-             .where(F.col("__next").isNotNull()))
-
-    types = dict(with_b.dtypes)
-    marker_cols = []
-    for c in with_b.columns:
-        if c in partition_cols:
-            marker_cols.append(F.col(c))
-        elif c == b:
-            marker_cols.append(F.col("__next").alias(b))
-        elif c == value_col:
-            marker_cols.append(F.col("__last").alias(c))
-        else:
-            marker_cols.append(F.lit(None).cast(types[c]).alias(c))
-    markers = carry.select(*marker_cols, F.lit(0).alias(m))
-    rows = with_b.withColumn(m, F.lit(1))
-
-    w = Window.partitionBy(*partition_cols, b).orderBy(F.col(m), *order)
-    out = rows.unionByName(markers).withColumn(out_col, F.lag(value_col).over(w))
-    return out.where(F.col(m) == 1).select(*df.columns, out_col)
+        over = Window.partitionBy(*partition_cols)
+        out = df.withColumn(out_col, F.lag(value_col).over(over.orderBy(*order)))
+        return out.select("*", *[F.sum(c).over(over).alias(n) for n, c in totals.items()])
+
+    own = list(df.columns)
+    if KEY not in own:
+        df = df.select("*", *bucket_keys(partition_cols, bucket))
+    else:
+        own = [c for c in own if c not in (KEY, BUCKET)]
+    whole = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+    end = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inside = df.select("*", F.lag(value_col).over(whole).alias("__prev"), F.row_number().over(whole).alias("__row"))
+
+    heads = df.select(KEY, BUCKET, F.row_number().over(whole).alias("__row"),
+                      F.last(value_col).over(end).alias("__last"),
+                      *[F.sum(c).over(end).alias(n) for n, c in totals.items()]).where("__row = 1")
+    per_key = Window.partitionBy(KEY)
+    carried = heads.select(KEY, BUCKET, F.lag("__last").over(per_key.orderBy(BUCKET)).alias("__carried"),
+                           *[F.sum(n).over(per_key).alias(n) for n in totals])
+    joined = inside.join(carried, [KEY, BUCKET])
+    value = F.when(F.col("__row") == 1, F.col("__carried")).otherwise(F.col("__prev"))
+    return joined.select(*own, value.alias(out_col), *totals)

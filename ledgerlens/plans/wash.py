@@ -4,19 +4,20 @@ J13 groups identical transfers, looks at the sender's previous
 counterparty and flags four heuristics; J14 counts repeated transfers inside
 a block and ranks (block, sender) by the value of flagged transfers.
 
-Both are written against hot keys: identical rows are collapsed by partial
-aggregation before any window, and the per-sender window is split into time
+Both are written against hot keys: the per-sender window is split into time
 buckets (``bucketed_lag``), so one very active sender is spread over many
-tasks instead of one.
+tasks, and a block bounds what a key of J14 can hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.topk import first_n, top_k
-from ..operators.windows import bucketed_lag, running_count
+from ..operators.windows import BUCKET, KEY, bucket_keys, bucketed_lag, running_count
 from ..schemas import WEI
 
 TRANSFER_KEYS = ["from_address", "to_address", "value", "gas", "gas_price", "block_timestamp"]
@@ -33,9 +34,9 @@ DEFAULT_BUCKET_SECONDS = 3600
 NULL_FIRST = -(2 ** 63)   # below every epoch second
 
 
-def transfer_groups(tx: DataFrame) -> DataFrame:
+def transfer_groups(tx: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Identical transfers collapsed, with their count and mean gas price."""
-    return tx.groupBy(*TRANSFER_KEYS).agg(
+    return tx.groupBy(*TRANSFER_KEYS, *extra_keys).agg(
         F.count(F.lit(1)).alias("tx_count"),
         # the gas price is a key of the group, so it is its own mean
         F.col("gas_price").cast("double").alias("avg_gas_price"),
@@ -48,13 +49,21 @@ def _hour_bucket(bucket_seconds: int | None) -> Column | None:
     return F.floor(F.col("block_timestamp") / F.lit(bucket_seconds))
 
 
-def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Transfer groups with the sender's previous counterparty."""
-    # bucket maxima straight from the transactions: the same key tuples as
-    # the groups, without recomputing the grouping
-    return bucketed_lag(transfer_groups(tx), ["from_address"], SENDER_ORDER,
-                        "to_address", "prev_to_address", _hour_bucket(bucket_seconds),
-                        summary_source=tx)
+def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                      totals: dict[str, Column] | None = None) -> DataFrame:
+    """Transfer groups with the sender's previous counterparty.
+
+    The transfers are dealt by (sender, hour) once; grouping, lag and the
+    per-hour summary all run on that partitioning. ``totals`` adds sums over
+    all of a sender's groups.
+    """
+    bucket = _hour_bucket(bucket_seconds)
+    if bucket is None:
+        groups = transfer_groups(tx)
+    else:
+        rows = tx.select(*TRANSFER_KEYS, *bucket_keys(["from_address"], bucket)).repartition(KEY, BUCKET)
+        groups = transfer_groups(rows, [KEY, BUCKET])
+    return bucketed_lag(groups, ["from_address"], SENDER_ORDER, "to_address", "prev_to_address", bucket, totals)
 
 
 def _heuristics(avg_col: str) -> Column:
@@ -83,14 +92,11 @@ def wash_heuristics(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_S
 def wash_heuristics_sender_mean(tx: DataFrame,
                                 bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """J13 with the price rule against the sender's mean gas price."""
-    sender = tx.groupBy("from_address").agg(
-        F.try_divide(F.sum(F.col("gas_price").cast(WEI)).cast("double"), F.count("gas_price"))
-        .alias("sender_avg_gas_price"))
-    # one row per sender on the right; a hot sender's many groups on the left
-    # are split by adaptive skew-join handling
-    g = prev_counterparty(tx, bucket_seconds)
-    j = g.join(sender, g["from_address"].eqNullSafe(sender["from_address"])) \
-        .drop(sender["from_address"])
+    copies = F.when(F.col("gas_price").isNotNull(), F.col("tx_count"))
+    g = prev_counterparty(tx, bucket_seconds, {
+        "__prices": F.col("gas_price").cast(WEI) * F.col("tx_count"), "__priced": copies})
+    mean = F.try_divide(F.col("__prices").cast("double"), F.col("__priced"))
+    j = g.withColumn("sender_avg_gas_price", mean)
     return j.where(_heuristics("sender_avg_gas_price")).select(*OUT, "sender_avg_gas_price")
 
 

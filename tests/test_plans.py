@@ -66,7 +66,7 @@ def test_contract_types_stays_hash_aggregated(led):
 
 def test_sender_window_is_split_into_buckets(led):
     p = plan(W.prev_counterparty(led.transactions))
-    window = next(line for line in p.splitlines() if "Window [lag" in line)
+    window = next(line for line in p.splitlines() if "Window [lag" in line and "__prev" in line)
     assert "__bucket" in window
 
 
@@ -74,3 +74,51 @@ def test_text_order_sort(spark, led):
     a = L.contract_gas_sorted(led.transactions, led.contracts, text_order=True).collect()
     texts = [str(r["avg_gas"]) for r in a]
     assert texts == sorted(texts, reverse=True)
+
+
+@pytest.fixture(scope="module")
+def typed(spark, led):
+    """Typed copies on disk, as the jobs read them at scale (no fixture join)."""
+    from ledgerlens.session import scratch_path
+
+    def copy(df, name):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    return copy(led.transactions, "tx-copy"), copy(led.contracts, "contracts-copy"), copy(led.scams, "scams-copy")
+
+
+def final_plan(df) -> str:
+    """The adaptive plan after it has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_j14_deals_its_rows_once(typed):
+    p = plan(W.wash_by_block_sender(typed[0]))
+    assert p.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in p and "Window" not in p
+
+
+def test_j13_has_one_large_exchange_and_one_scan(typed):
+    for job in (W.wash_heuristics, W.wash_heuristics_sender_mean):
+        p = final_plan(job(typed[0]))
+        assert "SortAggregate" not in p
+        scans = [x for x in p.splitlines() if "FileScan" in x]
+        large = [x for x in p.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION_BY_COL" in x
+                 and "Reused" not in x]
+        by_sender = [x for x in p.splitlines() if "Exchange hashpartitioning(__key" in x and "REPARTITION" not in x]
+        assert len(scans) == 1 and len(large) == 1, p
+        # what else is shuffled has one row per (sender, hour)
+        assert len(by_sender) <= 2, p
+
+
+def test_contract_filter_comes_before_the_first_exchange(typed):
+    tx, contracts, scams = typed
+    for df in (L.contract_types(tx, contracts), L.contract_age_range(tx, contracts),
+               L.contract_totals(tx, contracts), S.scam_join(tx, scams)):
+        lines = plan(df).splitlines()
+        scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "block_timestamp" in x or
+                    "FileScan" in x and "to_address" in x)
+        semi = max(i for i, x in enumerate(lines[:scan]) if "LeftSemi" in x and "BroadcastHashJoin" in x)
+        assert not any("Exchange hashpartitioning" in x for x in lines[semi:scan]), lines
