@@ -10,19 +10,22 @@ is the exception; such texts are encoded whole.
 from __future__ import annotations
 
 import re
+import struct
 from functools import cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Remembered pieces per worker; when full, the memory starts afresh.
-MAX_REMEMBERED = 400_000
+#: Remembered pieces per worker, twice over (see ``_Memory.age``).
+MAX_REMEMBERED = 250_000
 
 _RUN = re.compile(r"\s (?:\s|\Z)")
-_ENDINGS = frozenset(".,;:!?")
+_SPACE = re.compile(r"\s")
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 #: Letters below this are letters in every Unicode version in use.
 _LATIN_END = "ɐ"
+_WORD_AND_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([^\w\s]+)")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -32,6 +35,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _pack(ids: list[int]) -> bytes:
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else np.array(ids, dtype="<u4").tobytes()
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable character that byte-level BPE uses for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -41,54 +48,86 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
-class _Pieces(dict):
-    """Ids (little-endian unsigned 32-bit) of ``" " + piece`` by piece."""
+class _Memory(dict):
+    """Packed ids by text, filled on demand; ``make`` encodes what is missing."""
 
-    def __init__(self, tokenizer: Tokenizer) -> None:
+    def __init__(self, make) -> None:
         super().__init__()
-        self.tokenizer = tokenizer
-        self.model = tokenizer.model
-        self.letters = _byte_letters()
-        self.endings = {c: self._packed(c) for c in _ENDINGS}
-
-    def _packed(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if piece.isalpha() and max(piece) < _LATIN_END:
-            # a single word: no further cuts, straight to the model
-            word = (" " + piece).encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(word)], dtype="<u4").tobytes()
-        elif len(piece) > 1 and piece[-1] in _ENDINGS and piece[:-1].isalpha():
-            ids = self[piece[:-1]] + self.endings[piece[-1]]
-        else:
-            ids = self._packed(" " + piece)
-        self[piece] = ids
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
+        self[text] = ids
         return ids
 
+    def age(self) -> None:
+        """Keep what is known as the older half and start a new one: texts in
+        use come back from there, the others are forgotten at the next call."""
+        self.older = dict(self)
+        self.clear()
+
 
 class Encoder:
-    """Encodes texts to packed ids; one per worker process and vocabulary."""
+    """Encodes texts to packed ids (little-endian unsigned 32-bit integers); one
+    per worker process and vocabulary."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their spellings are ordinary text
         self.tokenizer.no_truncation()
-        self.known = _Pieces(self.tokenizer)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.space = self.letters[32]
+        self.newline = self._whole("\n")
+        self.spaced = _Memory(self._spaced)           # texts after a space
+        self.bare = _Memory(self._bare)               # texts after anything else
+        self.marks = _Memory(self._whole)             # runs of neither letters, digits nor space
+
+    def _whole(self, text: str) -> bytes:
+        return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, letters: str, space: str) -> bytes:
+        """A word: no further cuts, straight to the model."""
+        if not letters.isascii():                     # ASCII letters stand for themselves
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        return _pack([t.id for t in self.model.tokenize(space + letters)])
+
+    def _spaced(self, piece: str) -> bytes:
+        if piece.isalpha() and max(piece) < _LATIN_END:
+            return self._word(piece, self.space)
+        parts = _WORD_AND_MARKS.fullmatch(piece)
+        if parts:
+            return self.spaced[parts[1]] + self.marks[parts[2]]
+        line, cut, rest = piece.partition("\n")
+        if cut and line and rest and not _SPACE.search(line[-1] + rest[0]):
+            return self.spaced[line] + self.newline + self.bare[rest]
+        return self._whole(" " + piece)
+
+    def _bare(self, piece: str) -> bytes:
+        if piece.isalpha() and max(piece) < _LATIN_END:
+            return self._word(piece, "")
+        parts = _WORD_AND_MARKS.fullmatch(piece)
+        if parts:
+            return self.bare[parts[1]] + self.marks[parts[2]]
+        return self._whole(piece)
 
     def packed(self, text: str) -> bytes:
-        """Ids of the whole text as little-endian unsigned 32-bit integers."""
+        """Ids of the whole text."""
         if not text:
             return b""
         if _RUN.search(text):
-            return self.known._packed(text)
-        if len(self.known) > MAX_REMEMBERED:
-            self.known.clear()
-        first, _, rest = text.partition(" ")
-        head = self.known._packed(first) if first else b""
-        if not _:
+            return self._whole(text)
+        for memory in (self.spaced, self.bare, self.marks):
+            if len(memory) > MAX_REMEMBERED:
+                memory.age()
+        first, space, rest = text.partition(" ")
+        head = self.bare[first] if first else b""
+        if not space:
             return head
-        return head + b"".join(map(self.known.__getitem__, rest.split(" ")))
+        return head + b"".join(map(self.spaced.__getitem__, rest.split(" ")))
 
 
 @cache
