@@ -69,13 +69,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     place = F.xxhash64("id", "h", "at")
     seeds = (found.groupBy("seed").agg(F.min(place).alias("a"), F.max(place).alias("b"))
              .where("a != b").select("seed"))
-    matched = found.join(materialize(seeds, "line-seeds"), "seed", "left_semi")
+    # merge joins at any size: the plan that large inputs need, and whose
+    # partitions adaptive execution splits
+    matched = found.join(materialize(seeds, "line-seeds").hint("merge"), "seed", "left_semi")
     matched = materialize(matched.select("id", "h", "first", "last", "p_first", "p_last", "k1", "k2"),
                           "line-matches")
     occurrence = F.struct("id", "h", "first", "last")
     firsts = (matched.groupBy("k1", "k2").agg(F.min(occurrence).alias("o"), F.max(occurrence).alias("z"))
               .where("o != z").select("k1", "k2", "o"))
-    both = matched.join(materialize(firsts, "line-firsts"), ["k1", "k2"])
+    both = matched.join(materialize(firsts, "line-firsts").hint("merge"), ["k1", "k2"])
     same_doc = F.col("id").eqNullSafe(F.col("o.id")) & (F.col("h") == F.col("o.h"))
     # a copy that overlaps the first occurrence in its own document loses the rest only
     later = both.where(~(same_doc & (F.col("first") == F.col("o.first")))).select(
@@ -107,10 +109,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     keyed = docs.withColumn("_ll_id", F.col(id_col)).withColumn("_ll_hash", F.xxhash64(F.col(text_col)))
     slim = keyed.select(F.col("_ll_id").alias("id"), F.col("_ll_hash").alias("h"), F.col(text_col).alias("text"))
-    runs = materialize(repeated_runs(slim, min_words), "line-runs")
+    runs = materialize(repeated_runs(slim, min_words), "line-runs").hint("merge")
     joined = keyed.join(runs, keyed["_ll_id"].eqNullSafe(runs["id"]) & (keyed["_ll_hash"] == runs["h"]), "left")
     names = [c for c in docs.columns]
-    out = joined.select(*[keyed[c] for c in names], F.col("runs").alias("_ll_runs"))
+    out = joined.select(*[keyed[c] for c in names], runs["runs"].alias("_ll_runs"))
     quoted = f"`{text_col}`"
     pieces = f"""flatten(transform(sequence(0, size(_ll_runs)), i -> slice(split({quoted}, '\\n', -1),
         if(i = 0, 0, _ll_runs[i - 1].b + 1) + 1,

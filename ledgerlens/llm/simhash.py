@@ -209,7 +209,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = materialize(near_duplicates(docs, id_col, text_col, shingle_words, max_bits), "simhash-found")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least")
     chosen = found.groupBy("component").agg(least)
-    keys = materialize(chosen.select("least.doc_id", "least.text_hash"), "simhash-kept")
+    # a merge join at any size, whose partitions adaptive execution splits
+    keys = materialize(chosen.select("least.doc_id", "least.text_hash"), "simhash-kept").hint("merge")
     own_id, own_hash = F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))
     keyed = docs.withColumn("_ll_id", own_id).withColumn("_ll_hash", own_hash)
     kept = keyed.join(keys, keyed["_ll_id"].eqNullSafe(keys["doc_id"]) & (keyed["_ll_hash"] == keys["text_hash"]),
