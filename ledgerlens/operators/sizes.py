@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+UNKNOWN = 2 ** 63 - 1
+
 
 def planned_bytes(df: DataFrame) -> int:
-    """The planner's estimate of ``df`` in bytes (file sizes for a scan)."""
+    """The planner's estimate of ``df`` in bytes (file sizes for a scan).
+
+    Where no planner is at hand (Spark Connect) the size counts as unknown: as
+    large as the planner's own default for that."""
+    try:
+        df._jdf
+    except AttributeError:
+        return UNKNOWN
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
