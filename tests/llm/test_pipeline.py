@@ -78,3 +78,12 @@ def test_stages(spark, folder):
     assert lengths == {r.doc_id: len(packer(r.text or "")) // 4 + 1 for r in safe.collect()}
     whole = corpus_pipeline.run(spark, folder).collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, packed))
+
+
+def test_empty_documents(spark, folder):
+    out = scratch_path(spark, "pipeline-empty")
+    spark.read.parquet(f"{folder}/documents.parquet").where("false").write.parquet(f"{out}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{t}.parquet").where("false").write.parquet(f"{out}/{t}.parquet")
+    assert corpus_pipeline.run(spark, out).count() == 0
+    assert simhash.keep_one(spark.read.parquet(f"{out}/documents.parquet")).count() == 0
