@@ -132,6 +132,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = tuple(RULES)
     blocked_urls = judged.where(F.col("action") == BLOCK).select(F.col("url").alias("node")).unionAll(
         ends.where(F.col("best.action") == BLOCK).select("node")).distinct()
     bad = components.join(blocked_urls, "node", "left_semi").select("component").distinct()
+    # two written tables under a merge join: a component of any size can be split
+    bad = materialize(bad, "blocked-components").hint("merge")
     aliases = materialize(components.join(bad, "component", "left_semi")
                           .select(F.col("node").alias("url"), F.lit(True).alias("alias")), "blocked-aliases")
     out = judged.join(aliases, "url", "left")
