@@ -38,6 +38,7 @@ MAX_WORD_DISTANCE = 0.47
 HEAVY_SHARE = 0.001
 #: Distinct words a task holds before it passes its counts on.
 HELD_WORDS = 200_000
+SALTS = 16
 
 _UPPER, _LOWER, _DIGIT = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58))
 _PUNCTUATION = b".,;:?!\"'()-"
@@ -165,9 +166,15 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     counted = (narrow.mapInArrow(run, "lang string, word binary, class int, n double")
                .groupBy("lang", "class", "word").agg(F.sum("n").alias("n")))
-    # per language and class value: the classes are one row each, the words are ranked
-    order = Window.partitionBy("lang", "class").orderBy(F.desc("n"), "word")
-    ranked = counted.withColumn("r", F.row_number().over(order)).where(F.col("r") <= common)
+    # Per language and class value: the classes are one row each, the words are
+    # ranked. The best of each task go to one of SALTS rankings first, so the
+    # last one gets at most SALTS * common rows, however many tasks there are.
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy("lang", "class", *keys).orderBy(F.desc("n"), "word")
+        return rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= common).drop("r")
+
+    salted = counted.withColumn("salt", F.spark_partition_id() % SALTS)
+    ranked = best(best(salted, "salt"))
     totals = counted.where("class = -1").groupBy("lang").agg(F.sum("n").alias("n"))
     total = {r["lang"]: r["n"] for r in totals.limit(MAX_LANGUAGES + 1).collect()}
     if len(total) > MAX_LANGUAGES:
