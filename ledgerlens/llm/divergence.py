@@ -33,6 +33,12 @@ MIN_WORDS_FOR_COMMON = 100
 #: Largest distances that are kept.
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.47
+#: Least share of common words that is kept, as a part of the reference's share.
+#: A text without any is nearer to its reference (0.46) than the limit above.
+MIN_COMMON_PART = 0.55
+#: Standard deviations by which the count must also lie below the expected one,
+#: where a language's common words are so rare that chance alone can miss them.
+COMMON_DEVIATIONS = 3
 #: A text that is more than this share of its language's rows counts once in the
 #: reference. At most 1 / share texts per language can be, which bounds their list.
 HEAVY_SHARE = 0.001
@@ -212,6 +218,17 @@ def distances(text: bytes, reference: Reference) -> tuple[float | None, float |
     return by_class, by_word
 
 
+def lacks_common(text: bytes, reference: Reference) -> bool:
+    """Whether a text, long enough, has far fewer common words than its language."""
+    words = text.lower().split()
+    if len(words) < MIN_WORDS_FOR_COMMON:
+        return False
+    share = 1 - reference.counts[-1] / reference.counts.sum()
+    expected = len(words) * share
+    chance = COMMON_DEVIATIONS * math.sqrt(expected * (1 - share))
+    return sum(map(reference.words.__contains__, words)) < min(MIN_COMMON_PART * expected, expected - chance)
+
+
 _RESULT = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
            "n_repeat_words bigint, base_failed boolean, class_distance double, word_distance double, "
            "kept boolean")
@@ -223,8 +240,10 @@ def judge(docs: DataFrame, known: dict[str, Reference], id_col: str = "doc_id",
 
     A document is compared with its language's reference, or with the nearest
     one if its language is null or has none. It is kept if the base rules hold
-    and no measured distance is above its limit; distances of short texts, and
-    all if there is no reference, are null and never reject. Null and empty
+    and no measured distance is above its limit, nor its share of common words
+    far below the reference's (wrong language, gibberish: their distance is
+    small, as they only miss words); distances of short texts, and all if there
+    is no reference, are null and never reject. Null and empty
     texts have no words, so the base rules fail. Repeated rows each keep
     theirs; an empty table gives no rows.
     """
@@ -233,13 +252,15 @@ def judge(docs: DataFrame, known: dict[str, Reference], id_col: str = "doc_id",
     def verdict(text: bytes, lang: str | None) -> tuple:
         base = base_measures(text)
         refs = held.value
-        if lang in refs:
-            by_class, by_word = distances(text, refs[lang])
+        own = refs.get(lang)
+        if own is not None:
+            by_class, by_word = distances(text, own)
         else:
-            near = [distances(text, r) for r in refs.values()]
-            by_class = min((c for c, _ in near if c is not None), default=None)
-            by_word = min((w for _, w in near if w is not None), default=None)
+            near = [(*distances(text, r), r) for r in refs.values()]
+            by_class = min((c for c, _, _ in near if c is not None), default=None)
+            by_word, own = min(((w, r) for _, w, r in near if w is not None), key=lambda x: x[0], default=(None, None))
         fits = (by_class or 0.0) <= MAX_CLASS_DISTANCE and (by_word or 0.0) <= MAX_WORD_DISTANCE
+        fits = fits and (by_word is None or not lacks_common(text, own))
         return (*base, by_class, by_word, fits and not base[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

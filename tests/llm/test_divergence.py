@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import divergence as V
 
@@ -72,3 +74,27 @@ def test_labelled_quality(spark, small):
     judged = V.judge(docs, V.references(docs)).join(labels, "doc_id")
     passed = judged.where("not base_failed")
     assert passed.where("kept").count() >= 0.98 * passed.count()
+
+
+def test_missing_common_words_are_rejected(spark, frame):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1")
+    refs = V.references(docs)
+    good = [r for r in docs.join(labels, "doc_id").collect() if len(r.text.split()) >= V.MIN_WORDS_FOR_COMMON]
+    rng = random.Random(1)
+    letters = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(n))
+               for n in (100, 300, 1000) for _ in range(10)]
+    rows = [(0, r.text, r.lang) for r in good]
+    rows += [(1, r.text, q) for r in good for q in refs if q != r.lang]
+    rows += [(2, t, q) for t in letters for q in [*refs, None]]
+    judged = V.judge(frame(rows), refs).where("not base_failed").groupBy("doc_id").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {r.doc_id: r.kept for r in judged}
+    assert kept[0] >= 0.98 and kept[1] <= 0.02 and kept[2] == 0
+
+
+def test_rare_common_words_do_not_reject():
+    # one common word in a hundred: a short text may miss it by chance, a long one may not
+    ref = V.Reference(np.ones(8), {b"x": 0}, np.array([1.0, 99.0]))
+    assert not V.lacks_common(b"w " * 100, ref) and V.lacks_common(b"w " * 10_000, ref)
+    assert not V.lacks_common(b"w " * 9_930 + b"x " * 70, ref)
