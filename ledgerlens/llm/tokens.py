@@ -4,7 +4,8 @@ Byte-level BPE first cuts a text into pieces that never hold a space except at
 their start, and encodes each piece by itself. Cutting the text at its spaces
 beforehand therefore gives the same ids, and the ids of a space-separated piece
 can be remembered per Python worker. A space inside a longer run of white space
-is the exception; such texts are encoded whole.
+is the exception, and so is the spelling of an added token, which gives one id;
+such texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -76,8 +77,8 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their spellings are ordinary text
         self.tokenizer.no_truncation()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.space = self.letters[32]
@@ -118,7 +119,7 @@ class Encoder:
         """Ids of the whole text."""
         if not text:
             return b""
-        if _RUN.search(text):
+        if _RUN.search(text) or any(spelling in text for spelling in self.added):
             return self._whole(text)
         for memory in (self.spaced, self.bare, self.marks):
             if len(memory) > MAX_REMEMBERED:

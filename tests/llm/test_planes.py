@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from ledgerlens.llm import planes, tokens
+from ledgerlens.llm import packing, planes, tokens
 from ledgerlens.session import scratch_path
 
 ENCODER = tokens.encoder(tokens.vocabulary_path())
@@ -85,3 +86,20 @@ def test_documents_table(spark, small_docs):
     planes.write_ids(small_docs, path)
     rows = [(r.doc_id, r.text) for r in small_docs.collect()]
     assert [tuple(r) for r in planes.read_documents(spark, path).orderBy("start").collect()] == expected(rows)
+
+
+def test_added_token_spelling_is_one_id(spark, frame):
+    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z", "no such text", "<|endoftext|", "a b"]
+    ids = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    assert [np.frombuffer(ENCODER.packed(t), "<u4").tolist() for t in texts] == ids
+    docs = frame(list(enumerate(texts)))
+    path = scratch_path(spark, "planes-test")
+    planes.write_ids(docs, path)
+    want, at = [], 0
+    for i, x in enumerate(ids):
+        want.append((i, at, len(x) + 1, zlib.crc32(np.array([*x, 0], dtype="<u4").tobytes())))
+        at += len(x) + 1
+    assert [tuple(r) for r in planes.read_documents(spark, path).orderBy("start").collect()] == want
+    assert sorted(map(tuple, packing.token_counts(docs).collect())) == [(i, n) for i, _, n, _ in want]
