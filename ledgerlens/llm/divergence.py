@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, utf8
+from .common import materialize, pieces, utf8
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
@@ -39,9 +39,9 @@ MIN_COMMON_PART = 0.55
 #: Standard deviations by which the count must also lie below the expected one,
 #: where a language's common words are so rare that chance alone can miss them.
 COMMON_DEVIATIONS = 3
-#: A text that is more than this share of its language's rows counts once in the
-#: reference. At most 1 / share texts per language can be, which bounds their list.
-HEAVY_SHARE = 0.001
+#: Repeated (language, hash) pairs that are broadcast; with more of them, every text
+#: is dealt to find its copies. The rows that count are the same.
+MAX_REPEATED = 1_000_000
 #: Distinct words a task holds before it passes its counts on.
 HELD_WORDS = 200_000
 SALTS = 16
@@ -122,55 +122,60 @@ class Reference:
     counts: np.ndarray                 # one more than words: all other words
 
 
+def distinct_texts(texts: DataFrame) -> DataFrame:
+    """The distinct ``(lang, text)`` rows, compared byte by byte.
+
+    Only texts whose hash occurs again are shuffled, one copy per task; the
+    others have no copies and stay where they are.
+    """
+    hashed = texts.withColumn("h", F.xxhash64("text"))
+    again = materialize(hashed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                        .select("lang", "h"), "repeated")
+    if again.limit(MAX_REPEATED + 1).count() > MAX_REPEATED:
+        return texts.distinct()
+    single, repeated = (hashed.join(F.broadcast(again), ["lang", "h"], how).select("lang", "text")
+                        for how in ("left_anti", "left_semi"))
+    return single.unionAll(repeated.distinct())
+
+
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                common: int = COMMON_WORDS) -> dict[str, Reference]:
     """References of every language in ``lang_col``, over all its texts.
 
-    Rows of null language or text do not count; a text with very many copies
-    counts once, so that it cannot bend its language's reference. Words are
+    Rows of null language or text do not count, and every distinct (language,
+    text) counts once, so that copies cannot bend a reference. Words are
     counted in the tasks and summed by (language, word), so a frequent language
     or word is one partial count per task. The driver receives ``common`` words
     per language, of at most ``MAX_LANGUAGES`` languages (more is an error).
     """
     narrow = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    narrow = narrow.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    copies = narrow.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("copies"))
-    rows_of = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    heavy = (copies.where("copies > 1").join(F.broadcast(rows_of.limit(MAX_LANGUAGES + 1)), "lang")
-             .where(F.col("copies") > HEAVY_SHARE * F.col("rows")).select("lang", "h", "copies"))
-    narrow = (narrow.withColumn("h", F.xxhash64("text")).join(F.broadcast(heavy), ["lang", "h"], "left")
-              .select("lang", "text", (1.0 / F.coalesce("copies", F.lit(1))).alias("weight")))
+    narrow = distinct_texts(narrow.where(F.col("lang").isNotNull() & F.col("text").isNotNull()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = [(q, None, i, float(n)) for q, c in classes.items() for i, n in enumerate(c)]
-            rows += [(q, w, -1, float(n)) for q, c in words.items() for w, n in c.items()]
+            rows = [(q, None, i, int(n)) for q, c in classes.items() for i, n in enumerate(c)]
+            rows += [(q, w, -1, n) for q, c in words.items() for w, n in c.items()]
             classes.clear()
             words.clear()
             for i in range(0, len(rows), 10_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows[i:i + 10_000]),
-                                                    (pa.string(), pa.binary(), pa.int32(), pa.float64()))],
+                                                    (pa.string(), pa.binary(), pa.int32(), pa.int64()))],
                     names=["lang", "word", "class", "n"])
 
         for batch in batches:
             for b in pieces(batch, 1 << 20):
-                for lang, text, weight in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist()):
-                    classes[lang] = classes.get(lang, 0) + weight * np.array(class_counts(text))
-                    counts = words.setdefault(lang, Counter())
-                    if weight == 1.0:
-                        counts.update(text.lower().split())
-                    else:
-                        for w, n in Counter(text.lower().split()).items():
-                            counts[w] += weight * n
+                for lang, text in zip(b.column(0).to_pylist(), utf8(b.column(1))):
+                    classes[lang] = classes.get(lang, 0) + np.array(class_counts(text))
+                    words.setdefault(lang, Counter()).update(text.lower().split())
                 if sum(map(len, words.values())) > HELD_WORDS:
                     yield from flush()
         yield from flush()
 
-    counted = (narrow.mapInArrow(run, "lang string, word binary, class int, n double")
+    counted = (narrow.mapInArrow(run, "lang string, word binary, class int, n bigint")
                .groupBy("lang", "class", "word").agg(F.sum("n").alias("n")))
     # Per language and class value: the classes are one row each, the words are
     # ranked. The best of each task go to one of SALTS rankings first, so the

@@ -98,3 +98,17 @@ def test_rare_common_words_do_not_reject():
     ref = V.Reference(np.ones(8), {b"x": 0}, np.array([1.0, 99.0]))
     assert not V.lacks_common(b"w " * 100, ref) and V.lacks_common(b"w " * 10_000, ref)
     assert not V.lacks_common(b"w " * 9_930 + b"x " * 70, ref)
+
+
+@pytest.mark.parametrize("limit", [V.MAX_REPEATED, 0])
+def test_every_distinct_text_counts_once(spark, frame, monkeypatch, limit):
+    # two copies among thousands of rows, and one text at a third of the rows
+    monkeypatch.setattr(V, "MAX_REPEATED", limit)
+    rows = [(i, f"common w{i}", "en") for i in range(3_000)]
+    rows += [(i, f"common w{i}", "en") for i in range(500)] + [(0, "hot text", "en")] * 1_500
+    rows += [(0, "common w0", "de")] * 2 + [(0, "", "de"), (0, None, "de"), (0, "x", None)]
+    refs = V.references(frame(rows).repartition(7))
+    en, de = refs["en"], refs["de"]
+    assert en.counts[en.words[b"common"]] == 3_000 and en.counts[en.words[b"hot"]] == 1
+    assert en.counts.sum() == 6_002 and de.counts.sum() == 2
+    assert en.classes.sum() == sum(map(len, {t for _, t, q in rows if q == "en"}))
