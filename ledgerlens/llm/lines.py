@@ -3,10 +3,11 @@
 A window is a minimal run of consecutive lines with at least ``min_words``
 words (lines without a word do not count). Every window selects the line with
 the smallest hash as its fingerprint; equal runs that hold a window select
-equal fingerprints, so runs can only match where fingerprints do. Matching
-positions are extended both ways -- forward to the window that starts at a
-line, backward to the one that ends at it -- and a run of lines whose window
-occurred earlier is deleted. Together these windows cover exactly the lines
+equal fingerprints, so runs can only match where fingerprints do; that leaves
+out the other windows. Matches are not extended line by line: each line has the
+window that starts at it and the one that ends at it, compared by a key of their
+whole content, and a run of lines whose window occurred earlier is deleted.
+Together these windows cover exactly the lines
 that lie in some run of ``min_words`` words or more with an earlier copy.
 """
 
