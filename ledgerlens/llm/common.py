@@ -8,7 +8,7 @@ lineage) are Parquet tables in the shared checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -60,6 +60,38 @@ def pieces(batch: pa.RecordBatch, max_bytes: int = 4 << 20) -> Iterator[pa.Recor
         yield batch.slice(i, step)
 
 
+class Memory(dict):
+    """Bytes by text, made on demand and held up to a number of bytes.
+
+    When ``max_bytes`` are held, what is known becomes the older half: texts in
+    use come back from there, the others are forgotten the next time. So at most
+    twice ``max_bytes`` are held. Texts above ``longest`` characters never are.
+    """
+
+    ENTRY_BYTES = 250                    # of a dictionary entry and two objects
+
+    def __init__(self, make: Callable[[str], bytes], max_bytes: int, longest: int = 256) -> None:
+        super().__init__()
+        self.make, self.max_bytes, self.longest = make, max_bytes, longest
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.make(text)
+            if len(text) > self.longest:
+                return found
+        size = self.ENTRY_BYTES + 4 * len(text) + len(found)
+        if self.held + size > self.max_bytes:
+            self.older = dict(self)
+            self.clear()
+            self.held = 0
+        self.held += size
+        self[text] = found
+        return found
+
+
 def gapless_rank(df: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
     """Add ``name``: the 0-based rank of a row inside ``group`` by ``order``.
 

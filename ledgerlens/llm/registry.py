@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, divergence, langid, lines, packing, planes, quality, sharding, simhash, urls
+from . import (audit, decontaminate, divergence, fim, langid, lines, packing, planes, quality, sentencepieces,
+               sharding, simhash, urls)
 from ..session import scratch_path
 from .common import crc_class, table
 
@@ -101,3 +102,33 @@ def op9_length_bucket_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document over 40 shards, and its shard of 41."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of sources, and the terms that set each source apart."""
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_source_divergence_audit"] = audit.SQL
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and arranged for fill-in-middle, and put together again."""
+    made = fim.transform(table(spark, sf_dir, "documents"))
+    back = fim.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+SQL["op12_fill_in_middle"] = fim.SQL
+
+
+@query
+def op13_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text they decode to."""
+    coded = sentencepieces.decode(sentencepieces.encode(table(spark, sf_dir, "documents")))
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(digits, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

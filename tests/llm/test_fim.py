@@ -1,0 +1,94 @@
+"""Fill-in-middle: containers, cuts and exact round trips."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import fim
+
+UNIT = re.compile(r"[A-Za-z]+|[^A-Za-z]", re.DOTALL)
+
+
+def brute(doc_id, text):
+    text = text or ""
+    units = UNIT.findall(text)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    form = "spm" if h[3] % 100 < 20 else "psm"
+    return n, form, len(p), len(m), f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+
+
+@pytest.mark.parametrize("offsets, kind", [
+    (np.arange(0, 60_000, 40), fim.ArrayContainer),
+    (np.arange(0, 60_000, 3), fim.BitmapContainer),
+    (np.r_[5:30_000, 31_000:65_536], fim.RunContainer),
+    (np.array([65_535]), fim.ArrayContainer),
+])
+def test_each_container_selects(offsets, kind):
+    held = fim.BoundarySet(offsets)
+    assert [type(c) for c in held.containers] == [kind]
+    assert [held.select(k) for k in range(len(offsets))] == offsets.tolist()
+
+
+def test_several_containers_and_bounds():
+    rnd = np.random.default_rng(1)
+    offsets = np.unique(np.concatenate([
+        rnd.integers(0, 65_536, 300), 65_536 + rnd.integers(0, 65_536, 30_000),
+        np.arange(4 * 65_536, 5 * 65_536), [9 * 65_536]]))
+    held = fim.BoundarySet(offsets)
+    assert [type(c).__name__[0] for c in held.containers] == ["A", "B", "R", "A"]
+    assert [held.select(k) for k in range(len(offsets))] == offsets.tolist()
+    for k in (-1, len(offsets)):
+        with pytest.raises(IndexError):
+            held.select(k)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 2000), st.text(alphabet="abZ <>PSM.\né\U0001d11e", max_size=60))
+def test_arrange_equals_units(doc_id, text):
+    assert fim.arrange(doc_id, text) == brute(doc_id, text)
+
+
+def long_texts():
+    rnd = random.Random(7)
+    return ["ab " * 100_000, "é" * 200_000, "".join(rnd.choice("abc d\n") for _ in range(300_000)),
+            "x" * 150_000 + " . " * 3]
+
+
+def test_query_columns_and_round_trip(spark, frame):
+    texts = [None, "", "a", "a b", "has <P> in it", "<S", "S>", "M>x<", "one two\nthree", *long_texts()]
+    rows = [(i, t) for i, t in enumerate(texts * 6)] + [(None, "no id"), (3, "twice"), (3, "twice")]
+    made = fim.transform(frame(rows))
+    got = made.withColumn("back", fim.restored(F.col("form"), F.col("output"))).collect()
+    assert len(got) == len(rows)
+    seen = sorted((r["doc_id"] or -1, r["n"], r["form"], r["prefix_chars"] or 0, r["middle_chars"] or 0, r["output"],
+                   r["back"]) for r in got)
+    want = sorted((i or -1, n, f, p or 0, m or 0, o, t or "") for i, t in rows for n, f, p, m, o in [brute(i, t)])
+    assert seen == want
+    assert {r["form"] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_empty_table(spark, frame):
+    assert fim.transform(frame([(1, "a")]).limit(0)).collect() == []
+
+
+def test_markers_at_the_cuts_never_mislead(spark, frame):
+    """Texts made of marker fragments come back whole."""
+    rnd = random.Random(3)
+    rows = [(i, "".join(rnd.choice(["<", ">", "P", "S", "M", "<P", "S>", "a"]) for _ in range(rnd.randint(1, 30))))
+            for i in range(400)]
+    made = fim.transform(frame(rows), transformed=100)
+    back = {r["doc_id"]: r["t"] for r in
+            made.select("doc_id", fim.restored(F.col("form"), F.col("output")).alias("t")).collect()}
+    assert back == dict(rows)

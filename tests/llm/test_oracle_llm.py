@@ -15,7 +15,7 @@ def test_matches_sql(spark, duck_small, small, name):
 
 def test_all_are_registered():
     names = E.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names
 
 
@@ -29,11 +29,20 @@ COLUMNS = {
     "op5": "page_id bigint, host string, path string, rule string, verdict string",
     "op6": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
     "op8": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op12": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, "
+            "restored_sha256 string",
+    "op13": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
 }
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_audit_columns(spark, small):
+    got = registry.QUERIES["op11_source_divergence_audit"](spark, small)
+    assert got.dtypes == [("lang", "string"), ("source", "string"), ("part", "string"), ("item", "string"),
+                          ("value", "bigint"), ("rank", "int")]
+
+
+@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if not n.startswith("op11_")))
 def test_one_row_per_document(spark, small, small_docs, name):
     table = "pages" if name.startswith("op5_") else "documents"
     rows = spark.read.parquet(f"{small}/{table}.parquet").count()
