@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitset import maybe_listed
 from .sizes import planned_bytes
 
 # Estimated bytes of the side (key and a few attributes) allowed into a broadcast.
@@ -31,12 +32,14 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
 
 def keep_listed(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``left`` without rows that cannot match a small ``right``; else ``left``.
+    """``left`` without rows that cannot match ``right``.
 
     A reducer to put below an aggregation: the join that follows still decides.
+    The keys of a small ``right`` are broadcast; of a large one a bitset of
+    fixed size (``bitset``), which lets a few other rows pass.
     """
     if not fits_broadcast(right, max_bytes):
-        return left
+        return maybe_listed(left, right.select(right_key), left_key, right_key)
     keys = right.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
     return left.join(F.broadcast(keys), left[left_key] == keys["__k"], "left_semi")
 

@@ -5,8 +5,9 @@ Every job takes typed DataFrames (see ``schemas``) and returns a lazy
 DataFrame. Joins with the contracts table are written so that a hot address
 cannot overload one task: when the contract side is proven small it is
 broadcast and joined before aggregating (no shuffle of transactions at all);
-otherwise transactions are aggregated per address first, and the join meets
-one row per address on each side.
+otherwise a bitset of the listed addresses drops most other transactions, the
+rest is aggregated per address first, and the join meets one row per address on
+each side.
 """
 
 from __future__ import annotations
@@ -101,12 +102,12 @@ def contract_totals(tx: DataFrame, contracts: DataFrame,
     """JN1: value received per listed contract address.
 
     A small list filters the transactions on the map side before they are
-    aggregated; a large one meets one pre-aggregated row per address.
+    aggregated. A bitset of a large one drops most of the others, and the rest
+    meets the list as one pre-aggregated row per address.
     """
-    if fits_broadcast(contracts, max_broadcast_bytes):
-        totals = value_by_address(keep_listed(tx, contracts, "to_address", "address", max_broadcast_bytes))
-    else:
-        totals = semi_join(value_by_address(tx), contracts, "to_address", "address", max_broadcast_bytes)
+    totals = value_by_address(keep_listed(tx, contracts, "to_address", "address", max_broadcast_bytes))
+    if not fits_broadcast(contracts, max_broadcast_bytes):
+        totals = semi_join(totals, contracts, "to_address", "address", max_broadcast_bytes)
     return totals.withColumnRenamed("to_address", "address")
 
 
@@ -141,6 +142,7 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
         per = j.select("mkey", F.col("copies").alias("n"),
                        (F.col("gas").cast(WEI) * F.col("copies")).alias("g"))
     else:
+        t = keep_listed(t, contracts, "to_address", "address", max_broadcast_bytes)
         pre = t.groupBy("to_address", "mkey").agg(
             F.count(F.lit(1)).alias("n0"), wide_sum("gas").alias("g0"))
         j = pre.join(copies, pre["to_address"] == copies["address"])
@@ -169,8 +171,8 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to",
     Rows follow inner-join (bag) semantics; both sides are reduced to one row
     per address before the join and the totals scaled by the multiplicity,
     which gives the same numbers without a skewed join. Only contracts that
-    received a positive total value are kept. A small contract list first
-    filters the transactions on the map side.
+    received a positive total value are kept. The contract list, or a bitset
+    of a large one, first filters the transactions on the map side.
     """
     key = {"to": "to_address", "from": "from_address"}[side]
     t = keep_listed(tx, contracts, key, "address", max_broadcast_bytes)
