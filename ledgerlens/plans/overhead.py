@@ -42,15 +42,33 @@ def data_overhead(blocks: DataFrame, hex_cols: Sequence[str] = HEX_COLUMNS) -> D
                        *_metrics(F.col("hex_chars"), F.col("remaining_bytes")))
 
 
+def first_block(blocks: DataFrame) -> DataFrame:
+    """The rows of the lowest block number, also where numbers were read as text.
+
+    The minimum is a scalar subquery over the number column alone; the filter on
+    it is pushed into a columnar scan, so the wide columns of other blocks are
+    not read where their files or row groups tell the numbers apart."""
+    number = F.col("number")
+    if dict(blocks.dtypes)["number"] == "string":
+        number = number.try_cast("bigint")
+    lowest = blocks.select(number.alias("number")).agg(F.min("number"))
+    return blocks.where(number == lowest.scalar())
+
+
 def data_overhead_first_block(blocks: DataFrame, hex_cols: Sequence[str] = HEX_COLUMNS) -> DataFrame:
     """The job's literal measure: hex columns of the first block only (lowest
-    number, also where numbers were read as text) against the first remaining
-    column summed over all blocks."""
-    rest = [c for c in blocks.columns if c not in hex_cols]
-    first_rest = rest[0]
-    sums = blocks.agg(
-        F.min_by(_row_len(hex_cols), F.col("number").try_cast("bigint")).cast("bigint").alias("hex_chars"),
-        F.sum(text_length(first_rest)).alias("remaining_bytes"),
-    )
+    number; the least size if several rows have it) against the first remaining
+    column summed over all blocks.
+
+    Two passes over one narrow column each, and the hex columns of one block."""
+    first_rest = next(c for c in blocks.columns if c not in hex_cols)
+    none = F.lit(None).cast("bigint")
+    hex_chars = first_block(blocks).agg(F.min(_row_len(hex_cols)).cast("bigint").alias("hex_chars"))
+    rest = blocks.agg(F.sum(text_length(first_rest)).alias("remaining_bytes"))
+    # two rows made one; a second scalar subquery would be merged with the minimum's
+    # into one value, which scans do not take as a filter
+    sums = (hex_chars.select("hex_chars", none.alias("remaining_bytes"))
+            .unionByName(rest.select(none.alias("hex_chars"), "remaining_bytes"))
+            .agg(F.max("hex_chars").alias("hex_chars"), F.max("remaining_bytes").alias("remaining_bytes")))
     return sums.select("hex_chars", "remaining_bytes",
                        *_metrics(F.col("hex_chars"), F.col("remaining_bytes")))

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.plans import ledger as L
 from ledgerlens.plans import scams as S
@@ -122,3 +123,52 @@ def test_contract_filter_comes_before_the_first_exchange(typed):
                     "FileScan" in x and "to_address" in x)
         semi = max(i for i, x in enumerate(lines[:scan]) if "LeftSemi" in x and "BroadcastHashJoin" in x)
         assert not any("Exchange hashpartitioning" in x for x in lines[semi:scan]), lines
+
+
+def _scans(plan):
+    """Scan nodes below a physical plan with the rows each gave, through adaptive stages."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from _scans(plan.finalPhysicalPlan())
+    elif name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"):
+        yield from _scans(plan.plan())
+    elif "Scan parquet" in name:
+        yield plan.simpleString(10_000), plan.metrics().get("numOutputRows").get().value()
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _scans(children.apply(i))
+
+
+def test_first_block_reads_the_wide_columns_of_few_blocks(spark, led):
+    """The minimum comes from the number column; its filter prunes the wide scan."""
+    from ledgerlens.plans import overhead as O
+    from ledgerlens.session import scratch_path
+
+    path = scratch_path(spark, "blocks-copy")
+    led.blocks.repartitionByRange(8, "number").sortWithinPartitions("number").write.parquet(path)
+    blocks = spark.read.parquet(path)
+    total = blocks.count()
+    df = O.data_overhead_first_block(blocks)
+    got = df.collect()
+    narrow = [x for x in final_plan(df).splitlines() if "FileScan" in x and "logs_bloom" not in x]
+    assert narrow and all("ReadSchema: struct<number:bigint>" in x for x in narrow)
+    qe = df._jdf.queryExecution()
+    df.collect()
+    wide = [(s, n) for s, n in _scans(qe.executedPlan()) if "logs_bloom" in s]
+    assert len(wide) == 1 and 0 < wide[0][1] <= total // 4, (wide, total)
+    # text numbers: the same two steps, the same result
+    text = spark.createDataFrame(blocks.select(*[F.col(c).cast("string") for c in blocks.columns]).collect(),
+                                 ", ".join(f"`{c}` string" for c in blocks.columns))
+    assert O.data_overhead_first_block(text).collect() == got
+
+
+def test_first_block_ties_nulls_and_no_rows(spark):
+    from ledgerlens.plans import overhead as O
+
+    def measure(rows):
+        df = spark.createDataFrame(rows, "number bigint, logs_bloom string")
+        return tuple(O.data_overhead_first_block(df, ["logs_bloom"]).first())[:2]
+
+    assert measure([(7, "x" * 9), (3, "x" * 5), (3, "x" * 4), (None, "x")]) == (4, 3)
+    assert measure([(None, "x")]) == (None, 0)
+    assert measure([]) == (None, None)
