@@ -72,7 +72,7 @@ def _monthly_avg_value(spark, sf):
 
 _GAS_PRICE_SQL = f"""
 select {M('block_timestamp')} as month, count(*) as tx_count,
-       cast(sum(gas_price) as double) / count(*) as avg_gas_price
+       {O.sql_mean('gas_price', 'count(*)')} as avg_gas_price
 from transactions where block_timestamp is not null and gas_price is not null group by 1"""
 
 
@@ -148,7 +148,7 @@ def _top10_miners(spark, sf):
 
 _CONTRACT_GAS = f"""
 select {M('t.block_timestamp')} as month, count(*) as tx_count,
-       cast(sum(t.gas) as double) / count(*) as avg_gas
+       {O.sql_mean('t.gas', 'count(*)')} as avg_gas
 from transactions t join contracts c on t.to_address = c.address
 where t.block_timestamp is not null and t.gas is not null group by 1"""
 
@@ -176,8 +176,8 @@ def _contract_types_sql(key: str) -> str:
     return f"""
 select c.address as address, min({label}) as contract_type,
        count(*) as calls, cast(sum(t.value) as decimal(38,0)) as total_value,
-       cast(sum(t.gas) as decimal(38,0)) as total_gas,
-       cast(sum(t.gas_price) as double) / count(t.gas_price) as avg_gas_price,
+       cast(sum(t.gas) as decimal(38,9)) as total_gas,
+       {O.sql_mean('t.gas_price', 'count(t.gas_price)')} as avg_gas_price,
        cast(sum(coalesce(t.max_fee_per_gas, 0) + coalesce(t.max_priority_fee_per_gas, 0)) as decimal(38,0)) as total_fees,
        min(t.block_number - c.block_number) as contract_age,
        min(case when t.to_address is null or trim(t.to_address) = '' then 'Contract Creation'
@@ -314,9 +314,9 @@ def _scam_category_rollup(spark, sf):
 
 # ---------------------------------------------------------------- J13 / A11 / W1 / F12 / T5
 
-_GROUPS = """
+_GROUPS = f"""
 g as (select from_address, to_address, value, gas, gas_price, block_timestamp, count(*) as tx_count,
-             cast(sum(gas_price) as double) / count(gas_price) as avg_gas_price
+             {O.sql_mean('gas_price', 'count(gas_price)')} as avg_gas_price
       from transactions group by from_address, to_address, value, gas, gas_price, block_timestamp),
 l as (select *, lag(to_address) over (partition by from_address
           order by block_timestamp nulls first, to_address nulls first, value nulls first,
@@ -349,8 +349,8 @@ def _wash_heuristics(spark, sf):
     return W.wash_heuristics(src.from_tables(spark, sf).transactions)
 
 
-@register("wash_heuristics_sender_mean", "with " + _GROUPS + """,
-s as (select from_address as sender, cast(sum(gas_price) as double) / count(gas_price) as sender_avg_gas_price
+@register("wash_heuristics_sender_mean", "with " + _GROUPS + f""",
+s as (select from_address as sender, {O.sql_mean('gas_price', 'count(gas_price)')} as sender_avg_gas_price
       from transactions group by 1)""" +
           f"\nselect {_OUT_COLS}, sender_avg_gas_price from l join s on l.from_address is not distinct from s.sender"
           f"\nwhere {_heuristics_sql('sender_avg_gas_price')}")
@@ -762,11 +762,16 @@ def _lines_in_files(spark, sf):
 
 
 @register("stream_monthly_stats", f"""
-select {M('block_timestamp')} as month, count(*) as tx_count, sum(value) as total_value,
-       cast(sum(value) as double) / count(value) as avg_value,
-       cast(sum(gas_price) as double) / count(gas_price) as avg_gas_price
-from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_full']}) t
-where block_timestamp is not null group by 1""")
+with j1 as (select {M('block_timestamp')} as month, count(*) as tx_count
+            from (select {O.typed_tx_cols()} from tx_split where len(fields) = 15 and {O.sql_is_int(O.f(11))}) group by 1),
+j2 as (select {M('block_timestamp')} as month, sum(value) as total_value,
+              cast(sum(value) as double) / count(*) as avg_value
+       from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_value_ts']}) group by 1),
+j7 as (select {M('block_timestamp')} as month, {O.sql_mean('gas_price', 'count(*)')} as avg_gas_price
+       from (select {O.typed_tx_cols()} from tx_split where {_TX_PRED_SQL['valid_tx_gas_price']})
+       where gas_price is not null group by 1)
+select month, tx_count, total_value, avg_value, avg_gas_price
+from j1 left join j2 using (month) left join j7 using (month)""")
 def _stream_monthly_stats(spark, sf):
     """J1/J2/J7 maintained by a streaming aggregation, one file per micro-batch."""
     from .streaming import monthly as SM

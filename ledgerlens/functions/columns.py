@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,11 +16,39 @@ CATEGORY_ROLLUP = {"Phishing": "Scam", "Fake ICO": "Scam", "Scamming": "Scam"}
 TYPE_BOTH, TYPE_ERC20, TYPE_ERC721, TYPE_OTHER = "ERC20+ERC721", "ERC20", "ERC721", "Other"
 CONTRACT_CREATION, CONTRACT_INTERACTION = "Contract Creation", "Contract Interaction"
 
+# Billionths in a whole: prices keep nine digits of a fraction.
+NANOS = 1_000_000_000
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def whole(price: Column | str) -> Column:
+    """The whole part of a price."""
+    return F.floor(_col(price))
+
+
+def nanos(price: Column | str) -> Column:
+    """The fraction of a price above its whole part, in billionths."""
+    c = _col(price)
+    return ((c - F.floor(c)).cast("decimal(10,9)") * F.lit(NANOS).cast("decimal(10,0)")).cast("bigint")
+
+
+def joined_double(whole_sum: Column, nano_sum: Column) -> Column:
+    """Sums of whole parts and of billionths as one double."""
+    return whole_sum.cast("double") + nano_sum.cast("double") / F.lit(float(NANOS))
+
+
+def joined_price(whole_sum: Column, nano_sum: Column) -> Column:
+    """Sums of whole parts and of billionths as one exact decimal(38,9)."""
+    n, unit = nano_sum.cast("decimal(38,0)"), F.lit(NANOS).cast("decimal(10,0)")
+    # a multiple of the unit divides exactly, at any scale the division keeps
+    carried = (whole_sum + ((n - n % unit) / unit)).cast("decimal(28,0)")
+    rest = (n % unit).cast("decimal(10,0)") * F.lit(Decimal("1e-9")).cast("decimal(9,9)")
+    return (carried + rest).cast("decimal(38,9)")
+
+
 def month_label(epoch_seconds: Column | str) -> Column:
     """UTC calendar month of an epoch-seconds timestamp as ``MM/yyyy``."""
     return F.date_format(F.timestamp_seconds(_col(epoch_seconds)), "MM/yyyy")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import WEI
+from ..schemas import PRICE, WEI
 
 # Accepted spellings of integer and floating point text
 # (the integer pattern documents the rule the integer cast applies).
@@ -70,8 +70,8 @@ def to_long(c: Column | str) -> Column:
 def to_wei(c: Column | str) -> Column:
     """Exact wei amount as ``decimal(38,0)``.
 
-    Decimal text is parsed exactly (no rounding through a double; a fraction
-    is rounded half up). Other float spellings go through a double;
+    Decimal text is parsed exactly (no rounding through a double; wei are whole,
+    so a fraction is rounded half up). Other float spellings go through a double;
     ``nan``/``inf`` and values past 38 digits give null, so they are dropped
     where an amount is required.
     """
@@ -85,6 +85,20 @@ def is_wei(c: Column | str) -> Column:
     return F.coalesce(to_wei(c).isNotNull(), F.lit(False))
 
 
+def to_price(c: Column | str) -> Column:
+    """Gas or gas price with its fraction, to nine digits (further ones are
+    rounded half up). Spellings as in :func:`to_wei`; numbers of more than 19
+    whole digits give null."""
+    c = _col(c)
+    return F.coalesce(c.try_cast(PRICE),
+                      F.when(c.rlike(FLOAT_PATTERN), c.try_cast("double").try_cast(PRICE)))
+
+
+def is_price(c: Column | str) -> Column:
+    """Float text that :func:`to_price` holds (drops nan / inf)."""
+    return F.coalesce(to_price(c).isNotNull(), F.lit(False))
+
+
 def to_flag(c: Column | str) -> Column:
     """Export flags ``1/0/true/false`` as booleans; anything else is null."""
     c = F.lower(F.trim(_col(c).cast("string")))

@@ -95,7 +95,7 @@ TX_CHECKS = {
     "value_ts": (tx_value_ts, lambda: _set("value", "block_timestamp")),
     "services": (tx_services, lambda: F.col("block_digits") & F.col("value_integer")),
     # a price that is no number or not finite never counts in a mean
-    "gas_price": (lambda: tx_gas_price() & P.is_wei(tx_field("gas_price")), lambda: _set("gas_price", "block_timestamp")),
+    "gas_price": (lambda: tx_gas_price() & P.is_price(tx_field("gas_price")), lambda: _set("gas_price", "block_timestamp")),
     "block_value": (tx_block_value, lambda: _set("block_number", "value")),
     "full": (tx_full, lambda: _set("block_number", "value", "block_timestamp")),
     "digits_value": (tx_digits_value, lambda: F.col("timestamp_digits") & _set("value")),

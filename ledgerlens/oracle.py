@@ -22,8 +22,8 @@ select concat('0x', sha256(concat(cast(l_orderkey as varchar), '-', cast(l_linen
        case when l_quantity <> 50 and l_suppkey % 10 <> 2
             then cast(cast(l_quantity as decimal(18,0)) * cast('1000000000000000000' as decimal(19,0)) as decimal(38,0))
             else cast(0 as decimal(38,0)) end as value,
-       cast(21000 + l_quantity * 1000 as bigint) as gas,
-       cast(round(l_discount * 100) as bigint) * 1000000000 as gas_price,
+       cast(cast(21000 + l_quantity * 1000 as bigint) as decimal(28,9)) as gas,
+       cast(cast(round(l_discount * 100) as bigint) * 1000000000 as decimal(28,9)) as gas_price,
        '0x' as input,
        cast(epoch(l_shipdate) as bigint) as block_timestamp,
        cast(round(l_tax * 100) as bigint) * 1000000000 as max_fee_per_gas,
@@ -148,6 +148,19 @@ def sql_to_wei(x: str) -> str:
             f"try_cast(try_cast(trim({x}) as double) as decimal(38,0))) end)")
 
 
+def sql_to_price(x: str) -> str:
+    _, f, _ = _patterns()
+    return (f"(case when {_re(x, f)} then coalesce(try_cast(trim({x}) as decimal(28,9)), "
+            f"try_cast(try_cast(trim({x}) as double) as decimal(28,9))) end)")
+
+
+def sql_mean(x: str, n: str) -> str:
+    """Mean of a price column: exact sums of whole parts and of billionths, divided last."""
+    nanos = f"cast(cast({x} - floor({x}) as decimal(10,9)) * 1000000000 as bigint)"
+    return (f"(cast(sum(cast(floor({x}) as decimal(38,0))) as double) "
+            f"+ cast(sum({nanos}) as double) / 1000000000.0::double) / {n}")
+
+
 def sql_is_wei(x: str) -> str:
     return f"({sql_is_float(x)} and {sql_to_wei(x)} is not null)"
 
@@ -187,7 +200,8 @@ def _register_text_views() -> None:
                           TRANSACTION_FIELDS)
     from .sources.fixtures import BAD_TRANSACTION_LINES
 
-    DERIVED["tx_lines"] = (_lines_sql("transactions", TRANSACTION_FIELDS)
+    prices = {c: f"cast({c} as bigint)" for c in ("gas", "gas_price")}
+    DERIVED["tx_lines"] = (_lines_sql("transactions", TRANSACTION_FIELDS, prices)
                            + "\nunion all " + _values(BAD_TRANSACTION_LINES))
     DERIVED["tx_split"] = "select value, string_split(value, ',') as fields from tx_lines"
     DERIVED["block_lines"] = (_lines_sql("blocks", BLOCK_FIELDS)
@@ -221,7 +235,9 @@ def typed_tx_cols() -> str:
             cols.append(f"{sql_to_long(g(n))} as {n}")
         elif n in ("from_address", "to_address"):
             cols.append(f"{sql_blank_to_null(g(n))} as {n}")
-        elif n in ("value", "gas", "gas_price"):
+        elif n in ("gas", "gas_price"):
+            cols.append(f"{sql_to_price(g(n))} as {n}")
+        elif n == "value":
             cols.append(f"{sql_to_wei(g(n))} as {n}")
         elif n == "transaction_type":
             cols.append(f"cast({sql_to_long(g(n))} as integer) as transaction_type")

@@ -22,14 +22,22 @@ from ..schemas import WEI
 
 
 def wide_sum(c: Column | str) -> Column:
-    """Exact sum of an integer column at any volume: bigint sums of gas prices
-    pass 2**63 within a month of a busy ledger."""
+    """Exact sum of an integer column at any volume: bigint sums of fees pass
+    2**63 within a month of a busy ledger."""
     return F.sum((F.col(c) if isinstance(c, str) else c).cast(WEI))
 
 
-def wide_mean(total: str, n: str) -> Column:
-    """Mean from an exact sum, divided last."""
-    return F.try_divide(F.col(total).cast("double"), F.col(n))
+def price_sums(c: str, name: str, times: Column | None = None) -> list[Column]:
+    """Exact sum of a price column in two integer sums, ``name`` for the whole
+    parts and ``name_nanos`` for the fractions, whatever the order of the rows.
+    ``times`` weights each row (a count of copies)."""
+    parts = (C.whole(c), name), (C.nanos(c), f"{name}_nanos")
+    return [F.sum((p if times is None else p * times).cast(WEI)).alias(n) for p, n in parts]
+
+
+def price_mean(total: str, n: str) -> Column:
+    """Mean from the two sums of :func:`price_sums`, divided last."""
+    return F.try_divide(C.joined_double(F.col(total), F.col(f"{total}_nanos")), F.col(n))
 
 
 def _months(tx: DataFrame) -> DataFrame:
@@ -70,10 +78,10 @@ def monthly_gas_price(tx: DataFrame, chronological: bool = False) -> DataFrame:
     t = _months(tx).where(F.col("gas_price").isNotNull())
     agg = t.groupBy("mkey").agg(
         F.count(F.lit(1)).alias("tx_count"),
-        wide_sum("gas_price").alias("sum_gas_price"),
+        *price_sums("gas_price", "sum_gas_price"),
     )
     out = agg.select("mkey", C.month_key_label("mkey").alias("month"), "tx_count",
-                     wide_mean("sum_gas_price", "tx_count").alias("avg_gas_price"))
+                     price_mean("sum_gas_price", "tx_count").alias("avg_gas_price"))
     order = F.col("mkey") if chronological else F.col("month")
     # one row per month: a few hundred rows over the ledger's life
     return ranked(out, [order]).orderBy("rank").drop("mkey")
@@ -139,17 +147,16 @@ def contract_gas_monthly(tx: DataFrame, contracts: DataFrame,
     t = _months(tx).where(F.col("to_address").isNotNull() & F.col("gas").isNotNull())
     if fits_broadcast(contracts.select("address"), max_broadcast_bytes):
         j = t.join(F.broadcast(copies), t["to_address"] == copies["address"])
-        per = j.select("mkey", F.col("copies").alias("n"),
-                       (F.col("gas").cast(WEI) * F.col("copies")).alias("g"))
+        sums = j.groupBy("mkey").agg(F.sum("copies").alias("tx_count"), *price_sums("gas", "sum_gas", F.col("copies")))
     else:
         t = keep_listed(t, contracts, "to_address", "address", max_broadcast_bytes)
         pre = t.groupBy("to_address", "mkey").agg(
-            F.count(F.lit(1)).alias("n0"), wide_sum("gas").alias("g0"))
+            F.count(F.lit(1)).alias("n0"), *price_sums("gas", "g0"))
         j = pre.join(copies, pre["to_address"] == copies["address"])
-        per = j.select("mkey", (F.col("n0") * F.col("copies")).alias("n"),
-                       (F.col("g0") * F.col("copies")).alias("g"))
-    agg = per.groupBy("mkey").agg(F.sum("n").alias("tx_count"), F.sum("g").alias("sum_gas"))
-    return _labelled(agg, "tx_count", wide_mean("sum_gas", "tx_count").alias("avg_gas"))
+        sums = j.groupBy("mkey").agg(
+            F.sum(F.col("n0") * F.col("copies")).alias("tx_count"),
+            *[F.sum(F.col(f"g0{s}") * F.col("copies")).alias(f"sum_gas{s}") for s in ("", "_nanos")])
+    return _labelled(sums, "tx_count", price_mean("sum_gas", "tx_count").alias("avg_gas"))
 
 
 def contract_gas_sorted(tx: DataFrame, contracts: DataFrame, text_order: bool = False) -> DataFrame:
@@ -179,8 +186,8 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to",
     t = t.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("address")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("value").alias("v"),
-        wide_sum("gas").alias("g"),
-        wide_sum("gas_price").alias("gp"),
+        *price_sums("gas", "g"),
+        *price_sums("gas_price", "gp"),
         F.count("gas_price").alias("n_gp"),
         wide_sum(C.fee_sum("max_fee_per_gas", "max_priority_fee_per_gas")).alias("fees"),
         F.min("block_number").alias("min_tx_block"),
@@ -198,8 +205,8 @@ def contract_types(tx: DataFrame, contracts: DataFrame, side: str = "to",
         "address", C.index_label(F.col("type_i"), C.TYPE_LABELS).alias("contract_type"),
         (F.col("n") * F.col("copies")).alias("calls"),
         (F.col("v") * F.col("copies")).cast(WEI).alias("total_value"),
-        (F.col("g") * F.col("copies")).cast(WEI).alias("total_gas"),
-        wide_mean("gp", "n_gp").alias("avg_gas_price"),
+        C.joined_price(F.col("g") * F.col("copies"), F.col("g_nanos") * F.col("copies")).alias("total_gas"),
+        price_mean("gp", "n_gp").alias("avg_gas_price"),
         (F.col("fees") * F.col("copies")).cast(WEI).alias("total_fees"),
         C.contract_age("min_tx_block", "max_contract_block").alias("contract_age"),
         C.index_label(F.col("kind_i"), C.KIND_LABELS).alias("interaction_kind"),

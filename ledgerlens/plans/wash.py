@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..operators.topk import first_n, top_k
 from ..operators.windows import BUCKET, KEY, bucket_keys, bucketed_lag, running_count
 from ..schemas import WEI
@@ -39,7 +40,7 @@ def transfer_groups(tx: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     return tx.groupBy(*TRANSFER_KEYS, *extra_keys).agg(
         F.count(F.lit(1)).alias("tx_count"),
         # the gas price is a key of the group, so it is its own mean
-        F.col("gas_price").cast("double").alias("avg_gas_price"),
+        C.joined_double(C.whole("gas_price"), C.nanos("gas_price")).alias("avg_gas_price"),
     )
 
 
@@ -94,8 +95,9 @@ def wash_heuristics_sender_mean(tx: DataFrame,
     """J13 with the price rule against the sender's mean gas price."""
     copies = F.when(F.col("gas_price").isNotNull(), F.col("tx_count"))
     g = prev_counterparty(tx, bucket_seconds, {
-        "__prices": F.col("gas_price").cast(WEI) * F.col("tx_count"), "__priced": copies})
-    mean = F.try_divide(F.col("__prices").cast("double"), F.col("__priced"))
+        "__prices": (C.whole("gas_price") * F.col("tx_count")).cast(WEI),
+        "__nanos": (C.nanos("gas_price") * F.col("tx_count")).cast(WEI), "__priced": copies})
+    mean = F.try_divide(C.joined_double(F.col("__prices"), F.col("__nanos")), F.col("__priced"))
     j = g.withColumn("sender_avg_gas_price", mean)
     return j.where(_heuristics("sender_avg_gas_price")).select(*OUT, "sender_avg_gas_price")
 

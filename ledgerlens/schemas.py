@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 WEI = T.DecimalType(38, 0)
+# Gas and gas prices: every 64-bit integer, and nine digits of a fraction.
+PRICE = T.DecimalType(28, 9)
 
 # Field order of the ledger CSV exports.
 TRANSACTION_FIELDS = [
@@ -46,8 +48,8 @@ TRANSACTIONS = T.StructType([
     T.StructField("from_address", T.StringType()),
     T.StructField("to_address", T.StringType()),
     T.StructField("value", WEI),
-    T.StructField("gas", T.LongType()),
-    T.StructField("gas_price", T.LongType()),
+    T.StructField("gas", PRICE),
+    T.StructField("gas_price", PRICE),
     T.StructField("input", T.StringType()),
     T.StructField("block_timestamp", T.LongType()),
     T.StructField("max_fee_per_gas", T.LongType()),

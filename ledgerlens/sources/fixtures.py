@@ -201,6 +201,10 @@ BAD_TRANSACTION_LINES: list[str] = [
     _variant(gas_price="2.5e9"),
     _variant(gas_price="1500000000.0", gas="2.1e4"),
     _variant(value="1.5"),
+    _variant(gas_price="1.5", gas="21000.7"),
+    _variant(gas_price="0.4"),
+    _variant(gas_price="0.1234567894", block_number="x"),
+    _variant(gas_price="1e25"),
 ]
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import to_flag
 from ..operators import validate as V
+from ..schemas import PRICE
 from ..session import path_version, session_key
 from . import fixtures, text
 
@@ -33,6 +34,10 @@ def _typed_contracts(c: DataFrame) -> DataFrame:
                     F.col("block_number").cast("bigint").alias("block_number"))
 
 
+def _typed_transactions(t: DataFrame) -> DataFrame:
+    return t.withColumns({c: F.col(c).cast(PRICE) for c in ("gas", "gas_price")})
+
+
 _FROM_TABLES: dict[tuple[str, str], tuple[tuple, Ledger]] = {}
 
 
@@ -54,20 +59,13 @@ def from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
 
 def _build_from_tables(spark: SparkSession, sf_dir: str) -> Ledger:
     return Ledger(
-        transactions=fixtures.transactions(spark, sf_dir),
+        transactions=_typed_transactions(fixtures.transactions(spark, sf_dir)),
         blocks=fixtures.blocks(spark, sf_dir),
         contracts=_typed_contracts(fixtures.contracts(spark, sf_dir)),
         scams=fixtures.scams(spark, sf_dir),
     )
 
 
-def transactions_from_lines(lines: DataFrame) -> DataFrame:
-    """Transactions kept by the full line check (15 fields, typed block,
-    value and timestamp), typed."""
-    split = text.split_fields(lines)
-    return text.typed_transactions(split.where(V.tx_full()))
-
-
 def all_transactions(split: DataFrame) -> DataFrame:
     """Every line of the right number of fields, typed, with the flags that the
     jobs' own line checks need besides the typed columns."""

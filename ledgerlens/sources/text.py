@@ -66,8 +66,8 @@ def typed_transactions(split: DataFrame, **extra: Column) -> DataFrame:
         P.blank_to_null(f("from_address")).alias("from_address"),
         P.blank_to_null(f("to_address")).alias("to_address"),
         P.to_wei(f("value")).alias("value"),
-        P.to_wei(f("gas")).alias("gas"),
-        P.to_wei(f("gas_price")).alias("gas_price"),
+        P.to_price(f("gas")).alias("gas"),
+        P.to_price(f("gas_price")).alias("gas_price"),
         f("input").alias("input"),
         P.to_long(f("block_timestamp")).alias("block_timestamp"),
         P.to_long(f("max_fee_per_gas")).alias("max_fee_per_gas"),

@@ -2,8 +2,9 @@
 
 The batch jobs J1 (count), J2 (mean value) and J7 (mean gas price) share one
 key, the UTC month, so one streaming aggregation maintains all three. Lines
-are validated and typed exactly as in batch (``sources.text``), so a file
-that arrives is counted the same way a batch run would count it.
+are typed as in batch (``sources.text``) and every statistic counts the lines
+that its own job's check keeps, so a file that arrives is counted the same way
+the three batch runs would count it.
 
 State is one row per month (a few hundred rows over the ledger's life), so
 no watermark is required; the query runs in ``update`` mode and writes each
@@ -20,22 +21,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as C
-from ..schemas import WEI
-from ..sources.ledger import transactions_from_lines
+from ..plans.ledger import price_mean, price_sums
+from ..sources.ledger import all_transactions
+from ..sources.text import split_fields
 
-STATS = ["tx_count", "value_count", "total_value", "gas_price_count", "sum_gas_price"]
+STATS = ["tx_count", "value_count", "total_value", "gas_price_count", "sum_gas_price", "sum_gas_price_nanos"]
 
 
 def transaction_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Typed transactions from text export files appearing under ``path``."""
+    """Every line of the right number of fields in the text export files that
+    appear under ``path``, typed; each statistic applies its own job's check."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return transactions_from_lines(reader.load(path))
+    return all_transactions(split_fields(reader.load(path)))
 
 
 def monthly_stats(tx: DataFrame, watermark_delay: str | None = None) -> DataFrame:
-    """Per-month running totals; works on a batch or a streaming DataFrame."""
+    """Per-month running totals; works on a batch or a streaming DataFrame.
+
+    The checks of the three jobs, on typed lines: J1 takes lines with a
+    timestamp, J2 of those the ones with an amount, J7 those with a gas price."""
     t = tx.where(F.col("block_timestamp").isNotNull()).withColumn("mkey", C.month_key("block_timestamp"))
     keys = ["mkey"]
     if watermark_delay:
@@ -47,7 +53,7 @@ def monthly_stats(tx: DataFrame, watermark_delay: str | None = None) -> DataFram
         F.count("value").alias("value_count"),
         F.sum("value").alias("total_value"),
         F.count("gas_price").alias("gas_price_count"),
-        F.sum(F.col("gas_price").cast(WEI)).alias("sum_gas_price"),
+        *price_sums("gas_price", "sum_gas_price"),
     )
     return agg.select(C.month_key_label("mkey").alias("month"), *STATS)
 
@@ -57,7 +63,7 @@ def with_averages(stats: DataFrame) -> DataFrame:
     return stats.select(
         "month", "tx_count", "total_value",
         F.try_divide(F.col("total_value").cast("double"), "value_count").alias("avg_value"),
-        F.try_divide(F.col("sum_gas_price").cast("double"), "gas_price_count").alias("avg_gas_price"),
+        price_mean("sum_gas_price", "gas_price_count").alias("avg_gas_price"),
     )
 
 

@@ -68,5 +68,5 @@ def test_ledger_from_text_files(spark, small):
     assert (sorted(map(tuple, S.value_by_scam(text.transactions, text.scams).collect()))
             == sorted(map(tuple, S.value_by_scam(typed.transactions, typed.scams).collect())))
     n_text = src.checked(text.transactions, "full").count()
-    # 6 odd lines pass the full check: block -1, " 12 ", "1.5", empty to, two float gas prices
-    assert n_text == typed.transactions.count() + 6
+    # 9 odd lines pass the full check: block -1, " 12 ", "1.5", empty to, five float gas prices
+    assert n_text == typed.transactions.count() + 9
