@@ -19,6 +19,17 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, by the planner's estimate: an
+    estimate of its rows that a join does not multiply."""
+    try:
+        df._jdf
+    except AttributeError:
+        return UNKNOWN
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def partitions_for(df: DataFrame, target_bytes: int = 128 << 20, most: int = 1_000_000) -> int:
     """Partitions that keep ``df`` near ``target_bytes`` each, at least the
     session's shuffle partitions."""

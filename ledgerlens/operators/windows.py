@@ -10,6 +10,9 @@ operators here keep that bounded:
   to the head of the next one through a table with one row per bucket. A key
   holding a third of all rows is spread over as many tasks as it has buckets,
   and the large side is shuffled once.
+* ``bucket_cuts`` finds, by a sample of the total order, the buckets with too
+  many rows and where to cut them, so that a bucket is bounded by rows and not
+  by its span of time (a busy hour, rows without a timestamp).
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ def running_count(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     return grouped.withColumn(out_col, F.sum(weight_col).over(w))
 
 
-KEY, BUCKET = "__key", "__bucket"
+KEY, BUCKET, PART = "__key", "__bucket", "__part"
+CUTS = "__cuts"
 # Below every real bucket: rows whose order starts with null sort first.
 NULL_BUCKET = -(2 ** 63)
 
@@ -49,18 +53,61 @@ def bucket_keys(partition_cols: Sequence[str], bucket: Column) -> list[Column]:
     return [F.concat(*parts).alias(KEY), F.coalesce(bucket.cast("bigint"), F.lit(NULL_BUCKET)).alias(BUCKET)]
 
 
+# Rows of a bucket beyond which it is cut, samples that stand for them, and the
+# most cuts there are: what is broadcast is bounded at any size.
+CUT_ROWS = 1_000_000
+CUT_SAMPLES = 64
+MAX_CUTS = 50_000
+
+
+def bucket_cuts(df: DataFrame, order_cols: Sequence[str], rows: int, cut_rows: int = CUT_ROWS) -> DataFrame:
+    """``(__key, __bucket, __cuts)``: ascending cut points of buckets with many rows.
+
+    ``df`` brings ``__key`` and ``__bucket``; ``rows`` is about its number. About
+    ``CUT_SAMPLES`` rows in ``cut_rows`` are sampled, and every ``CUT_SAMPLES``-th
+    sample of a bucket, in order, cuts it. Where the cuts fall never changes a
+    result. ``cut_rows`` grows with the input once there would be more than
+    ``MAX_CUTS`` cuts. Write the result before use: a sample is not repeatable."""
+    cut_rows = max(cut_rows, -(-rows // MAX_CUTS))
+    sample = df.select(KEY, BUCKET, F.struct(*order_cols).alias("at")).sample(
+        min(1.0, CUT_SAMPLES / cut_rows), seed=7)
+    place = F.row_number().over(Window.partitionBy(KEY, BUCKET).orderBy("at"))
+    cut = sample.select(KEY, BUCKET, "at", place.alias("n")).where(F.col("n") % CUT_SAMPLES == 0)
+    return cut.groupBy(KEY, BUCKET).agg(F.array_sort(F.array_distinct(F.collect_list("at"))).alias(CUTS))
+
+
+def with_part(df: DataFrame, cuts: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``__part``: how many cuts of its bucket a row is not below.
+
+    ``cuts`` (of :func:`bucket_cuts`) is broadcast; it has at most ``MAX_CUTS``
+    cut points, plus those that chance adds. A binary search finds the place."""
+    found = df.join(F.broadcast(cuts), [KEY, BUCKET], "left")
+    at = F.struct(*order_cols)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(CUTS) + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(CUTS).alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = (s["lo"] < s["hi"]) & (F.get(F.col(CUTS), middle) <= at)
+        return F.struct(F.when(below, middle + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(below, s["hi"]).otherwise(middle).alias("hi"))
+
+    part = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve)["lo"])
+    return found.select(*df.columns, part.cast("int").alias(PART))
+
+
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                  value_col: str, out_col: str, bucket: Column | None,
                  totals: dict[str, Column] | None = None) -> DataFrame:
     """``lag(value_col) OVER (PARTITION BY p ORDER BY o)`` for a total order ``o``.
 
     ``bucket`` must be non-decreasing along ``o`` inside a partition (e.g. the
-    hour of the first order column). The window then runs per (partition,
-    bucket); the head row of each bucket gets its value from the last row of
+    hour of the first order column); a column ``__part`` (:func:`with_part`) may
+    cut buckets further. The window then runs per (partition, bucket, part); the head row of each bucket gets its value from the last row of
     the previous non-empty bucket, through a table with one row per bucket.
     Every step on the large side uses the same partitioning by
-    (``__key``, ``__bucket``): if ``df`` brings these columns (``bucket_keys``)
-    and is partitioned by them, it is not shuffled again. With ``bucket=None``
+    (``__key``, ``__bucket``, ``__part``): if ``df`` brings these columns and is
+    partitioned by them, it is not shuffled again. With ``bucket=None``
     this is the plain window.
 
     ``totals`` adds, per name, the sum of an amount over the whole partition;
@@ -77,17 +124,20 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     if KEY not in own:
         df = df.select("*", *bucket_keys(partition_cols, bucket))
     else:
-        own = [c for c in own if c not in (KEY, BUCKET)]
-    whole = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+        own = [c for c in own if c not in (KEY, BUCKET, PART)]
+    if PART not in df.columns:
+        df = df.withColumn(PART, F.lit(0))
+    place = [KEY, BUCKET, PART]
+    whole = Window.partitionBy(*place).orderBy(*order)
     end = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inside = df.select("*", F.lag(value_col).over(whole).alias("__prev"), F.row_number().over(whole).alias("__row"))
 
-    heads = df.select(KEY, BUCKET, F.row_number().over(whole).alias("__row"),
+    heads = df.select(*place, F.row_number().over(whole).alias("__row"),
                       F.last(value_col).over(end).alias("__last"),
                       *[F.sum(c).over(end).alias(n) for n, c in totals.items()]).where("__row = 1")
     per_key = Window.partitionBy(KEY)
-    carried = heads.select(KEY, BUCKET, F.lag("__last").over(per_key.orderBy(BUCKET)).alias("__carried"),
+    carried = heads.select(*place, F.lag("__last").over(per_key.orderBy(BUCKET, PART)).alias("__carried"),
                            *[F.sum(n).over(per_key).alias(n) for n in totals])
-    joined = inside.join(carried, [KEY, BUCKET])
+    joined = inside.join(carried, place)
     value = F.when(F.col("__row") == 1, F.col("__carried")).otherwise(F.col("__prev"))
     return joined.select(*own, value.alias(out_col), *totals)

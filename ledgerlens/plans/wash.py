@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.topk import first_n, top_k
-from ..operators.windows import BUCKET, KEY, bucket_keys, bucketed_lag, running_count
+from ..operators.sizes import scanned_bytes
+from ..operators.windows import (BUCKET, CUT_ROWS, KEY, PART, bucket_cuts, bucket_keys, bucketed_lag, running_count,
+                                 with_part)
 from ..schemas import WEI
+from ..session import scratch_path
 
 TRANSFER_KEYS = ["from_address", "to_address", "value", "gas", "gas_price", "block_timestamp"]
 # total order of a sender's transfer groups (the timestamp alone has ties)
@@ -32,6 +35,8 @@ PLAIN_TRANSFER_GAS = 21000
 CHEAP_GAS_PRICE = 1_000_000_000
 
 DEFAULT_BUCKET_SECONDS = 3600
+# Bytes of a transaction in a well compressed columnar copy, about.
+ROW_BYTES = 16
 NULL_FIRST = -(2 ** 63)   # below every epoch second
 
 
@@ -51,19 +56,29 @@ def _hour_bucket(bucket_seconds: int | None) -> Column | None:
 
 
 def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                      totals: dict[str, Column] | None = None) -> DataFrame:
+                      totals: dict[str, Column] | None = None, cut_rows: int = CUT_ROWS) -> DataFrame:
     """Transfer groups with the sender's previous counterparty.
 
     The transfers are dealt by (sender, hour) once; grouping, lag and the
     per-hour summary all run on that partitioning. ``totals`` adds sums over
-    all of a sender's groups.
+    all of a sender's groups. Where the input can hold more than ``cut_rows``
+    rows of a sender in one hour, or without a timestamp, such a bucket is cut
+    along the total order, by a sample of one narrow scan.
     """
     bucket = _hour_bucket(bucket_seconds)
     if bucket is None:
         groups = transfer_groups(tx)
     else:
-        rows = tx.select(*TRANSFER_KEYS, *bucket_keys(["from_address"], bucket)).repartition(KEY, BUCKET)
-        groups = transfer_groups(rows, [KEY, BUCKET])
+        rows = tx.select(*TRANSFER_KEYS, *bucket_keys(["from_address"], bucket))
+        place = [KEY, BUCKET]
+        most = scanned_bytes(tx) // ROW_BYTES
+        if most > cut_rows:
+            cuts = bucket_cuts(rows, SENDER_ORDER, most, cut_rows)
+            path = scratch_path(tx.sparkSession, "bucket-cuts")
+            cuts.write.parquet(path)
+            rows = with_part(rows, tx.sparkSession.read.schema(cuts.schema).parquet(path), SENDER_ORDER)
+            place.append(PART)
+        groups = transfer_groups(rows.repartition(*place), place)
     return bucketed_lag(groups, ["from_address"], SENDER_ORDER, "to_address", "prev_to_address", bucket, totals)
 
 

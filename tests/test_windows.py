@@ -1,5 +1,6 @@
 """Skew-safe window operators equal the plain windows they replace."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -93,3 +94,63 @@ def test_j14_ranking_equals_literal_window_on_ties_and_nulls(spark):
            .groupBy("block_number", "from_address").agg(F.sum("value").alias("total_value")))
     got = wash_by_block_sender(df)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lit.collect()))
+
+
+def hot_transfers(spark, n=6_000):
+    """A third of the rows: one sender in one hour; a third: one without timestamps."""
+    from pyspark.sql import functions as F
+
+    rnd = F.xxhash64(F.lit("hot"), "id")
+    kind = F.col("id") % 3
+    return spark.range(n).select(
+        F.when(kind == 0, "hot").when(kind == 1, "timeless").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("from_address"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("t"), F.pmod(rnd, F.lit(40)))).alias("to_address"),
+        F.pmod(rnd, F.lit(7)).cast("decimal(38,0)").alias("value"),
+        F.lit(21000).cast("decimal(28,9)").alias("gas"), F.pmod(rnd, F.lit(3)).cast("decimal(28,9)").alias("gas_price"),
+        F.when(kind != 1, F.when(kind == 0, 7200 + F.pmod(rnd, F.lit(300))).otherwise(F.pmod(rnd, F.lit(10 ** 6))))
+        .cast("bigint").alias("block_timestamp"))
+
+
+@pytest.mark.parametrize("cut_rows", [100, 1_000])
+def test_cut_buckets_give_the_rows_of_a_plain_window(spark, cut_rows):
+    from ledgerlens.plans import wash as W
+
+    tx = hot_transfers(spark).repartition(4)
+    totals = {"n": F.col("tx_count")}
+    plain = W.prev_counterparty(tx, bucket_seconds=None, totals=totals)
+    cut = W.prev_counterparty(tx, totals=totals, cut_rows=cut_rows)
+    assert cut.columns == plain.columns
+    assert sorted(map(str, cut.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_hot_hour_and_rows_without_time_spread_over_tasks(spark):
+    """Parts of a hot bucket are bounded by rows, keep the order and are dealt apart."""
+    from ledgerlens.operators import windows as N
+    from ledgerlens.plans import wash as W
+    from ledgerlens.session import scratch_path
+
+    tx = hot_transfers(spark)
+    rows = tx.select(*W.TRANSFER_KEYS, *N.bucket_keys(["from_address"], F.floor(F.col("block_timestamp") / 3600)))
+    path = scratch_path(spark, "cuts")
+    N.bucket_cuts(rows, W.SENDER_ORDER, 6_000, 200).write.parquet(path)
+    cuts = spark.read.parquet(path)
+    assert {r["__key"] for r in cuts.collect()} >= {"v3:hot", "v8:timeless"}
+    parts = N.with_part(rows, cuts, W.SENDER_ORDER)
+    for sender in ("hot", "timeless"):
+        own = parts.where(F.col("from_address") == sender)
+        sizes = [r["count"] for r in own.groupBy("__part").count().collect()]
+        assert len(sizes) >= 5 and max(sizes) <= 800 and sum(sizes) == 2_000
+        dealt = own.repartition(16, "__key", "__bucket", "__part").select(F.spark_partition_id().alias("p"))
+        assert dealt.distinct().count() >= 4
+        # parts follow the total order
+        ends = own.groupBy("__part").agg(F.min(F.struct(*W.SENDER_ORDER)).alias("a"), F.max(F.struct(*W.SENDER_ORDER)).alias("z"))
+        ends = ends.crossJoin(ends.select(F.col("__part").alias("q"), F.col("a").alias("b"))).where("__part < q and z >= b")
+        assert ends.count() == 0
+
+
+def test_small_inputs_are_not_sampled(spark, small):
+    from ledgerlens.plans import wash as W
+    from ledgerlens.sources.ledger import from_tables
+
+    plan = W.wash_heuristics(from_tables(spark, small).transactions)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sample" not in plan and "bucket-cuts" not in plan
