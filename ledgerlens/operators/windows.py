@@ -39,7 +39,7 @@ def running_count(df: DataFrame, partition_cols: Sequence[str], order_col: str,
 
 
 KEY, BUCKET, PART = "__key", "__bucket", "__part"
-CUTS = "__cuts"
+CUTS, HEADS = "__cuts", "__heads"
 # Below every real bucket: rows whose order starts with null sort first.
 NULL_BUCKET = -(2 ** 63)
 
@@ -58,47 +58,53 @@ def bucket_keys(partition_cols: Sequence[str], bucket: Column) -> list[Column]:
 CUT_ROWS = 1_000_000
 CUT_SAMPLES = 64
 MAX_CUTS = 50_000
+# Cuts that lie together, found by the first of them.
+STRETCH = 128
 
 
-def bucket_cuts(df: DataFrame, order_cols: Sequence[str], rows: int, cut_rows: int = CUT_ROWS) -> DataFrame:
-    """``(__key, __bucket, __cuts)``: ascending cut points of buckets with many rows.
+def order_sample(df: DataFrame, rows: int, cut_rows: int = CUT_ROWS) -> DataFrame:
+    """About ``CUT_SAMPLES`` rows in ``cut_rows``; ``rows`` is about the number of
+    ``df``, and ``cut_rows`` grows with it once there would be more than
+    ``MAX_CUTS`` cuts. Write the sample before use: it is not repeatable."""
+    return df.sample(min(1.0, CUT_SAMPLES / max(cut_rows, -(-rows // MAX_CUTS))), seed=7)
 
-    ``df`` brings ``__key`` and ``__bucket``; ``rows`` is about its number. About
-    ``CUT_SAMPLES`` rows in ``cut_rows`` are sampled, and every ``CUT_SAMPLES``-th
-    sample of a bucket, in order, cuts it. Where the cuts fall never changes a
-    result. ``cut_rows`` grows with the input once there would be more than
-    ``MAX_CUTS`` cuts. Write the result before use: a sample is not repeatable."""
-    cut_rows = max(cut_rows, -(-rows // MAX_CUTS))
-    sample = df.select(KEY, BUCKET, F.struct(*order_cols).alias("at")).sample(
-        min(1.0, CUT_SAMPLES / cut_rows), seed=7)
+
+def bucket_cuts(sample: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """``(__key, __bucket, __cuts, __heads)``: ascending cut points of buckets with
+    many rows, in stretches, and the first cut of each.
+
+    ``sample`` (:func:`order_sample`, written) brings ``__key`` and ``__bucket``.
+    Every ``CUT_SAMPLES``-th sample of a bucket, in order, cuts it. Where the cuts
+    fall never changes a result."""
+    sample = sample.select(KEY, BUCKET, F.struct(*order_cols).alias("at"))
     place = F.row_number().over(Window.partitionBy(KEY, BUCKET).orderBy("at"))
     cut = sample.select(KEY, BUCKET, "at", place.alias("n")).where(F.col("n") % CUT_SAMPLES == 0)
-    return cut.groupBy(KEY, BUCKET).agg(F.array_sort(F.array_distinct(F.collect_list("at"))).alias(CUTS))
+    cuts = cut.groupBy(KEY, BUCKET).agg(F.array_sort(F.array_distinct(F.collect_list("at"))).alias("c"))
+    stretch = F.transform(F.sequence(F.lit(0), F.floor((F.size("c") - 1) / STRETCH).cast("int")),
+                          lambda i: F.slice(F.col("c"), i * STRETCH + 1, STRETCH))
+    return cuts.select(KEY, BUCKET, stretch.alias(CUTS)).select(
+        KEY, BUCKET, CUTS, F.transform(CUTS, lambda s: s[0]).alias(HEADS))
 
 
 def with_part(df: DataFrame, cuts: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """``df`` with ``__part``: how many cuts of its bucket a row is not below.
 
     ``cuts`` (of :func:`bucket_cuts`) is broadcast; it has at most ``MAX_CUTS``
-    cut points, plus those that chance adds. A binary search finds the place."""
+    cut points, plus those that chance adds. The stretch of cuts is found by its
+    first ones, then the place in it."""
     found = df.join(F.broadcast(cuts), [KEY, BUCKET], "left")
     at = F.struct(*order_cols)
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(CUTS) + 1)).cast("int"))
-    start = F.struct(F.lit(0).alias("lo"), F.size(CUTS).alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        below = (s["lo"] < s["hi"]) & (F.get(F.col(CUTS), middle) <= at)
-        return F.struct(F.when(below, middle + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(below, s["hi"]).otherwise(middle).alias("hi"))
-
-    part = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve)["lo"])
+    n = F.size(F.filter(HEADS, lambda c: c <= at))
+    inside = F.size(F.filter(F.get(F.col(CUTS), n - 1), lambda c: c <= at))
+    # null without cuts or below the first; never null as a whole, so that a join on
+    # it adds no filter to one side, which would keep two exchanges from being one
+    part = F.coalesce((n - 1) * STRETCH + inside, F.lit(0))
     return found.select(*df.columns, part.cast("int").alias(PART))
 
 
 def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                  value_col: str, out_col: str, bucket: Column | None,
-                 totals: dict[str, Column] | None = None) -> DataFrame:
+                 totals: dict[str, Column] | None = None, read_whole: str | None = None) -> DataFrame:
     """``lag(value_col) OVER (PARTITION BY p ORDER BY o)`` for a total order ``o``.
 
     ``bucket`` must be non-decreasing along ``o`` inside a partition (e.g. the
@@ -110,7 +116,8 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     partitioned by them, it is not shuffled again. With ``bucket=None``
     this is the plain window.
 
-    ``totals`` adds, per name, the sum of an amount over the whole partition;
+    ``read_whole`` names a column, never null, that the small table does not need:
+    it reads it all the same, so that both sides share one exchange. ``totals`` adds, per name, the sum of an amount over the whole partition;
     the sums go through the same small table.
     """
     order = [F.col(c).asc_nulls_first() for c in order_cols]
@@ -134,7 +141,9 @@ def bucketed_lag(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
 
     heads = df.select(*place, F.row_number().over(whole).alias("__row"),
                       F.last(value_col).over(end).alias("__last"),
-                      *[F.sum(c).over(end).alias(n) for n, c in totals.items()]).where("__row = 1")
+                      *[F.sum(c).over(end).alias(n) for n, c in totals.items()],
+                      (F.col(read_whole).isNotNull() if read_whole else F.lit(True)).alias("__read"))
+    heads = heads.where("__row = 1 and __read")
     per_key = Window.partitionBy(KEY)
     carried = heads.select(*place, F.lag("__last").over(per_key.orderBy(BUCKET, PART)).alias("__carried"),
                            *[F.sum(n).over(per_key).alias(n) for n in totals])

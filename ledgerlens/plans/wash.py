@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.topk import first_n, top_k
+from ..operators.combine import COUNT, combine_copies, many_copies
 from ..operators.sizes import scanned_bytes
-from ..operators.windows import (BUCKET, CUT_ROWS, KEY, PART, bucket_cuts, bucket_keys, bucketed_lag, running_count,
-                                 with_part)
+from ..operators.windows import (BUCKET, CUT_ROWS, KEY, NULL_BUCKET, PART, bucket_cuts, bucket_keys, bucketed_lag,
+                                 order_sample, running_count, with_part)
 from ..schemas import WEI
 from ..session import scratch_path
 
@@ -41,14 +42,23 @@ NULL_FIRST = -(2 ** 63)   # below every epoch second
 
 
 def transfer_groups(tx: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
-    """Identical transfers collapsed, with their count and mean gas price."""
+    """Identical transfers collapsed, with their count and mean gas price.
+
+    Rows that stand for several (``combine_copies``) count as many."""
+    count = F.sum(COUNT) if COUNT in tx.columns else F.count(F.lit(1))
     return tx.groupBy(*TRANSFER_KEYS, *extra_keys).agg(
-        F.count(F.lit(1)).alias("tx_count"),
+        count.alias("tx_count"),
         # the gas price is a key of the group, so it is its own mean
         C.joined_double(C.whole("gas_price"), C.nanos("gas_price")).alias("avg_gas_price"),
     )
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hour_bucket(bucket_seconds: int | None) -> Column | None:
     if not bucket_seconds:
         return None
@@ -63,7 +73,8 @@ def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET
     per-hour summary all run on that partitioning. ``totals`` adds sums over
     all of a sender's groups. Where the input can hold more than ``cut_rows``
     rows of a sender in one hour, or without a timestamp, such a bucket is cut
-    along the total order, by a sample of one narrow scan.
+    along the total order, by a sample of one narrow scan; and where the sample
+    holds many copies, tasks combine identical transfers before they are dealt.
     """
     bucket = _hour_bucket(bucket_seconds)
     if bucket is None:
@@ -73,13 +84,17 @@ def prev_counterparty(tx: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET
         place = [KEY, BUCKET]
         most = scanned_bytes(tx) // ROW_BYTES
         if most > cut_rows:
-            cuts = bucket_cuts(rows, SENDER_ORDER, most, cut_rows)
-            path = scratch_path(tx.sparkSession, "bucket-cuts")
-            cuts.write.parquet(path)
-            rows = with_part(rows, tx.sparkSession.read.schema(cuts.schema).parquet(path), SENDER_ORDER)
+            sample = _written(order_sample(rows, most, cut_rows), "transfer-sample")
+            if many_copies(sample, TRANSFER_KEYS):
+                # written, since a Python step is planned twice; the two columns are
+                # never null, but a file does not say so
+                rows = _written(combine_copies(rows), "combined-transfers").withColumns(
+                    {KEY: F.coalesce(KEY, F.lit("")), BUCKET: F.coalesce(BUCKET, F.lit(NULL_BUCKET))})
+            rows = with_part(rows, _written(bucket_cuts(sample, SENDER_ORDER), "bucket-cuts"), SENDER_ORDER)
             place.append(PART)
         groups = transfer_groups(rows.repartition(*place), place)
-    return bucketed_lag(groups, ["from_address"], SENDER_ORDER, "to_address", "prev_to_address", bucket, totals)
+    return bucketed_lag(groups, ["from_address"], SENDER_ORDER, "to_address", "prev_to_address", bucket, totals,
+                        read_whole="tx_count")
 
 
 def _heuristics(avg_col: str) -> Column:
@@ -146,7 +161,7 @@ def wash_flagged(tx: DataFrame) -> DataFrame:
     return c.withColumn("flagged", F.coalesce(flag, F.lit(False))).where("flagged").drop("flagged")
 
 
-def wash_by_block_sender(tx: DataFrame) -> DataFrame:
+def wash_by_block_sender(tx: DataFrame, cut_rows: int = CUT_ROWS) -> DataFrame:
     """Value of flagged transfers per (block, sender), summed exactly.
 
     Same result as summing ``wash_flagged`` rows, without the window: in a
@@ -155,11 +170,17 @@ def wash_by_block_sender(tx: DataFrame) -> DataFrame:
     timestamp. So per group the flagged rows are all ``n`` rows, minus one
     when that earliest timestamp holds a single row and the transfer is not
     to oneself. The rows are dealt by (block, sender) once, which serves all
-    three aggregations; a block bounds what one key can hold. No sort.
+    three aggregations; a block bounds what one key can hold. No sort. Where a
+    sample of a large input holds many copies, tasks combine them first.
     """
     t = tx.where(F.col("block_number").isNotNull() & F.col("value").isNotNull())
-    t = t.select(*BLOCK_KEYS, "block_timestamp").repartition("block_number", "from_address")
-    per_ts = t.groupBy(*BLOCK_KEYS, "block_timestamp").agg(F.count(F.lit(1)).alias("n_ts"))
+    t = t.select(*BLOCK_KEYS, "block_timestamp")
+    most = scanned_bytes(tx) // ROW_BYTES
+    if most > cut_rows and many_copies(_written(order_sample(t, most, cut_rows), "transfer-sample"), t.columns):
+        t = combine_copies(t)
+    count = F.sum(COUNT) if COUNT in t.columns else F.count(F.lit(1))
+    t = t.repartition("block_number", "from_address")
+    per_ts = t.groupBy(*BLOCK_KEYS, "block_timestamp").agg(count.alias("n_ts"))
     per_group = per_ts.groupBy(*BLOCK_KEYS).agg(
         F.sum("n_ts").alias("n"),
         # rows at the earliest timestamp (a null timestamp sorts first, as in

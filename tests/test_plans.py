@@ -125,18 +125,23 @@ def test_contract_filter_comes_before_the_first_exchange(typed):
         assert not any("Exchange hashpartitioning" in x for x in lines[semi:scan]), lines
 
 
-def _scans(plan):
-    """Scan nodes below a physical plan with the rows each gave, through adaptive stages."""
+def _nodes(plan):
+    """Nodes of a physical plan, through adaptive stages."""
     name = plan.nodeName()
+    yield plan
     if name == "AdaptiveSparkPlan":
-        yield from _scans(plan.finalPhysicalPlan())
+        yield from _nodes(plan.finalPhysicalPlan())
     elif name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"):
-        yield from _scans(plan.plan())
-    elif "Scan parquet" in name:
-        yield plan.simpleString(10_000), plan.metrics().get("numOutputRows").get().value()
+        yield from _nodes(plan.plan())
     children = plan.children()
     for i in range(children.size()):
-        yield from _scans(children.apply(i))
+        yield from _nodes(children.apply(i))
+
+
+def _scans(plan):
+    """Scan nodes with the rows each gave."""
+    return [(n.simpleString(10_000), n.metrics().get("numOutputRows").get().value())
+            for n in _nodes(plan) if "Scan parquet" in n.nodeName()]
 
 
 def test_first_block_reads_the_wide_columns_of_few_blocks(spark, led):

@@ -111,10 +111,12 @@ def hot_transfers(spark, n=6_000):
         .cast("bigint").alias("block_timestamp"))
 
 
-@pytest.mark.parametrize("cut_rows", [100, 1_000])
-def test_cut_buckets_give_the_rows_of_a_plain_window(spark, cut_rows):
+@pytest.mark.parametrize("cut_rows, stretch", [(100, 128), (100, 3), (1_000, 128)])
+def test_cut_buckets_give_the_rows_of_a_plain_window(spark, cut_rows, stretch, monkeypatch):
+    from ledgerlens.operators import windows
     from ledgerlens.plans import wash as W
 
+    monkeypatch.setattr(windows, "STRETCH", stretch)
     tx = hot_transfers(spark).repartition(4)
     totals = {"n": F.col("tx_count")}
     plain = W.prev_counterparty(tx, bucket_seconds=None, totals=totals)
@@ -132,8 +134,8 @@ def test_a_hot_hour_and_rows_without_time_spread_over_tasks(spark):
     tx = hot_transfers(spark)
     rows = tx.select(*W.TRANSFER_KEYS, *N.bucket_keys(["from_address"], F.floor(F.col("block_timestamp") / 3600)))
     path = scratch_path(spark, "cuts")
-    N.bucket_cuts(rows, W.SENDER_ORDER, 6_000, 200).write.parquet(path)
-    cuts = spark.read.parquet(path)
+    N.order_sample(rows, 6_000, 200).write.parquet(path)
+    cuts = N.bucket_cuts(spark.read.parquet(path), W.SENDER_ORDER)
     assert {r["__key"] for r in cuts.collect()} >= {"v3:hot", "v8:timeless"}
     parts = N.with_part(rows, cuts, W.SENDER_ORDER)
     for sender in ("hot", "timeless"):
