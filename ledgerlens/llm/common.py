@@ -68,7 +68,7 @@ class Memory(dict):
     twice ``max_bytes`` are held. Texts above ``longest`` characters never are.
     """
 
-    ENTRY_BYTES = 250                    # of a dictionary entry and two objects
+    ENTRY_BYTES = 190                    # of a dictionary entry and the heads of two objects
 
     def __init__(self, make: Callable[[str], bytes], max_bytes: int, longest: int = 256) -> None:
         super().__init__()
@@ -82,7 +82,7 @@ class Memory(dict):
             found = self.make(text)
             if len(text) > self.longest:
                 return found
-        size = self.ENTRY_BYTES + 4 * len(text) + len(found)
+        size = self.ENTRY_BYTES + (len(text) if text.isascii() else 4 * len(text)) + len(found)
         if self.held + size > self.max_bytes:
             self.older = dict(self)
             self.clear()

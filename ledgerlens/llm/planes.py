@@ -86,34 +86,51 @@ class _Writer:
 
     def __init__(self, part: int, block: int, bits: bool, level: int) -> None:
         self.part, self.block, self.bits, self.level = part, block, bits, level
-        self.chunk = self.first = self.held = 0
-        self.parts: list[np.ndarray] = []
-        self.docs: list[dict] = []
-
-    def add(self, doc_id: int | None, ordinal: int, ids: np.ndarray) -> Iterator[tuple]:
-        at = 0
-        while at < len(ids):
-            take = min(len(ids) - at, self.block - self.held)
-            self.docs.append({"doc_id": doc_id, "ordinal": ordinal, "offset": self.held, "n": take})
-            self.parts.append(ids[at:at + take])
-            self.held += take
-            at += take
-            if self.held == self.block:
-                yield self.flush()
-
-    def flush(self) -> tuple:
-        blob, sizes = encode_block(np.concatenate(self.parts), self.bits, self.level)
-        row = (self.part, self.chunk, self.first, self.held, sizes, blob, self.docs)
-        self.chunk, self.first, self.held = self.chunk + 1, self.first + self.held, 0
-        self.parts, self.docs = [], []
+        self.chunk = self.first = self.docs = 0
+        self._fresh()
+
+    def _fresh(self) -> None:
+        """Start a chunk: its packed ids so far, their number, and whose they are."""
+        self.held: list[bytes] = []
+        self.n = 0
+        self.ids: list[int | None] = []
+        self.ordinals, self.offsets, self.counts = [], [], []
+
+    def _take(self, doc_id: int | None, packed: bytes, n: int) -> None:
+        self.held.append(packed)
+        self.ids.append(doc_id)
+        self.ordinals.append(self.docs)
+        self.offsets.append(self.n)
+        self.counts.append(n)
+        self.n += n
+
+    def add(self, doc_id: int | None, packed: bytes) -> Iterator[pa.RecordBatch]:
+        """Take the packed ids of one document; give the chunks they fill."""
+        left = len(packed) // 4
+        while self.n + left >= self.block:
+            n = self.block - self.n
+            self._take(doc_id, packed[:4 * n], n)
+            yield self.flush()
+            packed, left = packed[4 * n:], left - n
+        if left:
+            self._take(doc_id, packed, left)
+        self.docs += 1
+
+    def flush(self) -> pa.RecordBatch:
+        blob, sizes = encode_block(np.frombuffer(b"".join(self.held), dtype="<u4"), self.bits, self.level)
+        docs = pa.StructArray.from_arrays(
+            [pa.array(self.ids, pa.int64()), pa.array(self.ordinals, pa.int64()),
+             pa.array(self.offsets, pa.int32()), pa.array(self.counts, pa.int32())],
+            fields=list(_ARROW.field("docs").type.value_type))
+        row = pa.RecordBatch.from_arrays(
+            [pa.array([self.part], pa.int32()), pa.array([self.chunk], pa.int32()), pa.array([self.first], pa.int64()),
+             pa.array([self.n], pa.int32()), pa.array([sizes], pa.list_(pa.int32())), pa.array([blob], pa.binary()),
+             pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)], schema=_ARROW)
+        self.chunk, self.first = self.chunk + 1, self.first + self.n
+        self._fresh()
         return row
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, type=f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
-
-
 def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
               vocabulary: str | None = None, block: int = BLOCK_IDS, bits: bool = False,
               level: int = LEVEL) -> None:
@@ -131,16 +148,12 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         packed = encoder(path_of_vocabulary).packed
         end = np.array([END_ID], dtype="<u4").tobytes()
         writer = _Writer(TaskContext.get().partitionId(), block, bits, level)
-        ordinal = 0
         for batch in batches:
             for b in pieces(batch):
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    ids = np.frombuffer(packed(text or "") + end, dtype="<u4")
-                    for row in writer.add(doc_id, ordinal, ids):
-                        yield _batch([row])
-                    ordinal += 1
-        if writer.held:
-            yield _batch([writer.flush()])
+                    yield from writer.add(doc_id, packed(text or "") + end)
+        if writer.n:
+            yield writer.flush()
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     keys = ["doc_id", "_ll_row"]
@@ -176,17 +189,17 @@ def crc_join(left: int, right: int, right_bytes: int) -> int:
 
 @F.pandas_udf(T.LongType())
 def _crc_of(parts: pd.Series) -> pd.Series:
-    """CRC-32 of a document from its pieces (position, ids, crc)."""
-    def join(pieces_of_doc) -> int:
-        if len(pieces_of_doc) == 1:
-            return int(pieces_of_doc[0]["crc"])
+    """CRC-32 of a document from its pieces (position, ids, crc); null: null."""
+    def join(pieces_of_doc) -> int | None:
+        if pieces_of_doc is None:
+            return None
         ordered = sorted((int(p["first"]), int(p["n"]), int(p["crc"])) for p in pieces_of_doc)
         crc = ordered[0][2]
         for _, n, right in ordered[1:]:
             crc = crc_join(crc, right, 4 * n)
         return crc
 
-    return parts.map(join)
+    return pd.Series([join(p) for p in parts], dtype="Int64")
 
 
 def part_starts(index: DataFrame) -> DataFrame:
@@ -214,12 +227,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in batch.to_pylist():
-                data = decode_block(c["blob"]).tobytes()
-                rows = [(c["part"], d["ordinal"], d["doc_id"], c["first"] + d["offset"], d["n"],
-                         zlib.crc32(data[4 * d["offset"]:4 * (d["offset"] + d["n"])])) for d in c["docs"]]
+            parts, firsts, blobs = (batch.column(i).to_pylist() for i in range(3))
+            for row, (part, first, blob) in enumerate(zip(parts, firsts, blobs)):
+                data = memoryview(decode_block(blob).tobytes())
+                doc_id, ordinal, offset, n = batch.column(3).slice(row, 1).flatten().flatten()
+                at, count = (x.to_numpy().astype(np.int64) for x in (offset, n))
+                crcs = [zlib.crc32(data[a:z]) for a, z in zip((4 * at).tolist(), (4 * (at + count)).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, type=f.type) for x, f in zip(zip(*rows), out)], schema=out)
+                    [pa.array(np.full(len(at), part, np.int32)), ordinal, doc_id, pa.array(first + at),
+                     pa.array(count), pa.array(crcs, pa.int64())], schema=out)
 
     found = chunks.select("part", "first", "blob", "docs").mapInArrow(
         run, "part int, ordinal bigint, doc_id bigint, first bigint, n bigint, crc bigint")
@@ -228,9 +244,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         F.collect_list(F.struct("first", "n", "crc")).alias("parts"))
     # one row per part: at most as many as the writer had range partitions
     starts = F.broadcast(part_starts(chunks.select("part", "n")))
+    # only documents that span chunks have pieces to join
+    joined = _crc_of(F.when(F.size("parts") > 1, F.col("parts")))
     return docs.join(starts, "part").select(
         "doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens",
-        _crc_of("parts").alias("ids_crc32"))
+        F.coalesce(joined, F.col("parts")[0]["crc"]).alias("ids_crc32"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -17,9 +17,12 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
+from .common import Memory
+
 VOCABULARY = "byte_bpe_50k.json"
-#: Remembered pieces per worker, twice over (see ``_Memory.age``).
-MAX_REMEMBERED = 250_000
+#: Bytes of remembered pieces per worker, twice over (see ``common.Memory``): after
+#: a space, after anything else, and runs of marks.
+MAX_REMEMBERED = {"spaced": 96 << 20, "bare": 24 << 20, "marks": 2 << 20}
 
 _RUN = re.compile(r"\s (?:\s|\Z)")
 _SPACE = re.compile(r"\s")
@@ -49,28 +52,6 @@ def _byte_letters() -> dict[int, str]:
     return letters
 
 
-class _Memory(dict):
-    """Packed ids by text, filled on demand; ``make`` encodes what is missing."""
-
-    def __init__(self, make) -> None:
-        super().__init__()
-        self.make = make
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, text: str) -> bytes:
-        ids = self.older.get(text)
-        if ids is None:
-            ids = self.make(text)
-        self[text] = ids
-        return ids
-
-    def age(self) -> None:
-        """Keep what is known as the older half and start a new one: texts in
-        use come back from there, the others are forgotten at the next call."""
-        self.older = dict(self)
-        self.clear()
-
-
 class Encoder:
     """Encodes texts to packed ids (little-endian unsigned 32-bit integers); one
     per worker process and vocabulary."""
@@ -83,9 +64,9 @@ class Encoder:
         self.letters = _byte_letters()
         self.space = self.letters[32]
         self.newline = self._whole("\n")
-        self.spaced = _Memory(self._spaced)           # texts after a space
-        self.bare = _Memory(self._bare)               # texts after anything else
-        self.marks = _Memory(self._whole)             # runs of neither letters, digits nor space
+        self.spaced = Memory(self._spaced, MAX_REMEMBERED["spaced"])
+        self.bare = Memory(self._bare, MAX_REMEMBERED["bare"])
+        self.marks = Memory(self._whole, MAX_REMEMBERED["marks"])
 
     def _whole(self, text: str) -> bytes:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -97,7 +78,7 @@ class Encoder:
         return _pack([t.id for t in self.model.tokenize(space + letters)])
 
     def _spaced(self, piece: str) -> bytes:
-        if piece.isalpha() and max(piece) < _LATIN_END:
+        if piece.isalpha() and (piece.isascii() or max(piece) < _LATIN_END):
             return self._word(piece, self.space)
         parts = _WORD_AND_MARKS.fullmatch(piece)
         if parts:
@@ -108,7 +89,7 @@ class Encoder:
         return self._whole(" " + piece)
 
     def _bare(self, piece: str) -> bytes:
-        if piece.isalpha() and max(piece) < _LATIN_END:
+        if piece.isalpha() and (piece.isascii() or max(piece) < _LATIN_END):
             return self._word(piece, "")
         parts = _WORD_AND_MARKS.fullmatch(piece)
         if parts:
@@ -121,9 +102,6 @@ class Encoder:
             return b""
         if _RUN.search(text) or any(spelling in text for spelling in self.added):
             return self._whole(text)
-        for memory in (self.spaced, self.bare, self.marks):
-            if len(memory) > MAX_REMEMBERED:
-                memory.age()
         first, space, rest = text.partition(" ")
         head = self.bare[first] if first else b""
         if not space:

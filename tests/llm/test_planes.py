@@ -1,3 +1,5 @@
+import sys
+import sys
 import zlib
 
 import numpy as np
@@ -23,9 +25,26 @@ def test_cut_encoding_equals_whole_encoding(text):
 
 
 def test_special_spelling_and_memory_limit(monkeypatch):
-    monkeypatch.setattr(tokens, "MAX_REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "MAX_REMEMBERED", dict.fromkeys(tokens.MAX_REMEMBERED, 900))
+    fresh = tokens.Encoder(tokens.vocabulary_path())
     for t in ["<|endoftext|> a <|endoftext|>", "it's we'll DON'T", "a b c d e f g, h. i! j?", "x  y   z \n \n w "]:
-        assert np.frombuffer(ENCODER.packed(t), "<u4").tolist() == whole(t)
+        for encoder in (ENCODER, fresh):
+            assert np.frombuffer(encoder.packed(t), "<u4").tolist() == whole(t)
+
+
+def test_texts_without_spaces_are_not_held(monkeypatch):
+    """20,000 texts of 600 characters and no space: what is held stays within its bound in bytes."""
+    bound = 100_000
+    monkeypatch.setattr(tokens, "MAX_REMEMBERED", dict.fromkeys(tokens.MAX_REMEMBERED, bound))
+    fresh = tokens.Encoder(tokens.vocabulary_path())
+    rnd = np.random.default_rng(1)
+    for i in range(20_000 // 100):
+        text = "".join(map(chr, rnd.integers(0x4E00, 0x9000, 600)))
+        assert fresh.packed(text) == fresh._whole(text)
+        fresh.packed(f"{text} {text[:40]} base64{i}")
+    for memory in (fresh.spaced, fresh.bare, fresh.marks):
+        held = sum(sys.getsizeof(k) + sys.getsizeof(v) for d in (memory, memory.older) for k, v in d.items())
+        assert held <= 2 * bound and all(len(k) <= memory.longest for d in (memory, memory.older) for k in d)
 
 
 @pytest.mark.parametrize("bits", [False, True])
