@@ -128,7 +128,7 @@ SQL["op12_fill_in_middle"] = fim.SQL
 @query
 def op13_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text they decode to."""
-    coded = sentencepieces.decode(sentencepieces.encode(table(spark, sf_dir, "documents")))
+    coded = sentencepieces.encode(table(spark, sf_dir, "documents"), decoded=True)
     digits = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                         F.sha2(digits, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -16,7 +16,7 @@ import codecs
 import re
 from array import array
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import ahocorasick
 import numpy as np
@@ -30,8 +30,8 @@ from .tokens import vocabulary_path
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"                  # fixed value: the library's mark for a space
-#: Bytes of remembered chunks and words per worker, each twice over.
-MAX_REMEMBERED = 32 << 20
+#: Bytes of remembered words, and of parts of words, per worker, each twice over.
+MAX_REMEMBERED = {"spaced": 96 << 20, "parts": 24 << 20}
 #: Remembered pair checks per worker.
 MAX_PAIRS = 500_000
 END = float("-inf")          # below every score: no merge is left
@@ -59,10 +59,6 @@ class Vocabulary:
         #: The longest piece that is a proper beginning of a piece, or -1.
         self.shorter = [next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), -1)
                         if i not in special else -1 for i, p in enumerate(self.names)]
-        self.automaton = ahocorasick.Automaton()
-        for p, i in self.ids.items():
-            self.automaton.add_word(p, i)
-        self.automaton.make_automaton()
         #: No piece has a space mark after another character, so no merge crosses
         #: the place before one: a text may be cut there.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
@@ -72,6 +68,16 @@ class Vocabulary:
         self.word_cuts = self.cuts and all(len(self.words(p)) == 1 for p in self.ids)
 
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Of all pieces; only encoding needs it."""
+        found = ahocorasick.Automaton()
+        for p, i in self.ids.items():
+            found.add_word(p, i)
+        found.make_automaton()
+        return found
+
+
 @cache
 def vocabulary(path: str) -> Vocabulary:
     """The worker's copy of a model file."""
@@ -84,10 +90,11 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.vocabulary = vocabulary(path)
         self.pairs: dict[int, bool] = {}
+        self.shift = len(self.vocabulary.names).bit_length()
         self.histories: dict[int, tuple] = {}       # at most one per piece
-        self.parts = Memory(self.chunk, MAX_REMEMBERED)
+        self.parts = Memory(self.chunk, MAX_REMEMBERED["parts"])
         #: By what follows the first space mark.
-        self.spaced = Memory(lambda rest: self.cut(SPACE + rest), MAX_REMEMBERED)
+        self.spaced = Memory(lambda rest: self.cut(SPACE + rest), MAX_REMEMBERED["spaced"])
 
     def history(self, piece: int) -> tuple[bool, list[float], list[str], list[str]]:
         """How a piece's characters merge by themselves: whether they end as the
@@ -120,7 +127,7 @@ class Encoder:
         Both merge as they do alone, the better merge of either first and the
         left one of equals, until the two symbols at the boundary would merge
         before both."""
-        pair = last << 32 | piece
+        pair = last << self.shift | piece
         held = self.pairs.get(pair)
         if held is None:
             if len(self.pairs) >= MAX_PAIRS:
@@ -148,7 +155,7 @@ class Encoder:
                 j += 1
         return False
 
-    def look(self, text: str, longest: array, at: int) -> int:
+    def look(self, text: str, longest: list[int], at: int) -> int:
         """The longest piece at a place of ``text``, noted in ``longest`` with
         those at the places that follow, up to one already known."""
         v = self.vocabulary
@@ -159,17 +166,18 @@ class Encoder:
             longest[at + start] = i
         return longest[at]
 
-    def run(self, text: str, longest: array, start: int, end: int) -> list[int]:
-        """Ids of ``text[start:end]``, all of whose characters are pieces."""
+    def run(self, text: str, longest: list[int], start: int, end: int, ids: list[int], at: int) -> list[int]:
+        """Ids of ``text[start:end]``, all of whose characters are pieces; ``ids``
+        are those up to ``at``, which hold so far."""
         lengths, shorter, known, fits = self.vocabulary.lengths, self.vocabulary.shorter, self.pairs.get, self.fits
+        shift = self.shift
         failed = None                               # one bit per place
-        ids: list[int] = []
-        at, last, piece = start, -1, longest[start]
+        last = ids[-1] if ids else -1
+        piece = longest[at]
         while True:
             after = at + lengths[piece]
-            bit = after - start
-            if failed is None or not failed[bit >> 3] >> (bit & 7) & 1:
-                holds = known(last << 32 | piece)
+            if failed is None or not failed[after - start >> 3] >> (after - start & 7) & 1:
+                holds = known(last << shift | piece)
                 if holds or holds is None and fits(last, piece):
                     ids.append(piece)
                     if after == end:
@@ -182,42 +190,44 @@ class Encoder:
             if piece < 0:                           # nothing holds here: one step back
                 if failed is None:
                     failed = bytearray((end - start >> 3) + 1)
-                bit = at - start
-                failed[bit >> 3] |= 1 << (bit & 7)
+                failed[at - start >> 3] |= 1 << (at - start & 7)
                 piece = ids.pop()
                 at -= lengths[piece]
                 last = ids[-1] if ids else -1
 
     def chunk(self, text: str) -> bytes:
         """Packed ids of normalized text, by backtracking between unknown characters."""
-        v, known, fits = self.vocabulary, self.pairs.get, self.fits
+        v, known, fits, shift = self.vocabulary, self.pairs.get, self.fits, self.shift
         lengths = v.lengths
         found = list(v.automaton.iter_long(text))   # the longest pieces, one after the other
-        last, covered = -1, 0
-        for _, i in found:
-            holds = known(last << 32 | i)
+        ids: list[int] = []
+        last, at = -1, 0
+        for end, i in found:
+            if end + 1 - at != lengths[i]:
+                break                               # characters that are no piece
+            holds = known(last << shift | i)
             if not holds and (holds is not None or not fits(last, i)):
                 break
-            last = i
-            covered += lengths[i]
-        if covered == len(text):                    # they hold as they are
-            return array("I", [i for _, i in found]).tobytes()
-        longest = array("i", [-1]) * len(text)
-        for end, i in found:
-            longest[end + 1 - lengths[i]] = i
-        ids: list[int] = []
-        at = 0
-        runs = []                                   # of characters that are pieces
+            ids.append(i)
+            last, at = i, end + 1
+        if at == len(text):                         # they hold as they are
+            return array("I", ids).tobytes()
+        longest = [-1] * len(text)
+        runs: list[list[int]] = []                  # of characters that are pieces
         for end, i in found:
             start = end + 1 - lengths[i]
+            longest[start] = i
             if runs and runs[-1][1] == start:
                 runs[-1][1] = end + 1
             else:
                 runs.append([start, end + 1])
+        if runs == [[0, len(text)]]:
+            return array("I", self.run(text, longest, 0, len(text), ids, at)).tobytes()
+        ids, at = [], 0
         for start, end in [*runs, (len(text), len(text))]:
             ids += [v.byte_ids[b] for b in text[at:start].encode()]
             if start < end:
-                ids += self.run(text, longest, start, end)
+                ids += self.run(text, longest, start, end, [], start)
             at = end
         return array("I", ids).tobytes()
 
@@ -302,8 +312,10 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
-    """``(doc_id, ids)``: the ids of every whole text, without begin or end ids.
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
+           decoded: bool = False) -> DataFrame:
+    """``(doc_id, ids)``: the ids of every whole text, without begin or end ids;
+    with ``decoded`` also ``text``, what these ids decode to, in the same pass.
 
     Equal to the library's ``encode`` without sampling. Null and empty texts
     have no ids; characters that no piece has become their bytes. Repeated rows
@@ -314,17 +326,20 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     path = model or vocabulary_path(MODEL)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = encoder(path).packed
+        packed, back = encoder(path).packed, decoder(path).text
         for batch in batches:
             for b in pieces(batch):
                 parts = [packed(t or "") for t in b.column(1).to_pylist()]
                 ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
                 flat = np.frombuffer(b"".join(parts), dtype="<i4")
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["doc_id", "ids"])
+                columns = [b.column(0), pa.ListArray.from_arrays(ends, pa.array(flat))]
+                if decoded:
+                    texts = [back(flat[a:z]) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                    columns.append(pa.array(texts, pa.large_string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][:len(columns)])
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return narrow.mapInArrow(run, "doc_id bigint, ids array<int>" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model: str | None = None) -> DataFrame:

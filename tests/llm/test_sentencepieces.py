@@ -104,11 +104,12 @@ def texts():
 
 
 def test_round_trip_over_a_table(spark, frame, texts):
-    coded = S.decode(S.encode(frame(list(enumerate(texts)))))
-    got = {r["doc_id"]: (r["ids"], r["text"]) for r in coded.collect()}
-    for i, t in enumerate(texts):
-        want = LIBRARY.encode(t or "")
-        assert got[i] == (want, LIBRARY.decode(want))
+    docs = frame(list(enumerate(texts)))
+    for coded in (S.decode(S.encode(docs)), S.encode(docs, decoded=True)):
+        got = {r["doc_id"]: (r["ids"], r["text"]) for r in coded.collect()}
+        for i, t in enumerate(texts):
+            want = LIBRARY.encode(t or "")
+            assert got[i] == (want, LIBRARY.decode(want))
 
 
 def test_empty_table_null_ids_and_repeats(spark, frame):
