@@ -26,10 +26,10 @@ MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE_STEPS = 3                   # shares are scaled by 1000 ** SCALE_STEPS
 #: What a task holds before it passes its counts on: distinct terms, bytes of text.
-HELD_TERMS = 200_000
+HELD_TERMS = 400_000
 HELD_BYTES = 64 << 20
 WORD_BITS = 64                    # term ids per word of a bitset
-BLOCK_WORDS = 16                  # words compared in one group of rows
+BLOCK_WORDS = 4                   # words compared in one group of rows
 TILE_SOURCES = 64                 # sources compared in one group of rows, about
 CELL_ROWS = 256                   # levels ANDed with all others at once
 SALTS = 8
