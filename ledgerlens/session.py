@@ -187,6 +187,15 @@ def remove_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def free_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch folder that nothing reads any more."""
+    paths = _SCRATCH.get(session_key(spark), [])
+    if path in paths:
+        paths.remove(path)
+        p, fs = _file_system(spark, path)
+        fs.delete(p, True)
+
+
 def path_version(spark: SparkSession, path: str) -> tuple:
     """What tells one state of a file or folder from another: names, sizes and
     times of its files. Nothing is known without a JVM at hand (Spark Connect);
