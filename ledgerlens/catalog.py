@@ -479,7 +479,7 @@ def _valid_block(spark, sf):
 @register("valid_scam_line", f"""
 select {O.typed_scam_cols()} from scam_split where len(fields) = 9 and {O.sql_is_int(O.f(0))}""")
 def _valid_scam_line(spark, sf):
-    s = TX.split_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
+    s = TX.split_scam_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
     return TX.typed_scams(s.where(V.scam_line()))
 
 
@@ -724,10 +724,34 @@ def _scam_registry_to_value(spark, sf):
     """J11's file read by J9: registry -> nine-field lines -> value by scam."""
     path = scratch_path(spark, "scam-lines")
     K.write_scam_lines(S.flatten_registry(S.parse_documents(FX.scam_documents(spark, sf))), path)
-    listed = TX.typed_scams(TX.split_fields(TX.read_lines(spark, path)).where(V.scam_line()))
+    listed = TX.typed_scams(TX.split_scam_fields(TX.read_lines(spark, path)).where(V.scam_line()))
     return S.value_by_scam(src.from_tables(spark, sf).transactions, listed)
 
 
+@register("scam_lines_keep_text", f"""
+select id, name || ', "the" shop' as name, url || ',x' as url,
+       {_CATEGORY_MAP_SQL['scam_category']} as category, address from scams""")
+def _scam_lines_keep_text(spark, sf):
+    """K3: names and addresses of sites with commas and quotes, written as lines and read back."""
+    from pyspark.sql import functions as F
+
+    docs = FX.scam_documents(spark, sf)
+    flat = S.flatten_registry(S.parse_documents(docs)).withColumns(
+        {"name": F.concat("name", F.lit(', "the" shop')), "url": F.concat("url", F.lit(",x"))})
+    path = scratch_path(spark, "scam-lines-text")
+    K.write_scam_lines(flat, path)
+    listed = TX.typed_scams(TX.split_scam_fields(TX.read_lines(spark, path)).where(V.scam_line()))
+    return listed.select("id", "name", "url", "category", "address")
+
+
+@register("sink_stamped_json", _J1_SQL)
+def _sink_stamped_json(spark, sf):
+    """K5: the monthly counts under a run-stamped folder, read back from there."""
+    path = K.run_stamped_path(scratch_path(spark, "results"), "monthly-count")
+    K.write_json(L.monthly_tx_count(src.from_tables(spark, sf).transactions), path)
+    return D.read_json(spark, path, "month string, tx_count bigint")
+
+
 @register("sink_metrics", _overhead_sql(False))
 def _sink_metrics(spark, sf):
     path = scratch_path(spark, "overhead-metrics")
@@ -803,7 +827,7 @@ def _contracts_text(spark, sf):
 
 
 def _scams_text(spark, sf):
-    return TX.typed_scams(TX.split_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
+    return TX.typed_scams(TX.split_scam_fields(FX.as_text_file(spark, sf, "scams", FX.scam_lines))
                           .where(V.scam_line()))
 
 

@@ -93,7 +93,7 @@ class Inputs:
         t = self._typed("scams")
         if t is not None:
             return t
-        split = TX.split_fields(TX.read_lines(self.spark, self._need("scams")))
+        split = TX.split_scam_fields(TX.read_lines(self.spark, self._need("scams")))
         return TX.typed_scams(split.where(V.scam_line()))
 
     @property

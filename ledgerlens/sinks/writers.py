@@ -79,11 +79,20 @@ def write_csv_header(df: DataFrame, cols: Sequence[str], path: str, mode: str =
 
 def write_scam_lines(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K3: nine-field scam lines as the value jobs read them (no header, the
-    address at position 6, blanks empty). The fields are not quoted, so commas
-    and line ends inside them become spaces."""
+    address at position 6, blanks empty). A line is plain text unless a field
+    has a comma; then fields with a comma or a quote are quoted, which
+    ``sources.text.split_scam_fields`` reads back. Line ends inside a field
+    become spaces."""
     flat = flat.withColumnRenamed("identity", "id")
-    plain = flat.select(*[F.regexp_replace(F.col(c).cast("string"), "[,\r\n]", " ").alias(c) for c in SCAM_LINE_FIELDS])
-    write_csv_lines(plain, SCAM_LINE_FIELDS, path, mode)
+    plain = flat.select(*[F.regexp_replace(F.col(c).cast("string"), "[\r\n]", " ").alias(c) for c in SCAM_LINE_FIELDS])
+    comma = F.lit(False)
+    for c in SCAM_LINE_FIELDS:
+        comma = comma | F.contains(F.coalesce(c, F.lit("")), F.lit(","))
+    marked = plain.withColumn("quoted", comma)
+    special = lambda c: F.col("quoted") & F.col(c).rlike('[,"]')
+    quoted = [F.when(special(c), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')))
+              .otherwise(F.col(c)).alias(c) for c in SCAM_LINE_FIELDS]
+    write_csv_lines(marked.select(*quoted), SCAM_LINE_FIELDS, path, mode)
 
 
 def format_metrics(df: DataFrame, decimals: int = 2) -> DataFrame:

@@ -88,7 +88,7 @@ def from_text(spark: SparkSession, transactions: str, blocks: str, contracts: st
     bl = text.typed_blocks(text.split_fields(text.read_lines(spark, blocks)).where(V.block_line()))
     ct = text.split_fields(text.read_lines(spark, contracts))
     ct = text.typed_contracts(ct.where(V.contract_arity() & (text.field(0) != "address")))
-    sc = text.typed_scams(text.split_fields(text.read_lines(spark, scams)).where(V.scam_line()))
+    sc = text.typed_scams(text.split_scam_fields(text.read_lines(spark, scams)).where(V.scam_line()))
     return Ledger(tx, bl, ct, sc)
 
 

@@ -33,6 +33,28 @@ def split_fields(lines: DataFrame, sep: str = ",") -> DataFrame:
     return lines.select(F.inline(F.array(row)))
 
 
+# Fixed value: a comma with an even number of quotes after it.
+_OUTER_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def split_quoted_fields(lines: DataFrame, n: int) -> DataFrame:
+    """:func:`split_fields` for lines of ``n`` fields that may be quoted.
+
+    A line with ``n`` fields by its commas is taken as it is, quotes and all. In
+    others that hold a quote, commas inside quotes do not count, quotes around a
+    field go and doubled ones become one."""
+    plain = F.split("value", ",", -1)
+    quoted = F.transform(F.split("value", _OUTER_COMMA, -1), lambda f: F.when(
+        f.rlike('^".*"$'), F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+    fields = F.when((F.size(plain) == n) | ~F.contains(F.col("value"), F.lit('"')), plain).otherwise(quoted)
+    return lines.select(F.inline(F.array(F.struct(F.col("value"), fields.alias(FIELDS)))))
+
+
+def split_scam_fields(lines: DataFrame) -> DataFrame:
+    """The nine fields of scam lines, as the registry job writes them."""
+    return split_quoted_fields(lines, len(SCAM_LINE_FIELDS))
+
+
 def field(i: int) -> Column:
     """Field ``i`` (0-based) or null when the line is shorter."""
     return F.try_element_at(F.col(FIELDS), F.lit(i + 1))

@@ -132,7 +132,9 @@ def test_first_block_is_numeric_in_text(spark):
 
 
 def test_registry_text_ids_and_unreadable_documents(spark):
+    from ledgerlens.operators.validate import scam_line
     from ledgerlens.plans.scams import flatten_registry, parse_documents
+    from ledgerlens.sources.text import split_scam_fields, typed_scams
 
     doc = ('{"result": {"a": {"id": "2", "name": "n, m", "url": "u", "coin": "ETH", "category": "Scam",'
            ' "addresses": ["a"], "status": "Active"}}}')
@@ -140,6 +142,13 @@ def test_registry_text_ids_and_unreadable_documents(spark):
     assert [(r.identity, r.category) for r in flat.collect()] == [(2, "Scamming")]
     path = scratch_path(spark, "scam-lines")
     K.write_scam_lines(flat, path)
-    assert spark.read.text(path).first()[0] == "2,n  m,u,ETH,Scamming,,a,0,Active"
+    assert spark.read.text(path).first()[0] == '2,"n, m",u,ETH,Scamming,,a,0,Active'
+    listed = typed_scams(split_scam_fields(spark.read.text(path)).where(scam_line())).first()
+    assert (listed.id, listed.name, listed.address, listed.status) == (2, "n, m", "a", "Active")
+    lines = ['1,"a,b",u,c,Scam,,x,0,ok', '2,"q",u,c,Scam,,y,0,ok', '3,a,b,u,c,Scam,,z,0,ok', '4,"say ""hi"", you",u,c,Scam,,w,0,ok',
+             '5,"a,b,u,c,Scam,,v,0,ok']
+    got = typed_scams(split_scam_fields(spark.createDataFrame([(x,) for x in lines], "value string")).where(scam_line()))
+    # plain lines keep their quotes, unquoted commas and an open quote still drop a line
+    assert {r.id: r.name for r in got.collect()} == {1: "a,b", 2: '"q"', 4: 'say "hi", you'}
     with pytest.raises(Exception, match="not a registry document"):
         parse_documents(spark.createDataFrame([("{",)], "value string")).collect()
