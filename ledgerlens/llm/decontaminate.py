@@ -10,20 +10,21 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, pieces, utf8
 
 WINDOW_WORDS = 10
-#: Pattern characters in one automaton (about 50 bytes of memory each). A
-#: benchmark with more windows is scanned for in several blocks.
+#: Bytes of patterns and item ids in one automaton (about 50 bytes of memory
+#: each). A benchmark with more windows is scanned for in several blocks.
 BLOCK_CHARS = 4 << 20
 
 #: Byte map of the normalisation: A-Z to a-z; digits, a-z and every byte of a
@@ -182,11 +183,26 @@ def _merge(parts: DataFrame) -> DataFrame:
 
 def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, size: int,
             block_chars: int) -> list[DataFrame]:
-    """The patterns in blocks of about ``block_chars`` characters, measured first."""
-    found = materialize(patterns(benchmark, item_col, item_text_col, size), "benchmark-windows")
-    chars = found.agg(F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0]
-    n = max(1, -(-(chars or 0) // block_chars))
-    return [found.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i) for i in range(n)]
+    """The ``(pattern, item)`` rows in blocks of about ``block_chars`` bytes.
+
+    The rows are ordered and cut where their running size passes a multiple of
+    the bound, so no block is empty or larger than the bound and one row; the
+    items of one pattern may lie in several blocks. The running size comes from
+    range partitions and the sum of each, so nothing is gathered."""
+    rows = patterns(benchmark, item_col, item_text_col, size).withColumn(
+        "size", (F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0))).cast("bigint"))
+    rows = (rows.repartitionByRange("pattern", "item").sortWithinPartitions("pattern", "item")
+            .withColumn("part", F.spark_partition_id()))
+    rows = materialize(rows, "benchmark-windows")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("part").agg(F.sum("size").alias("all"))     # one row per range partition
+    parts = parts.select("part", F.coalesce(F.sum("all").over(before.orderBy("part")), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("size").over(before.partitionBy("part").orderBy("pattern", "item")), F.lit(0))
+    placed = rows.withColumn("inside", inside).join(F.broadcast(parts), "part")
+    cut = placed.select("pattern", "item", F.floor((F.col("base") + F.col("inside")) / block_chars).alias("block"))
+    cut = materialize(cut, "benchmark-blocks")
+    numbers = sorted(r["block"] for r in cut.select("block").distinct().collect()) or [0]
+    return [cut.where(F.col("block") == i).select("pattern", "item") for i in numbers]
 
 
 def _sent(block: DataFrame) -> Broadcast:
@@ -207,9 +223,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     windows; an item of null id still marks words but is not listed. ``row``
     tells rows of one id apart. Empty tables give no rows, or no hits.
 
-    The patterns of one block are broadcast: at most about ``block_chars``
-    characters, measured first. Larger benchmarks are scanned block by block
-    against all texts, and only rows with hits are kept per block.
+    The patterns of one block are broadcast: at most ``block_chars`` bytes and
+    one row, measured first, whatever pattern many items share. Larger benchmarks
+    are scanned block by block against all texts; the first pass gives the word
+    counts too, and of the others only rows with hits are kept.
     """
     blocks = _blocks(benchmark, item_col, item_text_col, size, block_chars)
     texts = docs.select(F.monotonically_increasing_id().alias("row"),
@@ -217,14 +234,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     if len(blocks) == 1:
         return _scan(texts, _sent(blocks[0]), hits_only=False)
     texts = materialize(texts, "scanned-texts")     # the same row numbers for every block
-    hits = None
+    passes = []
     for block in blocks:
         sent = _sent(block)
-        part = materialize(_scan(texts, sent, hits_only=True), "block-hits")
+        passes.append(materialize(_scan(texts, sent, hits_only=bool(passes)), "block-hits"))
         sent.destroy()
-        hits = part if hits is None else hits.unionAll(part)
-    nothing = docs.sparkSession.sparkContext.broadcast(("none", []))
-    plain = _scan(texts, nothing, hits_only=False).select("row", "doc_id", "n_words")
+    plain = passes[0].select("row", "doc_id", "n_words")
+    hits = reduce(DataFrame.unionAll, passes).where(F.size("spans") > 0)
     merged = _merge(hits).select("row", "spans", "items")
     empty = [F.coalesce(c, F.array().cast(k)).alias(c) for c, k in (("spans", _SPANS), ("items", "array<string>"))]
     return plain.join(merged, "row", "left").select("row", "doc_id", "n_words", *empty)

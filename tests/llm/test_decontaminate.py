@@ -69,3 +69,28 @@ def test_empty_tables(spark, frame):
     assert [(r.n_words, r.n_hit, r.contaminated) for r in got] == [(2, 0, False)]
     assert D.find_contamination(frame([]), none).count() == 0
     assert D.remove_contaminated(frame([(1, None), (2, "a")]), none).count() == 2
+
+
+def test_hot_windows_are_cut_by_weight(spark, frame):
+    """Many items share one instruction: few blocks, none empty or above its bound, and equal results."""
+    instruction = "answer the next question with one word and nothing else now"
+    items = [(f"item-{i:05d}", f"{instruction} q{i}") for i in range(2_000)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    bound = 20_000
+    blocks = D._blocks(bench, "item_id", "text", D.WINDOW_WORDS, bound)
+    rows = [[(len(r["pattern"]), len(r["item"])) for r in b.collect()] for b in blocks]
+    sizes = [sum(p + i for p, i in b) for b in rows]
+    total = sum(sizes)
+    largest = max(p + i for b in rows for p, i in b)
+    assert sum(map(len, rows)) == len({(w, i) for i, t in items for w in D.windows(t.encode())})
+    assert min(sizes) > 0 and max(sizes) <= bound + largest and len(blocks) <= total // bound + 1
+    docs = frame([(1, f"please {instruction} thanks"), (2, f"x {instruction} q7 and {instruction} q1999 end"), (3, "clean")])
+    one = D.digest(D.find_contamination(docs, bench))
+    many = D.digest(D.find_contamination(docs, bench, block_chars=bound))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    got = {r["doc_id"]: r for r in many.collect()}
+    # windows of ten of the eleven words, and those that end in an item's own word
+    assert got[1]["n_hit"] == 11 and got[1]["n_items"] == 2_000 and got[3]["n_hit"] == 0
+    assert got[2]["n_hit"] == 24 and got[2]["n_items"] == 2_000
+    left = D.remove_contaminated(docs, bench, block_chars=bound).collect()
+    assert [r["doc_id"] for r in left] == [3]
