@@ -29,11 +29,16 @@ CONTEXT_BYTES = 512
 #: a frame of so few bytes by itself is mostly overhead.
 SHORT_BYTES = 1_024
 CHUNK_BYTES = 16_384
-#: Documents per language from which dictionaries are cut, about.
+#: Documents per language from which dictionaries are cut, about, and the most
+#: bytes of them, over all languages, that the driver receives.
 FIT_DOCUMENTS = 600
-MAX_LANGUAGES = 1_000
+FIT_BYTES = 64 << 20
+#: Each takes about 2 MB of compressors in every worker.
+MAX_LANGUAGES = 200
 #: Relative margin between the two best sizes below which an answer is rejected.
 MARGIN = 0.01
+#: Part of a text's own size that dictionaries of little text must save to win.
+LITTLE_SAVING = 0.1
 HELD_OUT = 2                     # crc32(id) mod 4 of held-out rows
 
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -56,6 +61,7 @@ class Samples:
     languages: list[str]                 # most frequent first; wins a tie
     dictionaries: list[list[bytes]]
     contexts: list[list[list[bytes]]]
+    little: list[bool]                   # of less text than the dictionaries hold
 
 
 class Classifier:
@@ -63,7 +69,11 @@ class Classifier:
 
     def __init__(self, samples: Samples) -> None:
         self.languages = samples.languages
+        self.little = np.array(samples.little, dtype=bool)
         self.long, self.short = [], []
+        self.plain_long, self.plain_short = (
+            zstandard.ZstdCompressor(compression_params=_settings(s)).compress
+            for s in (zstandard.STRATEGY_GREEDY, zstandard.STRATEGY_DFAST))
         for dictionaries, contexts in zip(samples.dictionaries, samples.contexts):
             longs, shorts = [], []
             for raw, tails in zip(dictionaries, contexts):
@@ -80,6 +90,13 @@ class Classifier:
         d.precompute_compress(compression_params=settings)
         return zstandard.ZstdCompressor(dict_data=d, compression_params=settings).compress
 
+    def alone(self, text: bytes) -> int:
+        """Encoded bytes of the whole text without a dictionary."""
+        text = text.lower()
+        if len(text) < SHORT_BYTES:
+            return len(self.plain_short(text)) - len(self.plain_short(b""))
+        return sum(len(self.plain_long(text[i:i + CHUNK_BYTES])) for i in range(0, len(text), CHUNK_BYTES))
+
     def sizes(self, text: bytes) -> np.ndarray:
         """Mean encoded bytes of the whole text under each language."""
         text = text.lower()
@@ -93,16 +110,26 @@ class Classifier:
 
         The score is the posterior of the smallest size when each byte counts
         as eight bits of evidence; the margin is the second size's excess (1 at most).
+        A language learned from little text wins only by a margin that is not
+        narrow and if its dictionaries save bytes at all: a text that repeats
+        itself is encoded best with the smallest ones, whatever they hold.
         """
         if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, 0.0, True
         sizes = self.sizes(text)
         best = int(sizes.argmin())
+        if self.little[best] and not self.little.all():
+            others = np.where(self.little, np.inf, sizes)
+            if (others.min() - sizes[best] < MARGIN * others.min()
+                    or sizes[best] > (1 - LITTLE_SAVING) * self.alone(text)):
+                sizes = others
+                best = int(sizes.argmin())
         score = float(1.0 / np.exp2(np.maximum(-1000.0, -8.0 * (sizes - sizes[best]))).sum())
         if len(sizes) == 1:
             return self.languages[0], score, 1.0, False
-        second = np.partition(sizes, 1)[1]
-        margin = min(1.0, float((second - sizes[best]) / max(second, 1.0)))
+        second = float(np.partition(sizes, 1)[1])
+        margin = min(1.0, (second - sizes[best]) / max(second, 1.0)) if second < np.inf else 1.0
+        margin = float(margin)
         return self.languages[best], score, margin, margin < MARGIN
 
 
@@ -111,8 +138,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Dictionaries from slices of about ``documents`` texts per language.
 
     Only rows with id, text and language that are not held out are used. The
-    driver receives the distinct slices of that bounded sample; more than
-    ``MAX_LANGUAGES`` languages are an error.
+    driver receives the distinct slices of that bounded sample, ``FIT_BYTES`` at
+    most (fewer documents each, where languages are many); more than
+    ``MAX_LANGUAGES`` languages are an error. Dictionaries of languages with
+    enough text (an eighth of what the largest has) have one size; a language with
+    less has smaller ones of its own, and changes nothing for the others.
     """
     text, key = F.col("text"), F.col("id")
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -123,29 +153,37 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
-        return Samples([], [], [])
+        return Samples([], [], [], [])
+    need = DICTIONARIES * (DICTIONARY_BYTES + CONTEXTS * CONTEXT_BYTES)
+    shortest, longest = 300, 1_200
+    drawn_from = {q: min(n, documents) for q, n in counts.items()}
+    widths = {q: min(longest, 2 * max(shortest, need // n + 1)) for q, n in drawn_from.items()}
+    wanted = 4 * sum(n * widths[q] for q, n in drawn_from.items())    # four bytes a character at most
+    part = min(1.0, FIT_BYTES / wanted)
     spread = 1 << 30
-    limits = F.create_map(*[F.lit(x) for lang, n in counts.items()
-                            for x in (lang, int(min(1.0, documents / n) * spread))])
+
+    def of_lang(values: dict[str, int]):
+        return F.create_map(*[F.lit(x) for q, v in values.items() for x in (q, v)])[F.col("lang")]
+
+    limit = of_lang({q: int(min(1.0, part * documents / n) * spread) for q, n in counts.items()})
     drawn = F.pmod(F.xxhash64(F.lit("language"), key, F.length(text), F.substring(text, 1, 100)), F.lit(spread))
-    longest = 1_200
-    middle = F.substr(text, F.greatest(F.lit(1), (F.length(text) / 2 - longest / 2).cast("int")), F.lit(longest))
-    rows = known.where(drawn < limits[F.col("lang")]).select("lang", middle.alias("part")).distinct().collect()
+    middle = F.substr(text, F.greatest(F.lit(1), (F.length(text) / 2 - longest / 2).cast("int")), of_lang(widths))
+    rows = known.where(drawn < limit).select("lang", middle.alias("part")).distinct().collect()
 
-    need = DICTIONARIES * (DICTIONARY_BYTES + CONTEXTS * CONTEXT_BYTES)
     streams = {}
     for lang in counts:
         parts = sorted((r["part"].encode().lower() for r in rows if r["lang"] == lang), key=_mixed)
-        width = max(300, min(longest, need // max(1, len(parts)) + 1))
+        width = max(shortest, min(longest, need // max(1, len(parts)) + 1))
         streams[lang] = b"\n".join(p[:width].decode("utf-8", "ignore").encode() for p in parts)
-    shortest = min(len(s) for s in streams.values())
-    room = max(4_096, min(need, shortest))
-    context = min(CONTEXT_BYTES, room // (4 * DICTIONARIES * CONTEXTS))
-    size = room // DICTIONARIES - CONTEXTS * context
+    most = min(need, max(map(len, streams.values())))
+    common = min(most, *(len(s) for s in streams.values() if len(s) >= most // 8))
     languages = sorted(counts, key=lambda q: (-counts[q], q))
-    out = Samples(languages, [], [])
+    out = Samples(languages, [], [], [len(streams[q]) < common for q in languages])
     for lang in languages:
         stream, at = streams[lang], 0
+        room = max(4_096, min(common, len(stream)))
+        context = min(CONTEXT_BYTES, room // (4 * DICTIONARIES * CONTEXTS))
+        size = room // DICTIONARIES - CONTEXTS * context
 
         def take(n: int) -> bytes:
             nonlocal at
