@@ -654,7 +654,7 @@ def _scan_csv_header(spark, sf):
     tx = src.from_tables(spark, sf).transactions
     path = FX.written_once(spark, sf, "transactions-csv", lambda p: K.write_csv_header(tx, TRANSACTION_FIELDS, p))
     raw = D.read_csv(spark, path, schema=all_strings(TRANSACTION_FIELDS))
-    cast = {"value": P.to_wei}
+    cast = {"value": P.to_wei, "gas": P.to_price, "gas_price": P.to_price}
     cols = []
     for fld in TRANSACTIONS.fields:
         c = F.col(fld.name)

@@ -48,7 +48,7 @@ def test_contract_types_bag_semantics(spark, led):
         F.min(C.contract_type_label(c["is_erc20"], c["is_erc721"])).alias("contract_type"),
         F.count(F.lit(1)).alias("calls"), F.sum(t["value"]).alias("total_value"),
         F.sum(t["gas"]).alias("total_gas"),
-        (F.sum(t["gas_price"]) / F.count(t["gas_price"])).alias("avg_gas_price"),
+        (F.sum(t["gas_price"]).cast("double") / F.count(t["gas_price"])).alias("avg_gas_price"),
         F.sum(C.fee_sum(t["max_fee_per_gas"], t["max_priority_fee_per_gas"])).alias("total_fees"),
         F.min(t["block_number"] - c["block_number"]).alias("contract_age"),
         F.min(C.interaction_kind(t["to_address"])).alias("interaction_kind"),
