@@ -45,6 +45,8 @@ MAX_REPEATED = 1_000_000
 #: Distinct words a task holds before it passes its counts on.
 HELD_WORDS = 200_000
 SALTS = 16
+#: What a row of counts is of, where it is not of a character class.
+WORD, TOTAL = -1, -2
 
 _UPPER, _LOWER, _DIGIT = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58))
 _PUNCTUATION = b".,;:?!\"'()-"
@@ -145,7 +147,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     Rows of null language or text do not count, and every distinct (language,
     text) counts once, so that copies cannot bend a reference. Words are
     counted in the tasks and summed by (language, word), so a frequent language
-    or word is one partial count per task. The driver receives ``common`` words
+    or word is one partial count per task, in one pass over the texts. The driver
+    receives ``common`` words
     per language, of at most ``MAX_LANGUAGES`` languages (more is an error).
     """
     narrow = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
@@ -157,7 +160,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
         def flush() -> Iterator[pa.RecordBatch]:
             rows = [(q, None, i, int(n)) for q, c in classes.items() for i, n in enumerate(c)]
-            rows += [(q, w, -1, n) for q, c in words.items() for w, n in c.items()]
+            rows += [(q, None, TOTAL, c.total()) for q, c in words.items()]
+            rows += [(q, w, WORD, n) for q, c in words.items() for w, n in c.items()]
             classes.clear()
             words.clear()
             for i in range(0, len(rows), 10_000):
@@ -177,8 +181,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     counted = (narrow.mapInArrow(run, "lang string, word binary, class int, n bigint")
                .groupBy("lang", "class", "word").agg(F.sum("n").alias("n")))
-    # Per language and class value: the classes are one row each, the words are
-    # ranked. The best of each task go to one of SALTS rankings first, so the
+    # Per language and class value: the classes and the total are one row each, the
+    # words are ranked. The best of each task go to one of SALTS rankings first, so the
     # last one gets at most SALTS * common rows, however many tasks there are.
     def best(rows: DataFrame, *keys: str) -> DataFrame:
         order = Window.partitionBy("lang", "class", *keys).orderBy(F.desc("n"), "word")
@@ -186,24 +190,26 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     salted = counted.withColumn("salt", F.spark_partition_id() % SALTS)
     ranked = best(best(salted, "salt"))
-    totals = counted.where("class = -1").groupBy("lang").agg(F.sum("n").alias("n"))
-    total = {r["lang"]: r["n"] for r in totals.limit(MAX_LANGUAGES + 1).collect()}
-    if len(total) > MAX_LANGUAGES:
+    most = MAX_LANGUAGES * (common + len(CLASSES) + 1)
+    rows = ranked.limit(most + 1).collect()
+    of: dict[str, list] = {}
+    for r in rows:
+        of.setdefault(r["lang"], []).append(r)
+    if len(of) > MAX_LANGUAGES or len(rows) > most:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     out: dict[str, Reference] = {}
-    rows = ranked.collect()
-    for lang in sorted({r["lang"] for r in rows}):
-        own = [r for r in rows if r["lang"] == lang]
+    for lang, own in sorted(of.items()):
+        total = sum(r["n"] for r in own if r["class"] == TOTAL)
         classes = np.zeros(len(CLASSES))
         for r in own:
             if r["class"] >= 0:
                 classes[r["class"]] = r["n"]
-        best = sorted(((-r["n"], bytes(r["word"])) for r in own if r["class"] == -1))
+        best = sorted(((-r["n"], bytes(r["word"])) for r in own if r["class"] == WORD))
         counts = [-n for n, _ in best]
         if not counts or not classes.sum():
             continue
         out[lang] = Reference(classes, {w: i for i, (_, w) in enumerate(best)},
-                              np.array([*counts, total[lang] - sum(counts)], dtype=float))
+                              np.array([*counts, total - sum(counts)], dtype=float))
     return out
 
 
@@ -234,6 +240,12 @@ def lacks_common(text: bytes, reference: Reference) -> bool:
     return sum(map(reference.words.__contains__, words)) < min(MIN_COMMON_PART * expected, expected - chance)
 
 
+def nearness(found: tuple[float | None, float | None, Reference]) -> tuple[float, float]:
+    """Order of references by how near a text is: words first, then classes."""
+    by_class, by_word, _ = found
+    return by_word or 0.0, by_class or 0.0
+
+
 _RESULT = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
            "n_repeat_words bigint, base_failed boolean, class_distance double, word_distance double, "
            "kept boolean")
@@ -243,8 +255,9 @@ def judge(docs: DataFrame, known: dict[str, Reference], id_col: str = "doc_id",
           lang_col: str = "lang") -> DataFrame:
     """Base measures, distances and verdict for every row of ``docs``.
 
-    A document is compared with its language's reference, or with the nearest
-    one if its language is null or has none. It is kept if the base rules hold
+    A document is compared with its language's reference, or with that of the
+    nearest language if its own is null or has none: by the words' distance,
+    or by the classes' where the text is too short for words. It is kept if the base rules hold
     and no measured distance is above its limit, nor its share of common words
     far below the reference's (wrong language, gibberish: their distance is
     small, as they only miss words); distances of short texts, and all if there
@@ -262,8 +275,7 @@ def judge(docs: DataFrame, known: dict[str, Reference], id_col: str = "doc_id",
             by_class, by_word = distances(text, own)
         else:
             near = [(*distances(text, r), r) for r in refs.values()]
-            by_class = min((c for c, _, _ in near if c is not None), default=None)
-            by_word, own = min(((w, r) for _, w, r in near if w is not None), key=lambda x: x[0], default=(None, None))
+            by_class, by_word, own = min(near, key=nearness, default=(None, None, None))
         fits = (by_class or 0.0) <= MAX_CLASS_DISTANCE and (by_word or 0.0) <= MAX_WORD_DISTANCE
         fits = fits and (by_word is None or not lacks_common(text, own))
         return (*base, by_class, by_word, fits and not base[-1])

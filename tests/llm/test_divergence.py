@@ -112,3 +112,75 @@ def test_every_distinct_text_counts_once(spark, frame, monkeypatch, limit):
     assert en.counts[en.words[b"common"]] == 3_000 and en.counts[en.words[b"hot"]] == 1
     assert en.counts.sum() == 6_002 and de.counts.sum() == 2
     assert en.classes.sum() == sum(map(len, {t for _, t, q in rows if q == "en"}))
+
+
+KINDS = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", ".,;:?!\"'()-", "#*$%&|<>", " \t\n\x0b\x0c\r"]
+
+
+def plain_verdicts(rows):
+    """Verdicts by plain counting: rows of (id, text, lang)."""
+    def kinds(text):
+        where = [next((i for i, k in enumerate(KINDS) if ch in k), 6 if ord(ch) > 127 else 7) for ch in text]
+        return [where.count(i) for i in range(8)]
+
+    def lowered(text):
+        return [w for w in re.split("[ \t-\r]+", re.sub("[A-Z]", lambda m: m.group().lower(), text)) if w]
+
+    def distance(p, q):
+        p, q = [x / sum(p) for x in p], [x / sum(q) for x in q]
+        out = 0
+        for a, b in zip(p, q):
+            out += sum(0.5 * x * np.log2(2 * x / (a + b)) for x in (a, b) if x)
+        return max(out, 0) ** 0.5
+
+    refs = {}
+    for lang in {q for _, t, q in rows if q is not None and t is not None}:
+        texts = {t for _, t, q in rows if q == lang and t is not None}
+        classes = np.sum([kinds(t) for t in texts], axis=0)
+        words = Counter(w for t in texts for w in lowered(t))
+        top = sorted(words, key=lambda w: (-words[w], w.encode()))[:100]
+        if top:
+            refs[lang] = classes, top, [words[w] for w in top] + [words.total() - sum(words[w] for w in top)]
+    out = []
+    for i, text, lang in rows:
+        failed, text = brute(text)[-1], text or ""
+        found = []
+        for q in [lang] if lang in refs else sorted(refs):
+            classes, top, counts = refs[q]
+            by_class = distance(kinds(text), classes) if len(text) >= 200 else None
+            w, by_word, lacks = lowered(text), None, False
+            if len(w) >= 100:
+                own = Counter(w)
+                mine = [own[x] for x in top]
+                by_word = distance([*mine, len(w) - sum(mine)], counts)
+                share = 1 - counts[-1] / sum(counts)
+                expected = len(w) * share
+                lacks = sum(mine) < min(0.55 * expected, expected - 3 * (expected * (1 - share)) ** 0.5)
+            found.append((by_word or 0, by_class or 0, by_class, by_word, lacks))
+        _, _, c, w, lacks = min(found, key=lambda x: x[:2])
+        out.append((i, c, w, not failed and not lacks and (c or 0) <= 0.25 and (w or 0) <= 0.47))
+    return out
+
+
+def test_verdicts_equal_plain_counting(spark, frame, small_docs):
+    rng = random.Random(4)
+    rows = [(r.doc_id, r.text, rng.choice([r.lang] * 4 + [None, "xx", "de"])) for r in small_docs.limit(120).collect()]
+    rows += [(1000, None, "en"), (1001, "", None), (1002, " ".join(["the", "and", "of"] * 40), None)]
+    docs = frame(rows)
+    got = {r.doc_id: r for r in V.judge(docs, V.references(docs)).collect()}
+    for i, c, w, kept in plain_verdicts(rows):
+        assert got[i].kept == kept, i
+        for a, b in ((got[i].class_distance, c), (got[i].word_distance, w)):
+            assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, abs=1e-9))
+
+
+def test_very_long_text_and_one_language_for_both_distances(frame, small_docs):
+    refs = V.references(small_docs)
+    texts = {q: " ".join(r.text for r in small_docs.where(F.col("lang") == q).collect()) for q in refs}
+    rows = [(1, texts["en"] * 40, "en"), (2, "x" * 3_000_000, "en"), (3, "a b c d " * 200_000, None)]
+    rows += [(10 + k, t[:3_000], None) for k, t in enumerate(texts.values())]
+    got = {r.doc_id: r for r in V.judge(frame(rows), refs).collect()}
+    assert not got[2].kept and got[2].n_words == 1 and got[3].n_repeat_words == 800_000 and not got[3].kept
+    for k, t in enumerate(texts.values()):
+        pairs = [V.distances(t[:3_000].encode(), r) for r in refs.values()]
+        assert (got[10 + k].class_distance, got[10 + k].word_distance) in pairs
