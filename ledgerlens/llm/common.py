@@ -1,8 +1,8 @@
 """Helpers shared by the corpus operators.
 
 Every operator takes a DataFrame plus column names and reads only those
-columns, under names of its own, so extra or clashing columns of the input
-never matter. Intermediate results that must survive a lost executor (and cut
+columns, under names of its own (or free ones, where it passes the input's
+columns on), so extra or clashing columns of the input never matter. Intermediate results that must survive a lost executor (and cut
 lineage) are Parquet tables in the shared checkpoint folder.
 """
 
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import free_scratch, scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions_for(df: DataFrame, target_bytes: int = 64 << 20) -> int:
     """Shuffle partitions for ``df``: the session's number, or more where the
     planner's size estimate asks for more to stay near ``target_bytes`` each."""
@@ -126,19 +134,31 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
     shuffle) and a join whose two sides are plain written tables, so adaptive
     execution can split a node that holds a large share of the edges. The
     working set never exceeds twice the edges, nothing is collected, and each
-    step is a written table, so a lost executor repeats one step only.
+    step is a written table, so a lost executor repeats one step only; the
+    tables of a finished round are deleted.
     Null ends and self loops are ignored; an empty edge list gives no rows.
     """
     e = (edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
          .where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
          .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    e = materialize(e, name)
+    spark = edges.sparkSession
+    made: list[str] = []
+
+    def write(df: DataFrame) -> DataFrame:
+        made.append(scratch_path(spark, name))
+        df.write.parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    e = write(e)
     before = _digest(e)
     while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e = materialize(_star(both, larger=True, name=name), name)
-        e = materialize(_star(e, larger=False, name=name), name)
+        e = write(_star(both, larger=True, write=write))
+        e = write(_star(e, larger=False, write=write))
         now = _digest(e)
+        for path in made[:-1]:                     # all but the round's result
+            free_scratch(spark, path)
+        del made[:-1]
         if now == before:
             break
         before = now
@@ -152,10 +172,10 @@ def _digest(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _star(e: DataFrame, larger: bool, name: str) -> DataFrame:
+def _star(e: DataFrame, larger: bool, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """One star step; edges ``(u, v)``, for the small star with ``v < u``."""
     least = e.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    least = materialize(least, name)
+    least = write(least)
     joined = e.join(least, "u")
     if larger:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

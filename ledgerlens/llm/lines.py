@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_name, materialize
 
 MIN_WORDS = 50
 _WORD = r"[^\\x20\\x09-\\x0D]+"
@@ -99,28 +99,31 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without later repeated runs, plus ``_ll_runs`` (deleted line ranges).
+                min_words: int = MIN_WORDS, runs_col: str | None = "_ll_runs") -> DataFrame:
+    """``docs`` without later repeated runs, plus ``runs_col`` (deleted line ranges).
 
     Every row stays, its text may become empty; null texts stay null. Rows
     that repeat both id and text are one document and keep the same lines.
     Runs are compared across and inside documents; null ids sort first. The
     text is joined with the ranges by (id, text hash): one shuffle of the
-    rows, none of whose keys adaptive execution cannot split.
+    rows, none of whose keys adaptive execution cannot split. A column of the
+    input named ``runs_col`` is replaced; with None the ranges are left out and
+    all columns of the input stay.
     """
-    keyed = docs.withColumn("_ll_id", F.col(id_col)).withColumn("_ll_hash", F.xxhash64(F.col(text_col)))
-    slim = keyed.select(F.col("_ll_id").alias("id"), F.col("_ll_hash").alias("h"), F.col(text_col).alias("text"))
+    i, h, r = (free_name(docs, n) for n in ("_ll_id", "_ll_hash", "_ll_ranges"))
+    keyed = docs.withColumn(i, F.col(id_col)).withColumn(h, F.xxhash64(F.col(text_col)))
+    slim = keyed.select(F.col(i).alias("id"), F.col(h).alias("h"), F.col(text_col).alias("text"))
     runs = materialize(repeated_runs(slim, min_words), "line-runs").hint("merge")
-    joined = keyed.join(runs, keyed["_ll_id"].eqNullSafe(runs["id"]) & (keyed["_ll_hash"] == runs["h"]), "left")
-    names = [c for c in docs.columns]
-    out = joined.select(*[keyed[c] for c in names], runs["runs"].alias("_ll_runs"))
+    joined = keyed.join(runs, keyed[i].eqNullSafe(runs["id"]) & (keyed[h] == runs["h"]), "left")
+    out = joined.select(*[keyed[c] for c in docs.columns], runs["runs"].alias(r))
     quoted = f"`{text_col}`"
-    pieces = f"""flatten(transform(sequence(0, size(_ll_runs)), i -> slice(split({quoted}, '\\n', -1),
-        if(i = 0, 0, _ll_runs[i - 1].b + 1) + 1,
-        if(i = size(_ll_runs), size(split({quoted}, '\\n', -1)), _ll_runs[i].a)
-            - if(i = 0, 0, _ll_runs[i - 1].b + 1))))"""
-    kept = F.expr(f"if(_ll_runs is null, {quoted}, array_join({pieces}, '\\n'))")
-    return out.withColumn(text_col, kept)
+    pieces = f"""flatten(transform(sequence(0, size({r})), i -> slice(split({quoted}, '\\n', -1),
+        if(i = 0, 0, {r}[i - 1].b + 1) + 1,
+        if(i = size({r}), size(split({quoted}, '\\n', -1)), {r}[i].a)
+            - if(i = 0, 0, {r}[i - 1].b + 1))))"""
+    kept = F.expr(f"if({r} is null, {quoted}, array_join({pieces}, '\\n'))")
+    out = out.withColumn(text_col, kept)
+    return out.drop(r) if runs_col is None else out.withColumn(runs_col, F.col(r)).drop(r)
 
 
 #: DuckDB SQL of the registered query.

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, pieces, utf8
+from .common import connected_components, free_name, materialize, pieces, utf8
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -212,10 +212,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a merge join at any size, whose partitions adaptive execution splits
     keys = materialize(chosen.select("least.doc_id", "least.text_hash"), "simhash-kept").hint("merge")
     own_id, own_hash = F.col(id_col).cast("bigint"), F.xxhash64(F.col(text_col))
-    keyed = docs.withColumn("_ll_id", own_id).withColumn("_ll_hash", own_hash)
-    kept = keyed.join(keys, keyed["_ll_id"].eqNullSafe(keys["doc_id"]) & (keyed["_ll_hash"] == keys["text_hash"]),
-                      "left_semi")
+    i, h = free_name(docs, "_ll_id"), free_name(docs, "_ll_hash")
+    keyed = docs.withColumn(i, own_id).withColumn(h, own_hash)
+    kept = keyed.join(keys, keyed[i].eqNullSafe(keys["doc_id"]) & (keyed[h] == keys["text_hash"]), "left_semi")
     repeats = found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
     if repeats:
-        kept = kept.dropDuplicates(["_ll_id", "_ll_hash"])
+        kept = kept.dropDuplicates([i, h])
     return kept.select(*docs.columns)

@@ -87,3 +87,20 @@ def test_empty_documents(spark, folder):
         spark.read.parquet(f"{folder}/{t}.parquet").where("false").write.parquet(f"{out}/{t}.parquet")
     assert corpus_pipeline.run(spark, out).count() == 0
     assert simhash.keep_one(spark.read.parquet(f"{out}/documents.parquet")).count() == 0
+
+
+def test_extra_columns_and_a_very_long_text(spark, folder):
+    """Columns named like the operators' own pass through the stages; a long text stays whole."""
+    long = " ".join(f"word{i % 997}x{i}" for i in range(200_000))
+    rows = [(1, long, "en", "s", len(long), "a", 1, "r"), (2, "a short text of its own", "en", "s", 23, "b", 2, "q"),
+            (3, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                                       "_ll_id string, _ll_hash int, _ll_runs string")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("line_dedup", "simhash_near_dedup", "benchmark_decontamination"):
+        got = stages[name](spark, docs, folder)
+        assert got.columns == docs.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str), name
+    assert stages["quality_classifier"](spark, docs, folder).columns == docs.columns
+    packed = stages["packing"](spark, docs, folder).collect()
+    assert len([r for r in packed if r.doc_id == 1]) > 100 and sum(r.doc_id == 3 for r in packed) == 1

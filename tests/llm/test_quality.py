@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -40,3 +43,27 @@ def test_rows_of_every_kind_are_scored(spark, frame):
     assert {r.score for r in Q.classify(frame(rows[:5]), none).collect()} == {0.5}
     assert Q.classify(frame([]), labels).count() == 0
     assert Q.keep_good(frame(rows), labels).where("doc_id >= 40 and doc_id < 80").count() == 0
+
+
+def test_scores_of_the_query_equal_all_pairs(spark, small_docs, small):
+    """The score from a plain sum over pairs of features, made by plain counting."""
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    machine = Q.train(small_docs, labels)
+    docs = {r.doc_id: r for r in small_docs.where("length(text) < 1500").limit(25).collect()}
+    got = {r.doc_id: r.score for r in Q.classify(small_docs, labels).collect()}
+    for i, r in docs.items():
+        index, value = Q.features(r.text.encode(), r.n_chars)
+        lowered = re.sub("[A-Z]", lambda m: m.group().lower(), r.text).split(" ")
+        words = Counter(w for x in lowered for w in re.split("[ \t-\r]+", x) if w)
+        plain = Counter()
+        for w, n in words.items():
+            plain[zlib.crc32(w.encode()) % Q.WORD_BUCKETS, 1 + math.log(n)] += 1
+        length = math.sqrt(sum(n * v * v for (_, v), n in plain.items()))
+        hashed = sorted((b, v / length) for (b, v), n in plain.items() for _ in range(n))
+        k = len(words)
+        assert np.allclose(sorted(zip(index[:k].tolist(), value[:k].tolist())), hashed, atol=1e-5)
+        raw = float(machine.bias)
+        v = [np.asarray(machine.factors[a], dtype=np.float64) * b for a, b in zip(index, value)]
+        raw += sum(float(machine.linear[a]) * float(b) for a, b in zip(index, value))
+        raw += sum(float(v[a] @ v[b]) for a in range(len(v)) for b in range(a + 1, len(v)))
+        assert abs(got[i] - 1 / (1 + math.exp(-max(-30, min(30, raw))))) < 1e-4

@@ -1,6 +1,9 @@
+import math
+import struct
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import sharding
@@ -47,3 +50,26 @@ def test_written_shards_hold_every_row(spark, small_docs):
 def test_no_python_in_the_plan(frame):
     plan = sharding.assign_shards(frame([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def winner(key, weights):
+    """The winning shard by the public xxhash library: seed 42, then each value in turn."""
+    best = None
+    for i, w in enumerate(weights):
+        seed = xxhash.xxh64_intdigest(b"rendezvous", seed=42)
+        if key is not None:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", key), seed=seed)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", i), seed=seed)
+        score = -math.log(((h >> 11) + 0.5) / 2 ** 53) / w
+        if best is None or score < best[0]:
+            best = score, i
+    return best[1]
+
+
+def test_winner_equals_a_second_hash(frame):
+    rows = [(i * 7919, "t") for i in range(400)] + [(None, "t"), (-5, "t"), (2 ** 62, "t")]
+    got = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.assign_shards(frame(rows)).collect()}
+    assert got == {k: (winner(k, [1.0] * 40), winner(k, [1.0] * 41)) for k, _ in rows}
+    weights = [1.0, 3.0, 0.25]
+    some = frame(rows).select("doc_id", sharding.shard_of(F.col("doc_id"), weights).alias("s")).collect()
+    assert all(r.s == winner(r.doc_id, weights) for r in some)
