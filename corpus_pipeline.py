@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of line runs are deleted from the texts; every document stays."""
-    deduped = lines.dedup_lines(docs).drop("_ll_runs")
+    deduped = lines.dedup_lines(docs, runs_col=None)
     return deduped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
