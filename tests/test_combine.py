@@ -68,3 +68,42 @@ def test_few_copies_are_left_alone(spark):
     tx = spark.range(1_000).select(F.col("id").alias("k"))
     assert not N.many_copies(tx, ["k"]) and N.many_copies(tx.select((F.col("k") % 100).alias("k")), ["k"])
     assert not N.many_copies(tx.limit(0), ["k"])
+
+
+@pytest.mark.parametrize("job", [W.running_transfer_count, W.wash_by_block_sender])
+def test_large_inputs_are_dealt_by_their_rows(spark, job, tmp_path):
+    """Adaptive execution would deal these few bytes into a partition or two."""
+    from ledgerlens.operators.sizes import ROW_BYTES, scanned_bytes, tasks_for
+
+    path = str(tmp_path / "tx")
+    copy_heavy(spark).write.parquet(path)
+    tx = spark.read.parquet(path)
+    task_rows = scanned_bytes(tx) // ROW_BYTES // 20
+    dealt = job(tx, cut_rows=10 ** 12, task_rows=task_rows)
+    assert dealt.rdd.getNumPartitions() == tasks_for(scanned_bytes(tx), task_rows) >= 20
+    combined = job(tx, cut_rows=500, task_rows=task_rows)
+    assert plain(dealt) == plain(combined) == plain(job(tx))
+
+
+def test_running_count_combines_copies_before_dealing(spark, tmp_path):
+    path = str(tmp_path / "tx")
+    copy_heavy(spark).write.parquet(path)
+    tx = spark.read.parquet(path)
+    from test_plans import _nodes
+
+    def rows_dealt(cut_rows):
+        df = W.running_transfer_count(tx, cut_rows=cut_rows, task_rows=10)
+        df.collect()
+        return [n.metrics().get("shuffleRecordsWritten").get().value() for n in _nodes(df._jdf.queryExecution().executedPlan())
+                if n.nodeName() == "Exchange"]
+
+    raw, combined = rows_dealt(10 ** 12), rows_dealt(500)
+    assert len(raw) == len(combined) == 1
+    assert raw[0] == 8_000 and combined[0] <= 4_000
+
+
+def test_small_and_unknown_inputs_are_left_to_adaptive_execution():
+    from ledgerlens.operators.sizes import MAX_TASKS, UNKNOWN, tasks_for
+
+    assert tasks_for(UNKNOWN) is None and tasks_for(10 ** 7) is None
+    assert tasks_for(10 ** 9) == 250 and tasks_for(10 ** 15) == MAX_TASKS
