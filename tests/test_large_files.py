@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.schemas import TRANSACTION_FIELDS
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import writers as K
+from ledgerlens.sources import documents as D
 from ledgerlens.sources import fixtures as FX
 
 
@@ -44,6 +45,16 @@ def test_lists_that_may_be_broadcast_keep_their_size(spark, small):
     assert not any(f.endswith(".gz") for f in FX.as_text_file(spark, small, "scams", FX.scam_lines).inputFiles())
 
 
+def test_csv_with_header_is_compressed_where_large(spark, monkeypatch):
+    monkeypatch.setattr(K, "FILE_ROWS", 100)
+    df = lines(spark).select("value", F.length("value").cast("string").alias("n"))
+    path = scratch_path(spark, "csv-gz")
+    K.write_csv_header(df, ["n", "value"], path, large=True)
+    back = D.read_csv(spark, path)
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles()) and len(back.inputFiles()) == 8
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.select("n", "value").collect()))
+
+
 def transactions(spark, n=900):
     """Rows of one month in three tasks, some without a timestamp."""
     cols = {c: F.lit(None).cast("string") for c in TRANSACTION_FIELDS}
