@@ -28,6 +28,21 @@ from ..sources.text import split_fields
 STATS = ["tx_count", "value_count", "total_value", "gas_price_count", "sum_gas_price", "sum_gas_price_nanos"]
 
 
+# Compressed files are read by one task each; a micro-batch also costs seconds of its own.
+FILES_PER_CORE = 4
+# Partitions of a state of one row per month; each is a store that every batch commits.
+STATE_PARTITIONS = 8
+
+
+def files_per_batch(spark: SparkSession) -> int:
+    """Files of a micro-batch that keep every core busy; one where the cores are not
+    known (Spark Connect)."""
+    try:
+        return FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    except Exception:
+        return 1
+
+
 def transaction_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Every line of the right number of fields in the text export files that
     appear under ``path``, typed; each statistic applies its own job's check."""
@@ -77,7 +92,15 @@ def start_monthly_changelog(stats: DataFrame, out_path: str, checkpoint: str,
     w = (stats.writeStream.outputMode("update").foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    # a stream takes the number of its state partitions from the session as it starts
+    # and keeps it in its checkpoint
+    conf, name = stats.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    conf.set(name, str(min(int(before), STATE_PARTITIONS)))
+    try:
+        return w.start()
+    finally:
+        conf.set(name, before)
 
 
 def read_latest(spark: SparkSession, out_path: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Streaming monthly statistics equal the batch jobs."""
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import ledger as L
@@ -57,3 +59,28 @@ def test_watermarked_append_closes_months(spark, small):
     counted = L.monthly_tx_count(batch(spark.read.text(src_dir), "timestamp"))
     j = closed.join(counted.withColumnRenamed("tx_count", "b"), "month")
     assert j.where("tx_count != b").count() == 0
+
+
+def test_state_has_few_partitions_and_batches_many_files(spark, small):
+    """The session may shuffle widely; a state of one row per month need not."""
+    src_dir = scratch_path(spark, "arrivals-few")
+    FX.transaction_lines(spark, small).repartition(6).write.text(src_dir)
+    out, ckpt = scratch_path(spark, "log-few"), scratch_path(spark, "ckpt-few")
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20")
+    try:
+        stats = SM.monthly_stats(SM.transaction_stream(spark, src_dir, SM.files_per_batch(spark)))
+        SM.start_monthly_changelog(stats, out, ckpt).awaitTermination()
+        assert spark.conf.get(name) == "20"
+    finally:
+        spark.conf.set(name, before)
+    stores = [p for p in Path(ckpt.removeprefix("file:"), "state", "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == SM.STATE_PARTITIONS
+    # all cores have files in a batch: fewer batches than files
+    assert SM.files_per_batch(spark) >= spark.sparkContext.defaultParallelism
+    batches = spark.read.parquet(out).select("batch_id").distinct().count()
+    assert batches == -(-6 // SM.files_per_batch(spark))
+    counted = L.monthly_tx_count(batch(spark.read.text(src_dir), "timestamp"))
+    got = SM.read_latest(spark, out).select("month", "tx_count")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, counted.collect()))
