@@ -169,7 +169,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS,
 
     homes, replicas = placed(0, "a"), placed(max_bits, "b")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return homes.join(replicas, "anchor").where(near).select("a", "b")
+    # a merge join at any size: the planner takes the replicas, some 60 rows for each
+    # that is read, for as many as are read, and would broadcast them
+    return homes.join(replicas.hint("merge"), "anchor").where(near).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -39,6 +39,16 @@ def test_every_pair_within_the_threshold_meets(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_replicas_are_never_broadcast(spark):
+    """The planner takes a fingerprint's replicas for one row; with the default threshold they went to the driver."""
+    df = spark.range(2000).select(F.xxhash64("id").alias("fp"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 10 << 20
+    found = simhash.links(df)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()      # as it ran
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_nulls_repeats_and_keep_one(frame):
     words = "the quick brown fox jumps over a lazy dog and then sleeps for hours in warm sun".split()
     text = " ".join(words * 12)
