@@ -86,7 +86,8 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     whole = later.where(~F.col("same") | (F.col("first") > F.col("o_last"))).select("id", "h", "p_first", "p_last")
     partly = later.where(F.col("same") & (F.col("first") <= F.col("o_last")) & (F.col("last") > F.col("o_last")))
     ends = matched.select("id", "h", F.col("last").alias("o_last"), F.col("p_last").alias("o_p_last")).distinct()
-    partly = (partly.join(ends, partly.id.eqNullSafe(ends.id) & (partly.h == ends.h)
+    # (id, h) repeat and compress well, so the planner takes these rows for a tenth of what they hold
+    partly = (partly.join(ends.hint("merge"), partly.id.eqNullSafe(ends.id) & (partly.h == ends.h)
                           & (partly.o_last == ends.o_last))
               .select(partly.id, partly.h, (F.col("o_p_last") + 1).alias("p_first"), "p_last"))
     runs = whole.unionAll(partly).distinct()

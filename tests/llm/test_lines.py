@@ -84,3 +84,12 @@ def test_nulls_repeats_long_texts_and_extra_columns(frame):
 def test_no_python_in_the_plan(frame):
     plan = lines.dedup_lines(frame([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_ends_of_windows_are_never_broadcast(spark, frame):
+    passage = "\n".join(f"line {i} of a passage that occurs again" for i in range(20))
+    runs = lines.repeated_runs(spark.createDataFrame(
+        [(i, i * 7, f"{passage}\n{passage}\n{passage[:-30]}") for i in range(50)], "id bigint, h bigint, text string"))
+    got = runs.collect()
+    assert len(got) == 50
+    assert "Broadcast" not in runs._jdf.queryExecution().executedPlan().toString()
