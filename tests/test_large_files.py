@@ -98,7 +98,7 @@ def exports(spark):
 
 def test_an_export_goes_as_it_is_read(spark, tables, monkeypatch):
     monkeypatch.setattr(K, "FILE_ROWS", 100)
-    monkeypatch.setattr(FX, "_batch_bytes", lambda spark: (10_000, 1_000))
+    monkeypatch.setattr(FX, "_batch_limits", lambda spark: (1, 10_000, 1_000))
     seen, left = [], []
     for part in FX.text_in_batches(spark, tables, "transactions", lambda spark, sf: lines(spark)):
         folder = os.path.dirname(part.inputFiles()[0]).removeprefix("file://")
@@ -109,6 +109,14 @@ def test_an_export_goes_as_it_is_read(spark, tables, monkeypatch):
     assert not os.path.exists(folder)
 
 
+def test_a_batch_keeps_the_cores_busy(spark, tables, monkeypatch):
+    """Files larger than a task's share are a task each."""
+    monkeypatch.setattr(K, "FILE_ROWS", 100)
+    monkeypatch.setattr(FX, "_batch_limits", lambda spark: (5, 1, 1))
+    parts = FX.text_in_batches(spark, tables, "transactions", lambda spark, sf: lines(spark))
+    assert [len(part.inputFiles()) for part in parts] == [5, 3]
+
+
 def test_an_export_that_is_held_stays(spark, tables):
     build = lambda spark, sf: lines(spark)
     held = FX.as_text_file(spark, tables, "blocks", build)
